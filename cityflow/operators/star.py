@@ -142,11 +142,16 @@ def resolve(
     return found, fact.join(names, match, "left_anti")
 
 
+def look_up(fact: DataFrame, dim: DataFrame, fact_column: str, dim_column: str, key: str) -> DataFrame:
+    """Add a surrogate key; null where the dimension has no match."""
+    names = dim.select(key, F.col(dim_column).alias("__name"))
+    return fact.join(names, fact[fact_column] == names["__name"], "left").drop("__name")
+
+
 def _with_keys(features: DataFrame, lookups: Sequence[tuple[DataFrame, str, str, str]]) -> DataFrame:
     keyed = features.withColumn("date_id", date_key("DateTime"))
     for dim, fact_column, dim_column, key in lookups:
-        names = dim.select(key, F.col(dim_column).alias("__name"))
-        keyed = keyed.join(names, keyed[fact_column] == names["__name"], "left").drop("__name")
+        keyed = look_up(keyed, dim, fact_column, dim_column, key)
     return keyed
 
 

@@ -26,10 +26,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All Parquet files under a folder; an empty frame of that schema if there is none."""
+def read_parquet(
+    spark: SparkSession, path: str, schema: T.StructType, recursive: bool = False
+) -> DataFrame:
+    """All Parquet files under a folder; an empty frame of that schema if there is none.
+
+    ``recursive`` takes files at any depth, as a key prefix does, instead of partition folders.
+    """
+    reader = spark.read.schema(schema).option("recursiveFileLookup", recursive)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
