@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from cityflow import fixed_values as V
 from cityflow import schemas
 from cityflow.functions import kpi, temporal
+from cityflow.functions.numeric import units
+from cityflow.functions.text import case, columns
 from cityflow.operators import evaluation, model_data, quality, star, training
 from cityflow.plans import features, lake, views, warehouse
 from cityflow.session import configure, scratch_path
@@ -57,7 +59,7 @@ def known_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse_of(spark, sf_dir) -> warehouse.Star:
-    return warehouse.build(
+    return warehouse.Star(
         spark, sensor(spark, sf_dir), accident(spark, sf_dir), source.REGION_ZONES, known_weather(spark, sf_dir)
     )
 
@@ -68,22 +70,22 @@ def _partial_location(spark):
     return star.dim_location(spark, known)
 
 
-def _probability(multiplier: int):
+def _probability(multiplier: int) -> str:
     """Deterministic stand-in for a model's probability."""
-    return (F.col("accident_pk") * multiplier % 1000) / F.lit(1000.0)
+    return f"accident_pk * {multiplier} % 1000 / 1000D"
 
 
 def risk(spark, sf_dir):
     """Score fixture in the shape of the scored table; needs no training."""
-    rows = accident(spark, sf_dir).select(
-        "Accident_ID", "Location", V.TARGET, _probability(37).alias("p")
-    ).withColumnsRenamed({"Accident_ID": "accident_id", "Location": "location_name"})
-    return evaluation.risk_table(rows, F.col("p"), F.when(F.col("p") >= 0.5, 1).otherwise(0))
+    rows = accident(spark, sf_dir).selectExpr(
+        "Accident_ID AS accident_id", "Location AS location_name", V.TARGET, f"{_probability(37)} AS p"
+    )
+    return evaluation.risk_table(rows, "p", "IF(p >= 0.5, 1, 0)")
 
 
 def _as_csv(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    text = raw.withColumn("Date_Time", F.date_format("Date_Time", V.TIMESTAMP_FORMAT))
-    return text.select(*schema.fieldNames())
+    text = f"date_format(Date_Time, '{V.TIMESTAMP_FORMAT}') AS Date_Time"
+    return raw.selectExpr(*[text if name == "Date_Time" else name for name in schema.fieldNames()])
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -93,7 +95,7 @@ def _csv_round_trip(spark, raw: DataFrame, schema: T.StructType, name: str) -> D
     path = scratch_path(spark, name)
     _as_csv(raw, schema).write.option("header", True).csv(path)
     rows = files.read_csv(spark, path, schema)
-    return rows.withColumn("DateTime", temporal.parse_ts("Date_Time")).drop("Date_Time", schemas.CORRUPT)
+    return rows.selectExpr("*", f"{temporal.parse_ts('Date_Time')} AS DateTime").drop("Date_Time", schemas.CORRUPT)
 
 
 @query
@@ -188,18 +190,15 @@ def snk4_row_audit(spark, sf_dir):
 @query
 def tmp1_parse_timestamp(spark, sf_dir):
     """Text to timestamp; the text of some rows is in another format and gives null."""
-    raw = sensor_raw(spark, sf_dir)
-    other = F.col("Congestion_Level") == "Low"
-    text = F.when(other, F.date_format("Date_Time", "dd/MM/yyyy")).otherwise(
-        F.date_format("Date_Time", V.TIMESTAMP_FORMAT)
-    )
-    return raw.select("traffic_pk", text.alias("t")).select("traffic_pk", temporal.parse_ts("t").alias("DateTime"))
+    text = f"date_format(Date_Time, IF(Congestion_Level = 'Low', 'dd/MM/yyyy', '{V.TIMESTAMP_FORMAT}')) AS t"
+    rows = sensor_raw(spark, sf_dir).selectExpr("traffic_pk", text)
+    return rows.selectExpr("traffic_pk", f"{temporal.parse_ts('t')} AS DateTime")
 
 
 def _timed(spark, sf_dir):
     both = [
-        source.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts")),
-        source.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts"),
+        source.table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_orderdate AS ts"),
+        source.table(spark, sf_dir, "events").selectExpr("event_id AS id", "ts"),
     ]
     return reduce(DataFrame.unionAll, both)
 
@@ -212,7 +211,7 @@ def tmp2_temporal_parts(spark, sf_dir):
 
 @query
 def tmp3_is_weekend(spark, sf_dir):
-    return _timed(spark, sf_dir).select("id", F.to_date("ts").alias("d"), temporal.is_weekend("ts").alias("is_weekend"))
+    return _timed(spark, sf_dir).selectExpr("id", "to_date(ts) AS d", f"{temporal.is_weekend('ts')} AS is_weekend")
 
 
 @query
@@ -299,8 +298,8 @@ def prj1_conform(spark, sf_dir):
 def fun1_field_position(spark, sf_dir):
     """Place of a label in a list, 0 if it is not listed."""
     listed = ("Fatal", "Severe", "Moderate")
-    return accident_raw(spark, sf_dir).select(
-        "accident_pk", kpi.position_in("Accident_Severity", *listed).alias("place")
+    return accident_raw(spark, sf_dir).selectExpr(
+        "accident_pk", f"{kpi.position_in('Accident_Severity', *listed)} AS place"
     )
 
 
@@ -351,10 +350,9 @@ def dim6_resolve(spark, sf_dir):
     found, rejects = star.resolve(
         accident_raw(spark, sf_dir), _partial_location(spark), {"Location": "location_name"}, "location_id"
     )
-    both = found.select("accident_pk", "location_id").unionByName(
+    return found.select("accident_pk", "location_id").unionByName(
         rejects.select("accident_pk"), allowMissingColumns=True
     )
-    return both
 
 
 @query
@@ -370,11 +368,10 @@ def dim8_fact_accident(spark, sf_dir):
 @query
 def dim8_accident_rejects(spark, sf_dir):
     """Accidents left out of the facts, with the keys they lack."""
-    accidents = accident(spark, sf_dir)
-    _, rejects = star.fact_accident(
-        accidents, _partial_location(spark), star.dim_vehicle(spark), known_weather(spark, sf_dir)
+    rejects = star.accident_rejects(
+        accident(spark, sf_dir), _partial_location(spark), star.dim_vehicle(spark), known_weather(spark, sf_dir)
     )
-    return rejects.select("accident_pk", F.array_join("missing_keys", ",").alias("missing_keys"))
+    return rejects.selectExpr("accident_pk", "array_join(missing_keys, ',') AS missing_keys")
 
 
 # ---------------------------------------------------------------- data quality
@@ -425,20 +422,22 @@ def dq4_bad_values(spark, sf_dir):
 
 
 def _view(name: str) -> Query:
+    needs = {
+        "location_summary": ("accidents", "traffic", "location"),
+        "location_summary_fanout": ("accidents", "traffic", "location"),
+        "hourly_profile": ("accidents", "traffic"),
+        "hourly_profile_fanout": ("accidents", "traffic"),
+        "monthly_trend": ("accidents",),
+        "congestion_hotspots": ("traffic", "location"),
+        "weather_risk": ("accidents", "weather"),
+        "severity_by_location": ("accidents", "location"),
+        "road_condition_risk": ("accidents",),
+    }[name]
+
     def run(spark, sf_dir):
         built = warehouse_of(spark, sf_dir)
-        arguments = {
-            "location_summary": (built.accidents, built.traffic, built.location),
-            "location_summary_fanout": (built.accidents, built.traffic, built.location),
-            "hourly_profile": (built.accidents, built.traffic),
-            "hourly_profile_fanout": (built.accidents, built.traffic),
-            "monthly_trend": (built.accidents,),
-            "congestion_hotspots": (built.traffic, built.location),
-            "weather_risk": (built.accidents, built.weather),
-            "severity_by_location": (built.accidents, built.location),
-            "road_condition_risk": (built.accidents,),
-        }[name]
-        return views.ordered(f"vw_{name}", getattr(views, name)(*arguments))
+        view = getattr(views, name)(*[getattr(built, frame) for frame in needs])
+        return views.ordered(f"vw_{name}", view)
 
     return run
 
@@ -577,10 +576,8 @@ def mlp5_standardise(spark, sf_dir):
 
 
 def _scored(spark, sf_dir, multiplier: int = 37):
-    p = _probability(multiplier)
-    return accident(spark, sf_dir).select(
-        "Accident_ID", V.TARGET, p.alias("p1"), F.when(p >= 0.5, 1).otherwise(0).alias("predicted")
-    )
+    rows = accident(spark, sf_dir).selectExpr("Accident_ID", V.TARGET, f"{_probability(multiplier)} AS p1")
+    return rows.selectExpr("*", "IF(p1 >= 0.5, 1, 0) AS predicted")
 
 
 @query
@@ -598,7 +595,7 @@ def mlp10_comparison(spark, sf_dir):
     rows = []
     for name, multiplier in _STAND_INS.items():
         scored = _scored(spark, sf_dir, multiplier)
-        folds = scored.withColumn("fold", model_data.hash_bucket("Accident_ID", f"fold{V.MODEL_SEED}", V.CV_FOLDS))
+        folds = training.with_folds(scored, "Accident_ID")
         measured = evaluation.metrics(scored, "p1", "predicted", V.TARGET).withColumn("model", F.lit(name))
         by_fold = evaluation.fold_f1(folds, "fold", "predicted", V.TARGET).withColumn("model", F.lit(name))
         rows.append(measured.join(by_fold, "model"))
@@ -621,19 +618,19 @@ def mlp9_tiers(spark, sf_dir):
 
 def _keys(spark, sf_dir):
     """Object keys such as an upload of each order and event would have."""
-    orders = source.table(spark, sf_dir, "orders").select(
-        F.concat_ws("/", F.lit("raw"), "o_orderpriority", F.concat(F.lit("ACCIDENT_"), "o_orderkey", F.lit(".csv"))).alias("key")
+    orders = source.table(spark, sf_dir, "orders").selectExpr(
+        "concat('raw/', o_orderpriority, '/ACCIDENT_', o_orderkey, '.csv') AS key"
     )
-    kind = F.when(F.col("event_type") == "error", "Sensor-accident").when(F.col("event_type") == "view", "notes").otherwise("road_sensor")
-    events = source.table(spark, sf_dir, "events").select(
-        F.concat_ws("/", F.lit("raw"), "event_type", F.concat(kind, F.lit("_"), "event_id", F.lit(".csv"))).alias("key")
+    kind = "CASE event_type WHEN 'error' THEN 'Sensor-accident' WHEN 'view' THEN 'notes' ELSE 'road_sensor' END"
+    events = source.table(spark, sf_dir, "events").selectExpr(
+        f"concat('raw/', event_type, '/', {kind}, '_', event_id, '.csv') AS key"
     )
     return orders.unionAll(events)
 
 
 @query
 def str1_routing(spark, sf_dir):
-    return _keys(spark, sf_dir).select("key", F.array_join(ingest.routes_of(F.col("key")), ",").alias("jobs"))
+    return _keys(spark, sf_dir).selectExpr("key", f"array_join({ingest.routes_of('key')}, ',') AS jobs")
 
 
 @query
@@ -648,25 +645,14 @@ def str1_ingest(spark, sf_dir):
         (accidents, schemas.RAW_ACCIDENT, "unrelated"),
     ):
         _as_csv(frame, schema).write.option("header", True).csv(f"{root}/{name}")
-    maxima = kpi.maxima_of(readings, "Vehicle_Count", "Average_Speed")
+    maxima = kpi.maxima_of(readings)
     for _ in range(2):
         for job in ingest.ingest_all(spark, root, out, checkpoint, maxima):
             job.awaitTermination()
-    sensors = spark.read.parquet(f"{out}/sensor").select(
-        F.lit("sensor").alias("job"), "Location", F.col("congestion_index").alias("score")
-    )
-    crashes = spark.read.parquet(f"{out}/accident").select(
-        F.lit("accident").alias("job"), "Location", F.col("risk_score").alias("score")
-    )
-    rows = sensors.unionByName(crashes)
-    return rows.groupBy("job", "Location").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.rint(F.col("score") * 10000).cast("bigint")).alias("total_score")
-    )
-
-
-def _event_stream(spark, sf_dir):
-    path = f"{sf_dir}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    sensors = spark.read.parquet(f"{out}/sensor").selectExpr("'sensor' AS job", "Location", "congestion_index AS score")
+    crashes = spark.read.parquet(f"{out}/accident").selectExpr("'accident' AS job", "Location", "risk_score AS score")
+    totals = ["count(*) AS rows", f"sum({units('score')}) AS total_score"]
+    return sensors.unionByName(crashes).groupBy("job", "Location").agg(*columns(totals))
 
 
 def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
@@ -686,14 +672,11 @@ def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
 @query
 def str2_incremental_kpi(spark, sf_dir):
     """Sensor KPIs of a stream of events, with the maxima of a calibration table."""
-    calibration = kpi.maxima_of(sensor_raw(spark, sf_dir), "Vehicle_Count", "Average_Speed")
-    zoned = source.with_zone(
-        source.reading_columns(_event_stream(spark, sf_dir)), source.table(spark, sf_dir, "region")
-    )
-    rows = ingest.sensor_kpis(zoned, calibration)
-    return _drain(
-        spark, rows.select("traffic_pk", "Location", "hour", "congestion_index", "speed_category", "volume_band"), "kpis"
-    )
+    calibration = kpi.maxima_of(sensor_raw(spark, sf_dir))
+    readings = source.readings_of(source.event_stream(spark, sf_dir), source.table(spark, sf_dir, "region"))
+    rows = ingest.sensor_kpis(readings, calibration)
+    wanted = ("traffic_pk", "Location", "hour", "congestion_index", "speed_category", "volume_band")
+    return _drain(spark, rows.select(*wanted), "kpis")
 
 
 # Names of the stand-in alarms.
@@ -701,9 +684,8 @@ _ALARMS = ("CityFlow-SensorJob-Failed", "CityFlow-AccidentJob-Failed", "Trigger-
 
 
 def _failures(events: DataFrame) -> DataFrame:
-    name = F.get(F.array(*[F.lit(a) for a in _ALARMS]), (F.col("user_id") % 3).cast("int"))
-    failed = F.when(F.col("event_type") == "error", 1).otherwise(0)
-    return events.select(F.col("ts").cast("timestamp").alias("ts"), name.alias("name"), failed.alias("failed"))
+    name = case("user_id % 3", dict(enumerate(_ALARMS[:-1])), _ALARMS[-1])
+    return events.selectExpr("ts", f"{name} AS name", "IF(event_type = 'error', 1, 0) AS failed")
 
 
 def _alarm_states(spark, sf_dir):
@@ -718,7 +700,7 @@ def str3_alarm(spark, sf_dir):
 @query
 def str3_alarm_stream(spark, sf_dir):
     """The same as a stream; periods within the watermark's delay of the end are still open."""
-    return _drain(spark, alarms.alarm_stream(_failures(_event_stream(spark, sf_dir)), "ts", "name", "failed"), "alarms")
+    return _drain(spark, alarms.alarm_stream(_failures(source.event_stream(spark, sf_dir)), "ts", "name", "failed"), "alarms")
 
 
 @query

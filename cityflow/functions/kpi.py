@@ -1,63 +1,61 @@
-"""KPI columns. All are native expressions, so they stay inside generated code."""
+"""KPI expressions. All are native, so they stay inside generated code."""
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
-from cityflow.functions.numeric import as_column
+from cityflow.functions.text import case, literal, one_of
 
 
-def band(c: Column | str, edges: Sequence, labels: Sequence[str], closed: str = "right") -> Column:
+def band(x: str, edges: Sequence, labels: Sequence[str], closed: str = "right") -> str:
     """Name the interval a value falls in; null falls into the last one.
 
     ``closed="right"`` puts a value equal to an edge below it, ``"left"`` above it.
     """
     if len(labels) != len(edges) + 1:
         raise ValueError("one more label than edges is needed")
-    c = as_column(c)
-    below = (lambda edge: c <= edge) if closed == "right" else (lambda edge: c < edge)
-    named = F.when(below(edges[0]), labels[0])
-    for edge, label in zip(edges[1:], labels[1:-1]):
-        named = named.when(below(edge), label)
-    return named.otherwise(labels[-1])
+    below = "<=" if closed == "right" else "<"
+    arms = " ".join(f"WHEN {x} {below} {literal(e)} THEN {literal(n)}" for e, n in zip(edges, labels))
+    return f"CASE {arms} ELSE {literal(labels[-1])} END"
 
 
-def lookup(c: Column | str, mapping: Mapping, default) -> Column:
+def lookup(x: str, mapping: Mapping, default) -> str:
     """Value of a literal map; the default for unknown keys and null."""
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-    return F.coalesce(table[as_column(c)], F.lit(default))
+    return case(x, dict(mapping), default)
 
 
 ordinal = lookup
 
 
-def flag_in(c: Column | str, values: Sequence) -> Column:
-    return F.when(as_column(c).isin(*values), 1).otherwise(0)
+def flag_in(x: str, values: Sequence) -> str:
+    return f"CASE WHEN {one_of(x, values)} THEN 1 ELSE 0 END"
 
 
-def position_in(c: Column | str, *values) -> Column:
+def position_in(x: str, *values) -> str:
     """1-based place of a value in a list, 0 if absent or null."""
-    places = F.array_position(F.array(*[F.lit(v) for v in values]), as_column(c))
-    return F.coalesce(places, F.lit(0)).cast("int")
+    listed = f"array({', '.join(literal(v) for v in values)})"
+    return f"CAST(coalesce(array_position({listed}, {x}), 0) AS INT)"
 
 
 def congestion_index(
-    volume: Column | str,
-    speed: Column | str,
-    max_volume: Column,
-    max_speed: Column,
+    volume: str,
+    speed: str,
+    max_volume: str,
+    max_speed: str,
     weights: tuple[float, float] = V.CONGESTION_WEIGHTS,
     digits: int = 4,
-) -> Column:
-    by_volume = as_column(volume) * weights[0] / F.nullif(max_volume, F.lit(0))
-    by_speed = (1.0 - as_column(speed) / F.nullif(max_speed, F.lit(0))) * weights[1]
-    return F.round(by_volume + by_speed, digits)
+) -> str:
+    """Null when a maximum is 0."""
+    by_volume, by_speed = (literal(float(w)) for w in weights)
+    return (
+        f"round({by_volume} * {volume} / NULLIF({max_volume}, 0)"
+        f" + {by_speed} * (1.0D - CAST({speed} AS DOUBLE) / NULLIF({max_speed}, 0)), {digits})"
+    )
 
 
-def maxima_of(df: DataFrame, volume: str, speed: str) -> DataFrame:
+def maxima_of(df: DataFrame, volume: str = "Vehicle_Count", speed: str = "Average_Speed") -> DataFrame:
     """One row: the largest volume and speed."""
     return df.agg(F.max(volume).alias("max_volume"), F.max(speed).alias("max_speed"))
 
@@ -76,46 +74,45 @@ def with_congestion_index(
     read as a scalar subquery: its one value enters the scan's own stage, with no join or collect.
     """
     if isinstance(maxima, tuple):
-        top_volume, top_speed = (F.lit(m) for m in maxima)
-    else:
-        source = maxima_of(df, volume, speed) if maxima is None else maxima
-        top = source.select(F.struct("max_volume", "max_speed")).scalar()
-        top_volume, top_speed = top["max_volume"], top["max_speed"]
-    index = congestion_index(volume, speed, top_volume, top_speed, weights, digits)
-    return df.withColumn("congestion_index", index)
+        top = [literal(m) for m in maxima]
+        return df.selectExpr(
+            "*", f"{congestion_index(volume, speed, *top, weights, digits)} AS congestion_index"
+        )
+    source = maxima_of(df, volume, speed) if maxima is None else maxima
+    top = source.selectExpr("struct(max_volume, max_speed)").scalar()
+    index = congestion_index(volume, speed, "__top.max_volume", "__top.max_speed", weights, digits)
+    return df.withColumn("__top", top).selectExpr("* EXCEPT (__top)", f"{index} AS congestion_index")
 
 
-def speed_category(c: Column | str) -> Column:
-    return band(c, V.SPEED_EDGES, V.SPEED_LABELS, closed="left")
+def speed_category(x: str) -> str:
+    return band(x, V.SPEED_EDGES, V.SPEED_LABELS, closed="left")
 
 
-def volume_band(c: Column | str) -> Column:
-    return band(c, V.VOLUME_EDGES, V.VOLUME_LABELS, closed="right")
+def volume_band(x: str) -> str:
+    return band(x, V.VOLUME_EDGES, V.VOLUME_LABELS, closed="right")
 
 
-def hazard_level(c: Column | str) -> Column:
-    return band(c, V.HAZARD_EDGES, V.HAZARD_LABELS, closed="right")
+def hazard_level(x: str) -> str:
+    return band(x, V.HAZARD_EDGES, V.HAZARD_LABELS, closed="right")
 
 
-def risk_tier(c: Column | str) -> Column:
-    return band(c, V.TIER_EDGES, V.TIER_LABELS, closed="left")
+def risk_tier(x: str) -> str:
+    return band(x, V.TIER_EDGES, V.TIER_LABELS, closed="left")
 
 
-def severity_score(
-    c: Column | str, mapping: Mapping = V.SEVERITY_SCORES, default: int = V.TOP_SEVERITY_SCORE
-) -> Column:
-    return ordinal(c, mapping, default)
+def severity_score(x: str, mapping: Mapping = V.SEVERITY_SCORES, default: int = V.TOP_SEVERITY_SCORE) -> str:
+    return ordinal(x, mapping, default)
 
 
-def log_casualties(c: Column | str) -> Column:
-    return F.log1p(F.coalesce(as_column(c), F.lit(0)) + 1)
+def log_casualties(x: str) -> str:
+    return f"log1p(coalesce({x}, 0) + 1)"
 
 
-def risk_score(severity: Column | str, log_cas: Column | str, vehicles: Column | str, digits: int = 4) -> Column:
-    return F.round(as_column(severity) * as_column(log_cas) * as_column(vehicles), digits)
+def risk_score(severity: str, log_cas: str, vehicles: str, digits: int = 4) -> str:
+    return f"round({severity} * {log_cas} * {vehicles}, {digits})"
 
 
 def vehicle_class(
-    c: Column | str, mapping: Mapping = V.VEHICLE_CLASSES, default: str = V.OTHER_VEHICLE_CLASS
-) -> Column:
-    return lookup(c, mapping, default)
+    x: str, mapping: Mapping = V.VEHICLE_CLASSES, default: str = V.OTHER_VEHICLE_CLASS
+) -> str:
+    return lookup(x, mapping, default)

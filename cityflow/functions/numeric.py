@@ -1,67 +1,63 @@
 """Exact rounding of sums, averages and shares.
 
 Sums run over integers (fixed-point values are scaled to integers first), so a result does not
-depend on the order in which partitions are merged, nor on task retries. A ratio is then rounded
-half away from zero in integer arithmetic, once per result row.
+depend on the order in which partitions are merged, nor on task retries. A ratio is divided as
+decimals and rounded half away from zero, once per result row.
 """
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-WIDE = "decimal(38,0)"
 
+def units(x: str, digits: int = 4) -> str:
+    """A value already rounded to ``digits`` places, as a BIGINT multiple of ``10**-digits``."""
+    return f"CAST(rint(({x}) * {10**digits}D) AS BIGINT)"
 
-def as_column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
+def ratio(num: str, den: str, digits: int, scale: int = 0) -> str:
+    """``round(num / 10**scale / den, digits)`` as DOUBLE; null where ``den`` is 0 or null.
 
-def scaled(c: Column | str, digits: int = 4) -> Column:
-    """A value already rounded to ``digits`` places, as a BIGINT multiple of ``10**-digits``."""
-    return F.rint(as_column(c) * float(10**digits)).cast("bigint")
+    ``num`` and ``den`` are BIGINT. The decimal quotient has at least 14 places, so it is never
+    rounded into a tie that the true quotient is not.
+    """
+    bottom = f"NULLIF(CAST({den} AS DECIMAL(20,0)), 0)"
+    if scale:
+        bottom = f"({bottom} * {10**scale})"
+    return f"CAST(round(CAST({num} AS DECIMAL(20,0)) / {bottom}, {digits}) AS DOUBLE)"
 
 
-def half_up(num: Column, den: Column | int, digits: int, scale: int = 0) -> Column:
-    """``round(num / 10**scale / den, digits)`` as DOUBLE; null where ``den`` is 0 or null."""
-    top = num.cast(WIDE)
-    bottom = (F.lit(den) if isinstance(den, int) else den).cast(WIDE)
-    bottom = F.nullif(bottom, F.lit(0).cast(WIDE))
-    shift = digits - scale
-    if shift >= 0:
-        top = (top * F.lit(10**shift).cast(WIDE)).cast(WIDE)
+def wide_ratio(num: str, den: str, digits: int, scale: int = 0) -> str:
+    """The same for DECIMAL(38,0) integers, whose decimal quotient would keep too few places."""
+    wide = "DECIMAL(38,0)"
+    top, bottom = f"CAST({num} AS {wide})", f"NULLIF(CAST({den} AS {wide}), 0)"
+    if digits >= scale:
+        top = f"CAST({top} * {10 ** (digits - scale)} AS {wide})"
     else:
-        bottom = (bottom * F.lit(10**-shift).cast(WIDE)).cast(WIDE)
-    two = F.lit(2).cast(WIDE)
-    divisor = (bottom * two).cast(WIDE)
-    dividend = (F.abs(top) * two + bottom).cast(WIDE)
-    units = (dividend - dividend % divisor).cast("double") / divisor.cast("double")
-    sign = F.when(top < 0, -1.0).otherwise(1.0)
-    return sign * units / float(10**digits)
+        bottom = f"CAST({bottom} * {10 ** (scale - digits)} AS {wide})"
+    dividend, divisor = f"CAST({top} * 2 + {bottom} AS {wide})", f"CAST({bottom} * 2 AS {wide})"
+    whole = f"CAST({dividend} - {dividend} % {divisor} AS DOUBLE)"
+    return f"{whole} / CAST({divisor} AS DOUBLE) / {10**digits}D"
 
 
-def avg_of(c: Column | str, digits: int) -> Column:
-    """Average of an integer column, nulls ignored."""
-    c = as_column(c)
-    return half_up(F.sum(c.cast("bigint")), F.count(c), digits)
+def total(x: str) -> str:
+    return f"sum(CAST({x} AS BIGINT))"
 
 
-def avg_fixed(c: Column | str, digits: int, scale: int = 4) -> Column:
-    """Average of a fixed-point DOUBLE column, nulls ignored."""
-    c = as_column(c)
-    return half_up(F.sum(scaled(c, scale)), F.count(c), digits, scale)
+def avg_of(x: str, digits: int) -> str:
+    """Average of an integer column, nulls ignored."""
+    return ratio(total(x), f"count({x})", digits)
 
 
-def sum_of(c: Column | str) -> Column:
-    return F.sum(as_column(c).cast("bigint"))
+def avg_fixed(x: str, digits: int, scale: int = 4) -> str:
+    """Average of a fixed-point DOUBLE column, nulls ignored."""
+    return ratio(f"sum({units(x, scale)})", f"count({x})", digits, scale)
 
 
-def sum_fixed(c: Column | str, digits: int, scale: int = 4) -> Column:
-    return half_up(F.sum(scaled(c, scale)), 1, digits, scale)
+def sum_fixed(x: str, digits: int, scale: int = 4) -> str:
+    return ratio(f"sum({units(x, scale)})", "1", digits, scale)
 
 
-def count_where(condition: Column) -> Column:
+def hits(condition: str) -> str:
     """``SUM(CASE WHEN condition THEN 1 ELSE 0 END)``; 0 when nothing matches."""
-    return F.sum(F.when(condition, 1).otherwise(0).cast("bigint"))
+    return f"count_if({condition})"
 
 
-def percent(part: Column, whole: Column, digits: int = 1) -> Column:
-    return half_up(part * 100, whole, digits)
+def percent(part: str, whole: str, digits: int = 1) -> str:
+    return ratio(f"({part}) * 100", whole, digits)

@@ -2,81 +2,75 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cityflow import fixed_values as V
-from cityflow.functions.numeric import as_column
+from cityflow.functions.text import literal, one_of
 
 HourRanges = Sequence[tuple[int, int]]
 
 
-def parse_ts(c: Column | str, fmt: str = V.TIMESTAMP_FORMAT) -> Column:
+def parse_ts(text: str, fmt: str = V.TIMESTAMP_FORMAT) -> str:
     """Text to timestamp. A row that does not parse gives null instead of failing the job."""
-    return F.try_to_timestamp(as_column(c), F.lit(fmt))
+    return f"try_to_timestamp({text}, {literal(fmt)})"
 
 
-def is_weekend(ts: Column | str, days: Sequence[int] = V.WEEKEND_DAYS) -> Column:
-    return F.when(F.dayofweek(ts).isin(*days), 1).otherwise(0)
+def is_weekend(ts: str, days: Sequence[int] = V.WEEKEND_DAYS) -> str:
+    return f"CASE WHEN {one_of(f'dayofweek({ts})', days)} THEN 1 ELSE 0 END"
 
 
-def _within(hour: Column, ranges: HourRanges) -> Column:
-    first, last = ranges[0]
-    test = hour.between(first, last)
-    for first, last in ranges[1:]:
-        test = test | hour.between(first, last)
-    return test
+def _within(hour: str, ranges: HourRanges) -> str:
+    return " OR ".join(f"{hour} BETWEEN {first} AND {last}" for first, last in ranges)
 
 
-def is_peak(hour: Column | str, ranges: HourRanges = V.PEAK_HOURS) -> Column:
-    return F.when(_within(as_column(hour), ranges), 1).otherwise(0)
+def is_peak(hour: str, ranges: HourRanges = V.PEAK_HOURS) -> str:
+    return f"CASE WHEN {_within(hour, ranges)} THEN 1 ELSE 0 END"
 
 
 def time_of_day(
-    hour: Column | str,
+    hour: str,
     periods: Sequence[tuple[str, HourRanges]] = V.DAY_PERIODS,
     default: str = V.OTHER_PERIOD,
-) -> Column:
+) -> str:
     """Name of the day period; the first match wins and a null hour stays null."""
-    hour = as_column(hour)
-    named = F.when(hour.isNull(), F.lit(None).cast("string"))
-    for label, ranges in periods:
-        named = named.when(_within(hour, ranges), label)
-    return named.otherwise(default)
+    arms = " ".join(f"WHEN {_within(hour, ranges)} THEN {literal(label)}" for label, ranges in periods)
+    return f"CASE WHEN {hour} IS NULL THEN NULL {arms} ELSE {literal(default)} END"
 
 
 def with_temporal(df: DataFrame, ts: str = "DateTime") -> DataFrame:
     """year, month, day, hour, quarter, day_of_week (Sunday = 1), is_weekend, is_peak_hour."""
-    return df.withColumns(
-        {
-            "year": F.year(ts),
-            "month": F.month(ts),
-            "day": F.dayofmonth(ts),
-            "hour": F.hour(ts),
-            "quarter": F.quarter(ts),
-            "day_of_week": F.dayofweek(ts),
-            "is_weekend": is_weekend(ts),
-            "is_peak_hour": is_peak(F.hour(ts)),
-        }
+    return df.selectExpr(
+        "*",
+        f"year({ts}) AS year",
+        f"month({ts}) AS month",
+        f"dayofmonth({ts}) AS day",
+        f"hour({ts}) AS hour",
+        f"quarter({ts}) AS quarter",
+        f"dayofweek({ts}) AS day_of_week",
+        f"{is_weekend(ts)} AS is_weekend",
+        f"{is_peak(f'hour({ts})')} AS is_peak_hour",
     )
 
 
-def with_calendar(df: DataFrame, ts: str) -> DataFrame:
+def calendar(ts: str) -> list[str]:
     """Calendar attributes of the date dimension; here the week starts on Monday = 1."""
-    return df.withColumns(
-        {
-            "date_only": F.to_date(ts),
-            "year": F.year(ts),
-            "quarter": F.quarter(ts),
-            "month": F.month(ts),
-            "month_name": F.date_format(ts, "MMMM"),
-            "month_sort": F.month(ts),
-            "week": F.weekofyear(ts),
-            "day_name": F.date_format(ts, "EEEE"),
-            "day_of_week_num": F.weekday(ts) + 1,
-            "hour": F.hour(ts),
-            "time_of_day": time_of_day(F.hour(ts)),
-            "is_peak_hour": is_peak(F.hour(ts)),
-            "is_weekend": F.when(F.weekday(ts) >= 5, 1).otherwise(0),
-        }
-    )
+    hour = f"hour({ts})"
+    return [
+        f"to_date({ts}) AS date_only",
+        f"year({ts}) AS year",
+        f"quarter({ts}) AS quarter",
+        f"month({ts}) AS month",
+        f"date_format({ts}, 'MMMM') AS month_name",
+        f"month({ts}) AS month_sort",
+        f"weekofyear({ts}) AS week",
+        f"date_format({ts}, 'EEEE') AS day_name",
+        f"weekday({ts}) + 1 AS day_of_week_num",
+        f"{hour} AS hour",
+        f"{time_of_day(hour)} AS time_of_day",
+        f"{is_peak(hour)} AS is_peak_hour",
+        f"CASE WHEN weekday({ts}) >= 5 THEN 1 ELSE 0 END AS is_weekend",
+    ]
+
+
+def with_calendar(df: DataFrame, ts: str) -> DataFrame:
+    return df.selectExpr("*", *calendar(ts))

@@ -2,22 +2,21 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
 from cityflow.functions.kpi import risk_tier
-from cityflow.functions.numeric import WIDE, percent
+from cityflow.functions.numeric import percent
+from cityflow.functions.text import case, columns
 from cityflow.operators.prefix import with_running_total
 
 _SCORE_RANGES = 4096
 
 
-def f1_of(predicted: Column, label: Column) -> Column:
-    """F1 of the positive class as an aggregate; 0 when there is no positive at all."""
-    hit = F.count_if((predicted == 1) & (label == 1))
-    positives = F.count_if(predicted == 1) + F.count_if(label == 1)
-    return F.when(positives == 0, 0.0).otherwise(2 * hit / F.nullif(positives, F.lit(0)))
+def _f1(hit: str, called_and_positive: str) -> str:
+    """0 when nothing is positive, neither by label nor by prediction."""
+    return f"IF({called_and_positive} = 0, 0D, 2 * {hit} / NULLIF({called_and_positive}, 0))"
 
 
 def metrics(scored: DataFrame, probability: str, predicted: str, label: str) -> DataFrame:
@@ -26,41 +25,46 @@ def metrics(scored: DataFrame, probability: str, predicted: str, label: str) ->
     The area is the share of (positive, negative) pairs ranked rightly, ties counting half. Rows
     are first added up per score; the negatives below each score are then a running total.
     """
-    p, y = F.col(predicted), F.col(label)
-
-    def count_of(condition: Column) -> Column:
-        return F.count_if(condition)
-
-    by_score = scored.groupBy(F.col(probability).alias("score")).agg(
-        count_of(y == 1).alias("pos"),
-        count_of(y == 0).alias("neg"),
-        count_of(p == y).alias("right"),
-        count_of((p == 1) & (y == 1)).alias("hit"),
-        count_of(p == 1).alias("called"),
+    p, y = predicted, label
+    by_score = (
+        scored.selectExpr(f"{probability} AS score", p, y)
+        .groupBy("score")
+        .agg(
+            *columns(
+                [
+                    f"count_if({y} = 1) AS pos",
+                    f"count_if({y} = 0) AS neg",
+                    f"count_if({p} = {y}) AS right_calls",
+                    f"count_if({p} = 1 AND {y} = 1) AS hit",
+                    f"count_if({p} = 1) AS called",
+                ]
+            )
+        )
     )
-    ranked = with_running_total(
-        by_score, F.col("neg"), "score", F.floor(F.col("score") * _SCORE_RANGES), "neg_upto"
-    )
-    pairs = F.col("pos").cast(WIDE) * (2 * F.col("neg_upto") - F.col("neg")).cast(WIDE)
+    ranked = with_running_total(by_score, "neg", "score", f"floor(score * {_SCORE_RANGES})", "neg_upto")
+    pairs = "CAST(pos AS DECIMAL(38,0)) * (2 * neg_upto - neg)"
     totals = ranked.agg(
-        F.sum("right").alias("right"), F.sum("hit").alias("hit"), F.sum("called").alias("called"),
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum(pairs).cast("double").alias("pairs"),
+        *columns(
+            [
+                *[f"sum({c}) AS {c}" for c in ("right_calls", "hit", "called", "pos", "neg")],
+                f"CAST(sum(CAST({pairs} AS DECIMAL(38,0))) AS DOUBLE) AS pairs",
+            ]
+        )
     )
-    all_pairs = 2.0 * F.col("pos").cast("double") * F.col("neg").cast("double")
-    called_or_pos = F.col("called") + F.col("pos")
-    return totals.select(
-        (F.col("right") / F.nullif(F.col("pos") + F.col("neg"), F.lit(0))).alias("accuracy"),
-        F.when(called_or_pos == 0, 0.0)
-        .otherwise(2 * F.col("hit") / F.nullif(called_or_pos, F.lit(0)))
-        .alias("f1_score"),
-        (F.col("pairs") / F.nullif(all_pairs, F.lit(0.0))).alias("roc_auc"),
+    all_pairs = "2D * CAST(pos AS DOUBLE) * CAST(neg AS DOUBLE)"
+    return totals.selectExpr(
+        "right_calls / NULLIF(pos + neg, 0) AS accuracy",
+        f"{_f1('hit', '(called + pos)')} AS f1_score",
+        f"pairs / NULLIF({all_pairs}, 0D) AS roc_auc",
     )
 
 
 def fold_f1(scored: DataFrame, fold: str, predicted: str, label: str) -> DataFrame:
     """Mean and population standard deviation of the per-fold F1."""
-    per_fold = scored.groupBy(fold).agg(f1_of(F.col(predicted), F.col(label)).alias("f1"))
-    return per_fold.agg(F.avg("f1").alias("cv_f1_mean"), F.stddev_pop("f1").alias("cv_f1_std"))
+    both = f"(count_if({predicted} = 1) + count_if({label} = 1))"
+    hit = f"count_if({predicted} = 1 AND {label} = 1)"
+    per_fold = scored.groupBy(fold).agg(F.expr(f"{_f1(hit, both)} AS f1"))
+    return per_fold.agg(*columns(["avg(f1) AS cv_f1_mean", "stddev_pop(f1) AS cv_f1_std"]))
 
 
 def compare(models: DataFrame, digits: int = 3) -> DataFrame:
@@ -68,33 +72,30 @@ def compare(models: DataFrame, digits: int = 3) -> DataFrame:
 
     Expects a row per model; the first name wins a tie.
     """
-    best = F.row_number().over(Window.orderBy(F.desc("roc_auc"), "model"))
+    best = "row_number() OVER (ORDER BY roc_auc DESC, model) = 1 AS selected"
     names = ("accuracy", "f1_score", "roc_auc", "cv_f1_mean", "cv_f1_std")
-    return models.withColumn("selected", best == 1).select(
-        "model", *[F.round(c, digits).alias(c) for c in names], "selected"
-    )
+    return models.selectExpr("model", *[f"round({c}, {digits}) AS {c}" for c in names], best)
 
 
-def risk_table(scored: DataFrame, probability: Column, predicted: Column) -> DataFrame:
+def risk_table(scored: DataFrame, probability: str, predicted: str) -> DataFrame:
     """The scored table: probability to 4 places, class, actual outcome and tier."""
-    rows = scored.select(
+    rows = scored.selectExpr(
         "accident_id",
         "location_name",
-        F.round(probability, 4).alias("predicted_risk_prob"),
-        predicted.cast("int").alias("predicted_class"),
-        F.col(V.TARGET).cast("int").alias("actual_fatal_severe"),
+        f"round({probability}, 4) AS predicted_risk_prob",
+        f"CAST({predicted} AS INT) AS predicted_class",
+        f"CAST({V.TARGET} AS INT) AS actual_fatal_severe",
     )
-    return rows.withColumn("risk_tier", risk_tier("predicted_risk_prob"))
+    return rows.selectExpr("*", f"{risk_tier('predicted_risk_prob')} AS risk_tier")
 
 
 def tier_distribution(risk: DataFrame, ranges: Mapping[str, str] = V.TIER_RANGES) -> DataFrame:
     """Rows per tier, share of all rows and the tier's probability range."""
-    counts = risk.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("count"))
-    total = counts.agg(F.sum("count")).scalar()
-    text = F.create_map(*[F.lit(x) for pair in ranges.items() for x in pair])
-    return counts.select(
+    counts = risk.groupBy("risk_tier").agg(F.expr("count(*) AS count"))
+    everything = counts.agg(F.expr("sum(count)")).scalar()
+    return counts.withColumn("__all", everything).selectExpr(
         "risk_tier",
         "count",
-        percent(F.col("count"), total).alias("percentage"),
-        text[F.col("risk_tier")].alias("probability_threshold"),
+        f"{percent('count', '__all')} AS percentage",
+        f"{case('risk_tier', dict(ranges), None)} AS probability_threshold",
     )

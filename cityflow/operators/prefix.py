@@ -5,32 +5,28 @@ A window with no partition columns sends every row to one task. Here rows are gr
 rows are ordered within their bucket only. The two add up to the exact running total.
 """
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-_TOTAL, _BEFORE, _BUCKET = "__total", "__before", "__bucket"
 
-
-def with_running_total(
-    df: DataFrame, value: Column, order_by: str | list[str], bucket: Column, out: str
-) -> DataFrame:
+def with_running_total(df: DataFrame, value: str, order_by: str, bucket: str, out: str) -> DataFrame:
     """Add the sum of ``value`` over all rows up to and including this one.
 
-    The number of buckets must be small (days, ranges of a score) and is the only thing one
-    task sorts. ``order_by`` must be unique.
+    ``value``, ``order_by`` and ``bucket`` are SQL expressions; ``order_by`` must be unique. The
+    number of buckets must be small (days, ranges of a score): it is all that one task sorts.
     """
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    bucketed = df.withColumn(_BUCKET, bucket)
-    earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    bucketed = df.selectExpr("*", f"{bucket} AS __bucket", f"{value} AS __value")
     before = (
-        bucketed.groupBy(_BUCKET)
-        .agg(F.sum(value).alias(_TOTAL))
-        .select(_BUCKET, F.coalesce(F.sum(_TOTAL).over(earlier), F.lit(0)).alias(_BEFORE))
+        bucketed.groupBy("__bucket")
+        .agg({"__value": "sum"})
+        .selectExpr(
+            "__bucket",
+            "coalesce(sum(`sum(__value)`) OVER (ORDER BY __bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __before",
+        )
+    )
+    inside = bucketed.selectExpr(
+        "*",
+        f"sum(__value) OVER (PARTITION BY __bucket ORDER BY {order_by} ROWS UNBOUNDED PRECEDING) AS __inside",
     )
-    inside = Window.partitionBy(_BUCKET).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        bucketed.withColumn(out, F.sum(value).over(inside))
-        .join(before, _BUCKET)
-        .withColumn(out, F.col(out) + F.col(_BEFORE))
-        .drop(_BUCKET, _BEFORE)
+    return inside.join(before, "__bucket").selectExpr(
+        "* EXCEPT (__bucket, __value, __inside, __before)", f"__inside + __before AS {out}"
     )

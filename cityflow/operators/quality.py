@@ -5,21 +5,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cityflow.functions.text import columns as expressions
+from cityflow.functions.text import one_of
+
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Nulls per column, in one pass over the table."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in columns]
-    )
-    return counts.select(F.inline(pairs))
+    counts = df.agg(*expressions(f"count_if({c} IS NULL) AS {c}" for c in columns))
+    pairs = ", ".join(f"struct('{c}' AS column_name, {c} AS null_count)" for c in columns)
+    return counts.selectExpr(f"inline(array({pairs}))")
 
 
 def duplicates(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their counts. Null keys are not compared."""
     keys = [key] if isinstance(key, str) else list(key)
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
-    return counts.filter(F.col("row_count") > 1)
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.expr("count(*) AS row_count"))
+    return counts.filter("row_count > 1")
 
 
 def orphans(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:
@@ -29,27 +30,22 @@ def orphans(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataF
     as a single row.
     """
     keys = list(on)
-    counts = child.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
-    known = parent.select(*[F.col(p).alias(c) for c, p in on.items()])
+    counts = child.dropna(subset=keys).groupBy(*keys).agg(F.expr("count(*) AS row_count"))
+    known = parent.selectExpr(*[f"{p} AS {c}" for c, p in on.items()])
     return counts.join(known, keys, "left_anti")
 
 
 def bad_values(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
     """Values outside a documented domain, with their counts."""
-    strange = df.filter(~F.col(column).isin(*allowed))
-    return strange.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
+    strange = df.filter(f"NOT {one_of(column, allowed)}").selectExpr(f"{column} AS value")
+    return strange.groupBy("value").agg(F.expr("count(*) AS row_count"))
 
 
 def domain_report(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
     """:func:`bad_values` of several columns, in one pass over the table."""
-    strange = F.array(
-        *[
-            F.when(
-                ~F.col(c).isin(*allowed),
-                F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")),
-            )
-            for c, allowed in domains.items()
-        ]
+    marks = ", ".join(
+        f"IF(NOT {one_of(c, allowed)}, struct('{c}' AS column_name, CAST({c} AS STRING) AS value), NULL)"
+        for c, allowed in domains.items()
     )
-    found = df.select(F.inline(F.filter(strange, lambda s: s.isNotNull())))
-    return found.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
+    found = df.selectExpr(f"inline(array_compact(array({marks})))")
+    return found.groupBy("column_name", "value").agg(F.expr("count(*) AS row_count"))

@@ -4,15 +4,14 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cityflow import fixed_values as V
 from cityflow.functions import kpi
-from cityflow.functions.temporal import with_calendar
+from cityflow.functions.temporal import calendar
 from cityflow.operators.prefix import with_running_total
-from cityflow.schemas import DIM_DATE, FACT_ACCIDENT, FACT_TRAFFIC
+from cityflow.schemas import FACT_ACCIDENT, FACT_TRAFFIC
 
 SMALL_DIMENSION_ROWS = 10_000
 
@@ -64,22 +63,22 @@ def dim_vehicle(spark: SparkSession, classes: Mapping[str, str] = V.VEHICLE_CLAS
     return dim_from_map(spark, classes, "vehicle_id", "vehicle_type", "vehicle_class")
 
 
-def with_key(dim: DataFrame, order_by: str, key: str, bucket: Column | None = None) -> DataFrame:
+def with_key(dim: DataFrame, order_by: str, key: str, bucket: str | None = None) -> DataFrame:
     """Consecutive keys 1.. in the sort order.
 
     Without ``bucket`` the rows are numbered in one task, which suits the few rows of a small
     dimension. A large one passes a bucket that rises with ``order_by``.
     """
     if bucket is None:
-        return dim.withColumn(key, F.row_number().over(Window.orderBy(order_by)).cast("bigint"))
-    return with_running_total(dim, F.lit(1).cast("bigint"), order_by, bucket, key)
+        return dim.selectExpr("*", f"CAST(row_number() OVER (ORDER BY {order_by}) AS BIGINT) AS {key}")
+    return with_running_total(dim, "1L", order_by, bucket, key)
 
 
 def dim_weather(accidents: DataFrame, column: str = "Weather_Condition") -> DataFrame:
     """Distinct conditions in sorted order with the adverse flag."""
-    named = accidents.select(F.col(column).alias("weather_condition")).distinct()
-    flagged = named.filter(F.col("weather_condition").isNotNull()).withColumn(
-        "is_adverse", kpi.flag_in("weather_condition", V.ADVERSE_WEATHER)
+    named = accidents.selectExpr(f"{column} AS weather_condition").distinct()
+    flagged = named.filter("weather_condition IS NOT NULL").selectExpr(
+        "*", f"{kpi.flag_in('weather_condition', V.ADVERSE_WEATHER)} AS is_adverse"
     )
     return with_key(flagged, "weather_condition", "weather_id").select(
         "weather_id", "weather_condition", "is_adverse"
@@ -99,34 +98,39 @@ def pin_small(df: DataFrame, max_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
-def date_key(ts: Column | str) -> Column:
+def date_key(ts: str) -> str:
     """Key of a timestamp: its seconds since 1970. It needs no lookup, sort or shared counter."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_seconds(ts.cast("timestamp"))
+    return f"unix_seconds(CAST({ts} AS TIMESTAMP))"
 
 
-def key_time(date_id: Column | str) -> Column:
-    return F.timestamp_seconds(date_id)
+def key_time(date_id: str = "date_id") -> str:
+    return f"timestamp_seconds({date_id})"
 
 
 def distinct_times(*facts: DataFrame, ts: str = "DateTime") -> DataFrame:
     """Distinct timestamps of all frames; each partition drops its repeats before the shuffle."""
-    times = [f.select(F.col(ts).cast("timestamp").alias("full_datetime")) for f in facts]
+    times = [f.selectExpr(f"CAST({ts} AS TIMESTAMP) AS full_datetime") for f in facts]
     return reduce(DataFrame.unionAll, times).filter("full_datetime IS NOT NULL").distinct()
 
 
 def dim_date(*facts: DataFrame, ts: str = "DateTime") -> DataFrame:
     """One row per distinct timestamp with its calendar attributes."""
-    times = distinct_times(*facts, ts=ts).withColumn("date_id", date_key("full_datetime"))
-    return with_calendar(times, "full_datetime").select(*DIM_DATE.fieldNames())
+    times = distinct_times(*facts, ts=ts)
+    return times.selectExpr(
+        f"{date_key('full_datetime')} AS date_id", "full_datetime", *calendar("full_datetime")
+    )
 
 
 def dim_date_sequential(*facts: DataFrame, ts: str = "DateTime") -> DataFrame:
     """The same, keyed 1.. in time order instead; only where consecutive keys are asked for."""
-    numbered = with_key(
-        distinct_times(*facts, ts=ts), "full_datetime", "date_id", bucket=F.to_date("full_datetime")
-    )
-    return with_calendar(numbered, "full_datetime").select(*DIM_DATE.fieldNames())
+    numbered = with_key(distinct_times(*facts, ts=ts), "full_datetime", "date_id", "to_date(full_datetime)")
+    return numbered.selectExpr("date_id", "full_datetime", *calendar("full_datetime"))
+
+
+def look_up(fact: DataFrame, dim: DataFrame, fact_column: str, dim_column: str, key: str) -> DataFrame:
+    """Add a surrogate key; null where the dimension has no match."""
+    names = dim.selectExpr(f"{dim_column} AS {fact_column}", key)
+    return fact.join(names, fact_column, "left")
 
 
 def resolve(
@@ -136,54 +140,43 @@ def resolve(
 
     ``on`` maps fact columns to natural key columns of the dimension.
     """
-    names = dim.select(key, *[F.col(d).alias(f"__{d}") for d in on.values()])
-    match = reduce(Column.__and__, [fact[f] == names[f"__{d}"] for f, d in on.items()])
-    found = fact.join(names, match, "inner").select(*fact.columns, key)
-    return found, fact.join(names, match, "left_anti")
-
-
-def look_up(fact: DataFrame, dim: DataFrame, fact_column: str, dim_column: str, key: str) -> DataFrame:
-    """Add a surrogate key; null where the dimension has no match."""
-    names = dim.select(key, F.col(dim_column).alias("__name"))
-    return fact.join(names, fact[fact_column] == names["__name"], "left").drop("__name")
+    names = dim.selectExpr(*[f"{d} AS {f}" for f, d in on.items()], key)
+    return fact.join(names, list(on)), fact.join(names, list(on), "left_anti")
 
 
 def _with_keys(features: DataFrame, lookups: Sequence[tuple[DataFrame, str, str, str]]) -> DataFrame:
-    keyed = features.withColumn("date_id", date_key("DateTime"))
+    keyed = features.selectExpr("*", f"{date_key('DateTime')} AS date_id")
     for dim, fact_column, dim_column, key in lookups:
         keyed = look_up(keyed, dim, fact_column, dim_column, key)
     return keyed
 
 
-def _split(keyed: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    missing = F.filter(F.array(*[F.when(F.col(k).isNull(), k) for k in keys]), lambda k: k.isNotNull())
-    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    return keyed.filter(complete), keyed.withColumn("missing_keys", missing).filter(~complete)
+def _complete(keyed: DataFrame, keys: Sequence[str], renames: Mapping[str, str], schema: T.StructType) -> DataFrame:
+    """Rows with all keys, as the columns of a fact table."""
+    raw_names = {target: raw for raw, target in renames.items()}
+    typed = [
+        f"CAST({raw_names.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in schema.fields
+    ]
+    return keyed.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys)).selectExpr(*typed)
 
 
-def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def _rejects(keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that lack a key, with the names of the keys they lack."""
+    marks = ", ".join(f"IF({k} IS NULL, '{k}', NULL)" for k in keys)
+    return keyed.selectExpr("*", f"array_compact(array({marks})) AS missing_keys").filter("size(missing_keys) > 0")
 
 
-def fact_traffic(
-    features: DataFrame, location: DataFrame, pk: str = "traffic_pk"
-) -> tuple[DataFrame, DataFrame]:
-    """Traffic facts, and the readings a key could not be found for."""
-    keyed = _with_keys(features, [(location, "Location", "location_name", "location_id")])
-    found, rejects = _split(keyed, ["location_id", "date_id"])
-    found = found.withColumnRenamed(pk, "traffic_pk")
-    return _typed(conform(found, TRAFFIC_NAMES, FACT_TRAFFIC.fieldNames()), FACT_TRAFFIC), rejects
+TRAFFIC_KEYS = ("location_id", "date_id")
+ACCIDENT_KEYS = ("location_id", "date_id", "vehicle_id", "weather_id")
 
 
-def fact_accident(
-    features: DataFrame,
-    location: DataFrame,
-    vehicle: DataFrame,
-    weather: DataFrame,
-    pk: str = "accident_pk",
-) -> tuple[DataFrame, DataFrame]:
-    """Accident facts, and the accidents a key could not be found for."""
-    keyed = _with_keys(
+def _keyed_traffic(features: DataFrame, location: DataFrame) -> DataFrame:
+    return _with_keys(features, [(location, "Location", "location_name", "location_id")])
+
+
+def _keyed_accidents(features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame) -> DataFrame:
+    return _with_keys(
         features,
         [
             (location, "Location", "location_name", "location_id"),
@@ -191,6 +184,27 @@ def fact_accident(
             (weather, "Weather_Condition", "weather_condition", "weather_id"),
         ],
     )
-    found, rejects = _split(keyed, ["location_id", "date_id", "vehicle_id", "weather_id"])
-    found = found.withColumnRenamed(pk, "accident_pk")
-    return _typed(conform(found, ACCIDENT_NAMES, FACT_ACCIDENT.fieldNames()), FACT_ACCIDENT), rejects
+
+
+def fact_traffic(features: DataFrame, location: DataFrame, pk: str = "traffic_pk") -> DataFrame:
+    """Traffic facts: the readings whose keys are all found."""
+    keyed = _keyed_traffic(features, location)
+    return _complete(keyed, TRAFFIC_KEYS, {**TRAFFIC_NAMES, pk: "traffic_pk"}, FACT_TRAFFIC)
+
+
+def traffic_rejects(features: DataFrame, location: DataFrame) -> DataFrame:
+    """The other readings, with the keys they lack."""
+    return _rejects(_keyed_traffic(features, location), TRAFFIC_KEYS)
+
+
+def fact_accident(
+    features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame, pk: str = "accident_pk"
+) -> DataFrame:
+    """Accident facts: the accidents whose keys are all found."""
+    keyed = _keyed_accidents(features, location, vehicle, weather)
+    return _complete(keyed, ACCIDENT_KEYS, {**ACCIDENT_NAMES, pk: "accident_pk"}, FACT_ACCIDENT)
+
+
+def accident_rejects(features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame) -> DataFrame:
+    """The other accidents, with the keys they lack."""
+    return _rejects(_keyed_accidents(features, location, vehicle, weather), ACCIDENT_KEYS)

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.functions.numeric import avg_fixed, avg_of, count_where, half_up, percent, scaled, sum_of
+from cityflow.functions.numeric import avg_fixed, avg_of, hits, percent, ratio, total, units
+from cityflow.functions.text import columns
 
 
 def distribution(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
@@ -11,88 +12,99 @@ def distribution(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
 
     The total is a scalar subquery over the counts, so no window gathers every value in one task.
     """
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("Count"))
-    total = counts.agg(F.sum("Count")).scalar()
-    return counts.withColumn("Pct_of_Total", percent(F.col("Count"), total, digits))
+    counts = df.groupBy(column).agg(F.expr("count(*) AS Count"))
+    everything = counts.agg(F.expr("sum(Count)")).scalar()
+    return counts.withColumn("__all", everything).selectExpr(
+        "* EXCEPT (__all)", f"{percent('Count', '__all', digits)} AS Pct_of_Total"
+    )
 
 
 def hourly_risk(accidents: DataFrame) -> DataFrame:
-    return accidents.groupBy("hour").agg(
-        F.count(F.lit(1)).alias("Accidents"),
-        avg_fixed("risk_score", 3).alias("Avg_Risk_Score"),
-        sum_of("is_fatal_or_severe").alias("Fatal_Severe"),
-        F.max("risk_score").alias("Max_Risk_Score"),
-    )
+    measures = [
+        "count(*) AS Accidents",
+        f"{avg_fixed('risk_score', 3)} AS Avg_Risk_Score",
+        f"{total('is_fatal_or_severe')} AS Fatal_Severe",
+        "max(risk_score) AS Max_Risk_Score",
+    ]
+    return accidents.groupBy("hour").agg(*columns(measures))
 
 
 def traffic_by_location(readings: DataFrame) -> DataFrame:
-    return readings.groupBy("Location").agg(
-        F.count(F.lit(1)).alias("Total_Readings"),
-        avg_of("Vehicle_Count", 1).alias("Avg_Vehicles"),
-        F.max("Vehicle_Count").alias("Peak_Vehicles"),
-        avg_of("Average_Speed", 1).alias("Avg_Speed_kmh"),
-        avg_fixed("congestion_index", 4).alias("Avg_Congestion_Index"),
-        F.max("congestion_index").alias("Max_Congestion_Index"),
-    )
+    measures = [
+        "count(*) AS Total_Readings",
+        f"{avg_of('Vehicle_Count', 1)} AS Avg_Vehicles",
+        "max(Vehicle_Count) AS Peak_Vehicles",
+        f"{avg_of('Average_Speed', 1)} AS Avg_Speed_kmh",
+        f"{avg_fixed('congestion_index', 4)} AS Avg_Congestion_Index",
+        "max(congestion_index) AS Max_Congestion_Index",
+    ]
+    return readings.groupBy("Location").agg(*columns(measures))
 
 
 def weather_road(accidents: DataFrame) -> DataFrame:
-    n = F.count(F.lit(1))
-    return accidents.groupBy(
-        F.col("Weather_Condition").alias("weather_condition"),
-        F.col("Road_Condition").alias("road_condition"),
-    ).agg(
-        n.alias("Accidents"),
-        avg_fixed("risk_score", 3).alias("Avg_Risk"),
-        sum_of("is_fatal_or_severe").alias("Fatal_Severe_Count"),
-        percent(sum_of("is_fatal_or_severe"), n).alias("Fatal_Severe_Pct"),
+    measures = [
+        "count(*) AS Accidents",
+        f"{avg_fixed('risk_score', 3)} AS Avg_Risk",
+        f"{total('is_fatal_or_severe')} AS Fatal_Severe_Count",
+        f"{percent(total('is_fatal_or_severe'), 'count(*)')} AS Fatal_Severe_Pct",
+    ]
+    cells = accidents.groupBy("Weather_Condition", "Road_Condition").agg(*columns(measures))
+    return cells.withColumnsRenamed(
+        {"Weather_Condition": "weather_condition", "Road_Condition": "road_condition"}
     )
 
 
 def headline(accidents: DataFrame, readings: DataFrame) -> DataFrame:
     """One row of city totals. Both tables are stacked and aggregated once."""
-    stacked = accidents.select(
-        F.lit(1).alias("accident"), "Casualties", "risk_score", "is_fatal_or_severe", "adverse_weather"
-    ).unionByName(
-        readings.select(F.lit(1).alias("reading"), "congestion_index", "Congestion_Level"),
-        allowMissingColumns=True,
-    )
-    n, readings_n = F.count("accident"), F.count("reading")
-    return stacked.agg(
-        n.alias("total_accidents"),
-        sum_of("Casualties").alias("total_casualties"),
-        percent(sum_of("is_fatal_or_severe"), n).alias("fatal_severe_pct"),
-        avg_fixed("risk_score", 2).alias("avg_risk_score"),
-        F.min("risk_score").alias("min_risk_score"),
-        F.max("risk_score").alias("max_risk_score"),
-        percent(sum_of("adverse_weather"), n).alias("adverse_weather_pct"),
-        readings_n.alias("total_readings"),
-        avg_fixed("congestion_index", 3).alias("avg_congestion_index"),
-        F.min("congestion_index").alias("min_congestion_index"),
-        F.max("congestion_index").alias("max_congestion_index"),
-        percent(count_where(F.col("Congestion_Level") == "High"), readings_n).alias("high_congestion_pct"),
+    left = accidents.selectExpr(
+        "1 AS accident", "Casualties", "risk_score", "is_fatal_or_severe", "adverse_weather"
     )
+    right = readings.selectExpr("1 AS reading", "congestion_index", "Congestion_Level")
+    n, n_readings = "count(accident)", "count(reading)"
+    measures = [
+        f"{n} AS total_accidents",
+        f"{total('Casualties')} AS total_casualties",
+        f"{percent(total('is_fatal_or_severe'), n)} AS fatal_severe_pct",
+        f"{avg_fixed('risk_score', 2)} AS avg_risk_score",
+        "min(risk_score) AS min_risk_score",
+        "max(risk_score) AS max_risk_score",
+        f"{percent(total('adverse_weather'), n)} AS adverse_weather_pct",
+        f"{n_readings} AS total_readings",
+        f"{avg_fixed('congestion_index', 3)} AS avg_congestion_index",
+        "min(congestion_index) AS min_congestion_index",
+        "max(congestion_index) AS max_congestion_index",
+        percent(hits("Congestion_Level = 'High'"), n_readings) + " AS high_congestion_pct",
+    ]
+    return left.unionByName(right, allowMissingColumns=True).agg(*columns(measures))
 
 
 def peak_hour(accidents: DataFrame) -> DataFrame:
     """The hour with the highest average risk and its lift over the mean, in percent.
 
-    The earliest hour wins a tie. Hours are compared by their rounded averages.
+    Hours are compared by their rounded averages; the earliest wins a tie.
     """
-    hours = accidents.groupBy("hour").agg(
-        avg_fixed("risk_score", 3).alias("avg_risk"),
-        F.sum(scaled("risk_score")).alias("s"),
-        F.count("risk_score").alias("n"),
+    per_hour = accidents.groupBy("hour").agg(
+        *columns(
+            [
+                f"{avg_fixed('risk_score', 3)} AS avg_risk",
+                f"CAST(sum({units('risk_score')}) AS DECIMAL(20,0)) AS s",
+                "CAST(count(risk_score) AS DECIMAL(20,0)) AS n",
+            ]
+        )
+    )
+    city = per_hour.agg(
+        *columns(
+            [
+                "max(struct(avg_risk, -hour AS h, s, n)) AS top",
+                "CAST(sum(s) AS DECIMAL(20,0)) AS s",
+                "CAST(sum(n) AS DECIMAL(20,0)) AS n",
+            ]
+        )
     )
-    top = F.max(F.struct("avg_risk", (-F.col("hour")).alias("h"), "s", "n"))
-    city = hours.agg(top.alias("top"), F.sum("s").alias("s"), F.sum("n").alias("n"))
-    # lift = (top.s / top.n) / (s / n) - 1
-    wide = "decimal(38,0)"
-    above = F.col("top.s").cast(wide) * F.col("n") - F.col("s").cast(wide) * F.col("top.n")
-    below = F.col("s").cast(wide) * F.col("top.n")
-    return city.select(
-        (-F.col("top.h")).alias("hour"),
-        F.col("top.avg_risk").alias("avg_risk_score"),
-        half_up(F.col("s"), F.col("n"), 3, 4).alias("mean_risk_score"),
-        percent(above, below).alias("lift_pct"),
+    lift = "100 * ((top.s / top.n) / NULLIF(s / n, 0) - 1)"
+    return city.selectExpr(
+        "-top.h AS hour",
+        "top.avg_risk AS avg_risk_score",
+        f"{ratio('s', 'n', 3, 4)} AS mean_risk_score",
+        f"CAST(round({lift}, 1) AS DOUBLE) AS lift_pct",
     )

@@ -11,36 +11,31 @@ two facts and aggregate once. The ``*_fanout`` versions give the inflated number
 join, computed from per-key totals: cost grows with the rows, not with their product.
 """
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
 from cityflow.functions.kpi import position_in
 from cityflow.functions.numeric import (
-    WIDE,
     avg_fixed,
     avg_of,
-    count_where,
-    half_up,
+    hits,
     percent,
-    scaled,
+    ratio,
     sum_fixed,
-    sum_of,
+    total,
+    units,
+    wide_ratio,
 )
 from cityflow.functions.temporal import is_peak, time_of_day
+from cityflow.functions.text import columns, literal
 from cityflow.operators.star import key_time
 
-
-
-def _rows() -> Column:
-    return F.count(F.lit(1))
-
-
-def _hour(column: str = "date_id") -> Column:
-    return F.hour(key_time(column))
+_HOUR = f"hour({key_time('date_id')})"
+_WIDE = "DECIMAL(38,0)"
 
 
 def _named_zones(totals: DataFrame, location: DataFrame) -> DataFrame:
@@ -48,17 +43,15 @@ def _named_zones(totals: DataFrame, location: DataFrame) -> DataFrame:
     return zones.join(totals, "location_id").drop("location_id")
 
 
-def _severity_counts(suffix: str, severities=V.SEVERITY_ORDER) -> list[Column]:
-    return [
-        count_where(F.col("accident_severity") == s).alias(f"{s.lower()}_{suffix}") for s in severities
-    ]
+def _severity_counts(suffix: str, severities: Sequence[str] = V.SEVERITY_ORDER) -> list[str]:
+    return [f"{hits(f'accident_severity = {literal(s)}')} AS {s.lower()}_{suffix}" for s in severities]
 
 
 def _stack(accidents: DataFrame, traffic: DataFrame) -> DataFrame:
     """Both facts in one frame; a row is null in the columns only the other fact has."""
     left = accidents.select(
         "accident_pk", "location_id", "date_id", "accident_severity", "casualties", "severity_score",
-        "risk_score", "adverse_weather", "hazardous_road", "is_fatal_or_severe", "number_of_vehicles",
+        "risk_score", "adverse_weather", "hazardous_road", "is_fatal_or_severe",
     )
     right = traffic.select(
         "traffic_pk", "location_id", "date_id", "vehicle_count", "average_speed", "congestion_level",
@@ -72,104 +65,87 @@ def _stack(accidents: DataFrame, traffic: DataFrame) -> DataFrame:
 
 def location_summary(accidents: DataFrame, traffic: DataFrame, location: DataFrame) -> DataFrame:
     """One row per zone with accidents: accident KPIs, traffic volume and the accident rate."""
-    n, vehicles = F.count("accident_pk"), F.coalesce(sum_of("vehicle_count"), F.lit(0))
-    zones = (
-        _stack(accidents, traffic)
-        .groupBy("location_id")
-        .agg(
-            n.alias("total_accidents"),
-            sum_of("casualties").alias("total_casualties"),
-            avg_fixed("risk_score", 3).alias("avg_risk_score"),
-            sum_fixed("risk_score", 2).alias("total_risk_score"),
-            F.max("risk_score").alias("max_risk_score"),
-            avg_of("severity_score", 3).alias("avg_severity_score"),
-            *_severity_counts("count"),
-            sum_of("is_fatal_or_severe").alias("fatal_severe_count"),
-            percent(sum_of("is_fatal_or_severe"), n).alias("fatal_severe_pct"),
-            percent(sum_of("adverse_weather"), n).alias("adverse_weather_pct"),
-            percent(sum_of("hazardous_road"), n).alias("hazardous_road_pct"),
-            vehicles.alias("total_vehicles"),
-            avg_of("vehicle_count", 1).alias("avg_vehicles_per_reading"),
-            avg_fixed("congestion_index", 4).alias("avg_congestion_index"),
-            half_up(n.cast(WIDE) * 1000, vehicles, 4).alias("accident_rate_per_1000_vehicles"),
-        )
-        .filter("total_accidents > 0")
-    )
-    return _named_zones(zones, location)
-
-
-def _wide_sum(c: Column | str) -> Column:
-    return F.sum((F.col(c) if isinstance(c, str) else c).cast(WIDE))
+    n, vehicles = "count(accident_pk)", f"coalesce({total('vehicle_count')}, 0)"
+    measures = [
+        f"{n} AS total_accidents",
+        f"{total('casualties')} AS total_casualties",
+        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
+        f"{sum_fixed('risk_score', 2)} AS total_risk_score",
+        "max(risk_score) AS max_risk_score",
+        f"{avg_of('severity_score', 3)} AS avg_severity_score",
+        *_severity_counts("count"),
+        f"{total('is_fatal_or_severe')} AS fatal_severe_count",
+        f"{percent(total('is_fatal_or_severe'), n)} AS fatal_severe_pct",
+        f"{percent(total('adverse_weather'), n)} AS adverse_weather_pct",
+        f"{percent(total('hazardous_road'), n)} AS hazardous_road_pct",
+        f"{vehicles} AS total_vehicles",
+        f"{avg_of('vehicle_count', 1)} AS avg_vehicles_per_reading",
+        f"{avg_fixed('congestion_index', 4)} AS avg_congestion_index",
+        f"{ratio(f'{n} * 1000', vehicles, 4)} AS accident_rate_per_1000_vehicles",
+    ]
+    zones = _stack(accidents, traffic).groupBy("location_id").agg(*columns(measures))
+    return _named_zones(zones.filter("total_accidents > 0"), location)
 
 
 def _per_key_totals(accidents: DataFrame, traffic: DataFrame, key: str) -> DataFrame:
     """Counts, sums and extremes of both facts per join key: one shuffle of partial totals."""
 
-    def total(c: Column) -> Column:
-        return F.sum(c.cast("bigint")).cast(WIDE)
+    def wide(aggregate: str, name: str) -> str:
+        return f"CAST({aggregate} AS {_WIDE}) AS {name}"
 
-    return (
-        _stack(accidents, traffic)
-        .groupBy(key)
-        .agg(
-            F.count("accident_pk").cast(WIDE).alias("n_a"),
-            F.count("traffic_pk").cast(WIDE).alias("n_t"),
-            *[
-                total(F.col(c)).alias(c)
-                for c in (
-                    "casualties", "severity_score", "adverse_weather", "hazardous_road",
-                    "is_fatal_or_severe", "vehicle_count", "average_speed",
-                )
-            ],
-            total(scaled("risk_score")).alias("risk"),
-            total(scaled("congestion_index")).alias("congestion"),
-            *[
-                count_where(F.col("accident_severity") == s).cast(WIDE).alias(f"n_{s.lower()}")
-                for s in V.SEVERITY_ORDER
-            ],
-            count_where(F.col("congestion_level") == "High").cast(WIDE).alias("n_high"),
-            F.max("risk_score").alias("max_risk"),
-            F.max("vehicle_count").alias("max_vehicles"),
-            F.min("average_speed").alias("min_speed"),
-            F.max("congestion_index").alias("max_congestion"),
-        )
+    summed = (
+        "casualties", "severity_score", "adverse_weather", "hazardous_road", "is_fatal_or_severe",
+        "vehicle_count", "average_speed",
     )
+    totals = [
+        wide("count(accident_pk)", "n_a"),
+        wide("count(traffic_pk)", "n_t"),
+        *[wide(total(c), f"s_{c}") for c in summed],
+        wide(f"sum({units('risk_score')})", "s_risk"),
+        wide(f"sum({units('congestion_index')})", "s_congestion"),
+        *[wide(hits(f"accident_severity = {literal(s)}"), f"n_{s.lower()}") for s in V.SEVERITY_ORDER],
+        wide(hits("congestion_level = 'High'"), "n_high"),
+        "max(risk_score) AS max_risk_score",
+        "max(vehicle_count) AS peak_vehicles",
+        "min(average_speed) AS min_speed_kmh",
+        "max(congestion_index) AS max_congestion_index",
+    ]
+    return _stack(accidents, traffic).groupBy(key).agg(*columns(totals))
 
 
-def _copies(n: str) -> Column:
+def _copies(n: str) -> str:
     """Times an outer join repeats a row that has ``n`` partners on the other side."""
-    return F.greatest(F.col(n), F.lit(1).cast(WIDE))
+    return f"greatest({n}, 1)"
 
 
 def location_summary_fanout(accidents: DataFrame, traffic: DataFrame, location: DataFrame) -> DataFrame:
     """``location_summary`` as the literal join ``accidents LEFT JOIN traffic`` gives it.
 
-    A key has one row here, so totals are multiplied per row; inflated sums come as DOUBLE.
+    A zone has one row here, so totals are multiplied per row; inflated sums come as DOUBLE.
     """
-    per_zone = _per_key_totals(accidents, traffic, "location_id").filter("n_a > 0")
     m = _copies("n_t")
-    rows = F.col("n_a") * m
-    vehicles = F.coalesce(F.col("vehicle_count") * F.col("n_a"), F.lit(0).cast(WIDE))
-    zones = per_zone.select(
-        "location_id",
-        F.col("n_a").cast("bigint").alias("total_accidents"),
-        (F.col("casualties") * m).cast("double").alias("total_casualties"),
-        half_up(F.col("risk"), F.col("n_a"), 3, 4).alias("avg_risk_score"),
-        half_up(F.col("risk") * m, 1, 2, 4).alias("total_risk_score"),
-        F.col("max_risk").alias("max_risk_score"),
-        half_up(F.col("severity_score"), F.col("n_a"), 3).alias("avg_severity_score"),
-        *[
-            (F.col(f"n_{s.lower()}") * m).cast("double").alias(f"{s.lower()}_count")
-            for s in V.SEVERITY_ORDER
-        ],
-        (F.col("is_fatal_or_severe") * m).cast("double").alias("fatal_severe_count"),
-        percent(F.col("is_fatal_or_severe") * m, F.col("n_a")).alias("fatal_severe_pct"),
-        percent(F.col("adverse_weather") * m, rows).alias("adverse_weather_pct"),
-        percent(F.col("hazardous_road") * m, rows).alias("hazardous_road_pct"),
-        vehicles.cast("double").alias("total_vehicles"),
-        half_up(F.col("vehicle_count"), F.col("n_t"), 1).alias("avg_vehicles_per_reading"),
-        half_up(F.col("congestion"), F.col("n_t"), 4, 4).alias("avg_congestion_index"),
-        half_up(F.col("n_a") * 1000, vehicles, 4).alias("accident_rate_per_1000_vehicles"),
+    vehicles = "coalesce(s_vehicle_count * n_a, 0)"
+    zones = (
+        _per_key_totals(accidents, traffic, "location_id")
+        .filter("n_a > 0")
+        .selectExpr(
+            "location_id",
+            "CAST(n_a AS BIGINT) AS total_accidents",
+            f"CAST(s_casualties * {m} AS DOUBLE) AS total_casualties",
+            f"{wide_ratio('s_risk', 'n_a', 3, 4)} AS avg_risk_score",
+            f"{wide_ratio(f's_risk * {m}', '1', 2, 4)} AS total_risk_score",
+            "max_risk_score",
+            f"{wide_ratio('s_severity_score', 'n_a', 3)} AS avg_severity_score",
+            *[f"CAST(n_{s.lower()} * {m} AS DOUBLE) AS {s.lower()}_count" for s in V.SEVERITY_ORDER],
+            f"CAST(s_is_fatal_or_severe * {m} AS DOUBLE) AS fatal_severe_count",
+            f"{wide_ratio(f's_is_fatal_or_severe * {m} * 100', 'n_a', 1)} AS fatal_severe_pct",
+            f"{wide_ratio('s_adverse_weather * 100', 'n_a', 1)} AS adverse_weather_pct",
+            f"{wide_ratio('s_hazardous_road * 100', 'n_a', 1)} AS hazardous_road_pct",
+            f"CAST({vehicles} AS DOUBLE) AS total_vehicles",
+            f"{wide_ratio('s_vehicle_count', 'n_t', 1)} AS avg_vehicles_per_reading",
+            f"{wide_ratio('s_congestion', 'n_t', 4, 4)} AS avg_congestion_index",
+            f"{wide_ratio('n_a * 1000', vehicles, 4)} AS accident_rate_per_1000_vehicles",
+        )
     )
     return _named_zones(zones, location)
 
@@ -177,10 +153,12 @@ def location_summary_fanout(accidents: DataFrame, traffic: DataFrame, location:
 # ---------------------------------------------------------------- hourly profile
 
 
-def _named_hours(df: DataFrame) -> DataFrame:
-    rest = [c for c in df.columns if c != "hour"]
-    return df.select(
-        "hour", time_of_day("hour").alias("time_of_day"), is_peak("hour").alias("is_peak_hour"), *rest
+def _by_hour(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Group by hour of day; the names of the hours are written for the result rows only."""
+    hours = df.selectExpr("*", f"{_HOUR} AS hour").groupBy("hour").agg(*columns(measures))
+    return hours.selectExpr(
+        "hour", f"{time_of_day('hour')} AS time_of_day", f"{is_peak('hour')} AS is_peak_hour",
+        "* EXCEPT (hour)",
     )
 
 
@@ -193,182 +171,189 @@ def hourly_profile(accidents: DataFrame, traffic: DataFrame, dates: DataFrame |
     stacked = _stack(accidents, traffic)
     if dates is not None:
         stacked = stacked.unionByName(dates.select("date_id"), allowMissingColumns=True)
-    readings, n = F.count("traffic_pk"), F.count("accident_pk")
-    hours = stacked.groupBy(_hour().alias("hour")).agg(
-        readings.alias("sensor_reading_count"),
-        avg_of("vehicle_count", 1).alias("avg_vehicles"),
-        F.max("vehicle_count").alias("peak_vehicles"),
-        avg_of("average_speed", 1).alias("avg_speed_kmh"),
-        F.min("average_speed").alias("min_speed_kmh"),
-        avg_fixed("congestion_index", 4).alias("avg_congestion_index"),
-        F.max("congestion_index").alias("max_congestion_index"),
-        percent(count_where(F.col("congestion_level") == "High"), readings).alias("high_congestion_pct"),
-        n.alias("accident_count"),
-        sum_of("casualties").alias("total_casualties"),
-        avg_fixed("risk_score", 3).alias("avg_risk_score"),
-        F.max("risk_score").alias("max_risk_score"),
-        sum_of("is_fatal_or_severe").alias("fatal_severe_count"),
-        percent(sum_of("is_fatal_or_severe"), n).alias("fatal_severe_pct"),
+    readings, n = "count(traffic_pk)", "count(accident_pk)"
+    return _by_hour(
+        stacked,
+        [
+            f"{readings} AS sensor_reading_count",
+            f"{avg_of('vehicle_count', 1)} AS avg_vehicles",
+            "max(vehicle_count) AS peak_vehicles",
+            f"{avg_of('average_speed', 1)} AS avg_speed_kmh",
+            "min(average_speed) AS min_speed_kmh",
+            f"{avg_fixed('congestion_index', 4)} AS avg_congestion_index",
+            "max(congestion_index) AS max_congestion_index",
+            percent(hits("congestion_level = 'High'"), readings) + " AS high_congestion_pct",
+            f"{n} AS accident_count",
+            f"{total('casualties')} AS total_casualties",
+            f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
+            "max(risk_score) AS max_risk_score",
+            f"{total('is_fatal_or_severe')} AS fatal_severe_count",
+            f"{percent(total('is_fatal_or_severe'), n)} AS fatal_severe_pct",
+        ],
     )
-    return _named_hours(hours)
 
 
 def hourly_profile_fanout(accidents: DataFrame, traffic: DataFrame) -> DataFrame:
     """``hourly_profile`` as the literal join of both facts on the timestamp gives it."""
-    per_time = _per_key_totals(accidents, traffic, "date_id")
-    a, t = _copies("n_t"), _copies("n_a")
-    n_t, n_a = _wide_sum("n_t"), _wide_sum("n_a")
-
-    def accident_sum(name: str) -> Column:
-        return _wide_sum(F.col(name) * a)
-
-    def traffic_sum(name: str) -> Column:
-        return _wide_sum(F.col(name) * t)
-
-    hours = per_time.groupBy(_hour().alias("hour")).agg(
-        n_t.cast("bigint").alias("sensor_reading_count"),
-        half_up(traffic_sum("vehicle_count"), traffic_sum("n_t"), 1).alias("avg_vehicles"),
-        F.max("max_vehicles").alias("peak_vehicles"),
-        half_up(traffic_sum("average_speed"), traffic_sum("n_t"), 1).alias("avg_speed_kmh"),
-        F.min("min_speed").alias("min_speed_kmh"),
-        half_up(traffic_sum("congestion"), traffic_sum("n_t"), 4, 4).alias("avg_congestion_index"),
-        F.max("max_congestion").alias("max_congestion_index"),
-        percent(traffic_sum("n_high"), n_t).alias("high_congestion_pct"),
-        n_a.cast("bigint").alias("accident_count"),
-        accident_sum("casualties").cast("double").alias("total_casualties"),
-        half_up(accident_sum("risk"), accident_sum("n_a"), 3, 4).alias("avg_risk_score"),
-        F.max("max_risk").alias("max_risk_score"),
-        accident_sum("is_fatal_or_severe").cast("double").alias("fatal_severe_count"),
-        percent(accident_sum("is_fatal_or_severe"), n_a).alias("fatal_severe_pct"),
+
+    def of_accidents(x: str) -> str:
+        return f"sum({x} * {_copies('n_t')})"
+
+    def of_traffic(x: str) -> str:
+        return f"sum({x} * {_copies('n_a')})"
+
+    readings, n = "sum(n_t)", "sum(n_a)"
+    severe = of_accidents("s_is_fatal_or_severe")
+    return _by_hour(
+        _per_key_totals(accidents, traffic, "date_id"),
+        [
+            f"CAST({readings} AS BIGINT) AS sensor_reading_count",
+            f"{wide_ratio(of_traffic('s_vehicle_count'), of_traffic('n_t'), 1)} AS avg_vehicles",
+            "max(peak_vehicles) AS peak_vehicles",
+            f"{wide_ratio(of_traffic('s_average_speed'), of_traffic('n_t'), 1)} AS avg_speed_kmh",
+            "min(min_speed_kmh) AS min_speed_kmh",
+            f"{wide_ratio(of_traffic('s_congestion'), of_traffic('n_t'), 4, 4)} AS avg_congestion_index",
+            "max(max_congestion_index) AS max_congestion_index",
+            f"{wide_ratio(of_traffic('n_high') + ' * 100', readings, 1)} AS high_congestion_pct",
+            f"CAST({n} AS BIGINT) AS accident_count",
+            f"CAST({of_accidents('s_casualties')} AS DOUBLE) AS total_casualties",
+            f"{wide_ratio(of_accidents('s_risk'), of_accidents('n_a'), 3, 4)} AS avg_risk_score",
+            "max(max_risk_score) AS max_risk_score",
+            f"CAST({severe} AS DOUBLE) AS fatal_severe_count",
+            f"{wide_ratio(f'{severe} * 100', n, 1)} AS fatal_severe_pct",
+        ],
     )
-    return _named_hours(hours)
 
 
 # ---------------------------------------------------------------- single-fact views
 
+_N = "count(*)"
+_SEVERE_PCT = f"{percent(total('is_fatal_or_severe'), _N)} AS fatal_severe_pct"
+_CONDITION_PCTS = [
+    f"{percent(total('adverse_weather'), _N)} AS adverse_weather_pct",
+    f"{percent(total('hazardous_road'), _N)} AS hazardous_road_pct",
+]
+_PEAK_PCT = f"{percent(total('is_peak_hour'), _N)} AS peak_hour_pct"
+
 
 def monthly_trend(accidents: DataFrame) -> DataFrame:
     """One row per calendar month. Month names are written for the result rows only."""
-    months = accidents.groupBy(F.trunc(key_time("date_id"), "month").alias("m")).agg(
-        _rows().alias("total_accidents"),
-        sum_of("casualties").alias("total_casualties"),
-        avg_of("casualties", 2).alias("avg_casualties_per_accident"),
+    measures = [
+        f"{_N} AS total_accidents",
+        f"{total('casualties')} AS total_casualties",
+        f"{avg_of('casualties', 2)} AS avg_casualties_per_accident",
         *_severity_counts("accidents"),
-        sum_of("is_fatal_or_severe").alias("fatal_severe_count"),
-        percent(sum_of("is_fatal_or_severe"), _rows()).alias("fatal_severe_pct"),
-        avg_fixed("risk_score", 3).alias("avg_risk_score"),
-        sum_fixed("risk_score", 2).alias("total_risk_score"),
-        percent(sum_of("adverse_weather"), _rows()).alias("adverse_weather_pct"),
-        percent(sum_of("hazardous_road"), _rows()).alias("hazardous_road_pct"),
-        percent(sum_of("is_peak_hour"), _rows()).alias("peak_hour_pct"),
-    )
-    return months.select(
-        F.year("m").alias("year"),
-        F.quarter("m").alias("quarter"),
-        F.month("m").alias("month"),
-        F.date_format("m", "MMMM").alias("month_name"),
-        F.month("m").alias("month_sort"),
-        *months.columns[1:],
+        f"{total('is_fatal_or_severe')} AS fatal_severe_count",
+        _SEVERE_PCT,
+        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
+        f"{sum_fixed('risk_score', 2)} AS total_risk_score",
+        *_CONDITION_PCTS,
+        _PEAK_PCT,
+    ]
+    dated = accidents.selectExpr("*", f"trunc({key_time('date_id')}, 'month') AS m")
+    return (
+        dated.groupBy("m")
+        .agg(*columns(measures))
+        .selectExpr(
+            "year(m) AS year", "quarter(m) AS quarter", "month(m) AS month",
+            "date_format(m, 'MMMM') AS month_name", "month(m) AS month_sort", "* EXCEPT (m)",
+        )
     )
 
 
 def congestion_hotspots(traffic: DataFrame, location: DataFrame) -> DataFrame:
     """One row per zone and day period."""
-    cells = traffic.groupBy(
-        "location_id", time_of_day(_hour()).alias("time_of_day"), is_peak(_hour()).alias("is_peak_hour")
-    ).agg(
-        _rows().alias("sensor_readings"),
-        avg_of("vehicle_count", 1).alias("avg_vehicles"),
-        F.max("vehicle_count").alias("peak_vehicles"),
-        avg_of("average_speed", 1).alias("avg_speed_kmh"),
-        F.min("average_speed").alias("min_speed_kmh"),
-        avg_fixed("congestion_index", 4).alias("avg_congestion_index"),
-        F.max("congestion_index").alias("max_congestion_index"),
+    measures = [
+        f"{_N} AS sensor_readings",
+        f"{avg_of('vehicle_count', 1)} AS avg_vehicles",
+        "max(vehicle_count) AS peak_vehicles",
+        f"{avg_of('average_speed', 1)} AS avg_speed_kmh",
+        "min(average_speed) AS min_speed_kmh",
+        f"{avg_fixed('congestion_index', 4)} AS avg_congestion_index",
+        "max(congestion_index) AS max_congestion_index",
         *[
-            percent(count_where(F.col("congestion_level") == level), _rows()).alias(
-                f"{level.lower()}_congestion_pct"
-            )
+            percent(hits(f"congestion_level = '{level}'"), _N) + f" AS {level.lower()}_congestion_pct"
             for level in ("High", "Moderate", "Low")
         ],
+    ]
+    timed = traffic.selectExpr("*", f"{_HOUR} AS hour").selectExpr(
+        "*", f"{time_of_day('hour')} AS time_of_day", f"{is_peak('hour')} AS is_peak_hour"
     )
+    cells = timed.groupBy("location_id", "time_of_day", "is_peak_hour").agg(*columns(measures))
     return _named_zones(cells, location)
 
 
 def weather_risk(accidents: DataFrame, weather: DataFrame) -> DataFrame:
     """One row per weather and road condition."""
-    cells = accidents.groupBy("weather_id", "road_condition", "hazardous_road").agg(
-        _rows().alias("accidents"),
-        sum_of("casualties").alias("total_casualties"),
-        avg_of("casualties", 2).alias("avg_casualties"),
-        avg_of("severity_score", 3).alias("avg_severity_score"),
-        avg_fixed("risk_score", 3).alias("avg_risk_score"),
-        F.max("risk_score").alias("max_risk_score"),
+    measures = [
+        f"{_N} AS accidents",
+        f"{total('casualties')} AS total_casualties",
+        f"{avg_of('casualties', 2)} AS avg_casualties",
+        f"{avg_of('severity_score', 3)} AS avg_severity_score",
+        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
+        "max(risk_score) AS max_risk_score",
         *_severity_counts("count", V.FATAL_OR_SEVERE),
-        sum_of("is_fatal_or_severe").alias("fatal_severe_count"),
-        percent(sum_of("is_fatal_or_severe"), _rows()).alias("fatal_severe_pct"),
-    )
-    return cells.join(weather, "weather_id").select(
-        "weather_condition",
-        F.col("is_adverse").alias("is_adverse_weather"),
-        "road_condition",
-        F.col("hazardous_road").alias("is_hazardous_road"),
-        *cells.columns[3:],
-    )
+        f"{total('is_fatal_or_severe')} AS fatal_severe_count",
+        _SEVERE_PCT,
+    ]
+    cells = accidents.groupBy("weather_id", "road_condition", "hazardous_road").agg(*columns(measures))
+    named = weather.selectExpr("weather_id", "weather_condition", "is_adverse AS is_adverse_weather")
+    return named.join(cells, "weather_id").drop("weather_id").withColumnRenamed("hazardous_road", "is_hazardous_road")
 
 
 def severity_by_location(accidents: DataFrame, location: DataFrame) -> DataFrame:
     """One row per zone and severity, with its share of the zone's accidents."""
-    cells = accidents.groupBy("location_id", "accident_severity").agg(
-        _rows().alias("accident_count"),
-        sum_of("casualties").alias("total_casualties"),
-        avg_of("casualties", 2).alias("avg_casualties"),
-        avg_fixed("risk_score", 3).alias("avg_risk_score"),
-        sum_fixed("risk_score", 2).alias("total_risk_score"),
-        percent(sum_of("adverse_weather"), _rows()).alias("adverse_weather_pct"),
-        percent(sum_of("hazardous_road"), _rows()).alias("hazardous_road_pct"),
-    )
-    of_zone = F.sum("accident_count").over(Window.partitionBy("location_name"))
-    named = _named_zones(cells, location)
-    return named.withColumn("pct_of_location_total", percent(F.col("accident_count"), of_zone))
+    measures = [
+        f"{_N} AS accident_count",
+        f"{total('casualties')} AS total_casualties",
+        f"{avg_of('casualties', 2)} AS avg_casualties",
+        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
+        f"{sum_fixed('risk_score', 2)} AS total_risk_score",
+        *_CONDITION_PCTS,
+    ]
+    cells = accidents.groupBy("location_id", "accident_severity").agg(*columns(measures))
+    share = percent("accident_count", "sum(accident_count) OVER (PARTITION BY location_name)")
+    return _named_zones(cells, location).selectExpr("*", f"{share} AS pct_of_location_total")
 
 
 def road_condition_risk(accidents: DataFrame) -> DataFrame:
     """One row per road condition."""
-    return accidents.groupBy("road_condition").agg(
-        F.max("hazardous_road").alias("is_hazardous"),
-        _rows().alias("total_accidents"),
-        sum_of("casualties").alias("total_casualties"),
-        avg_of("casualties", 2).alias("avg_casualties"),
-        avg_fixed("risk_score", 3).alias("avg_risk_score"),
-        F.max("risk_score").alias("max_risk_score"),
-        avg_of("severity_score", 3).alias("avg_severity_score"),
+    measures = [
+        "max(hazardous_road) AS is_hazardous",
+        f"{_N} AS total_accidents",
+        f"{total('casualties')} AS total_casualties",
+        f"{avg_of('casualties', 2)} AS avg_casualties",
+        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
+        "max(risk_score) AS max_risk_score",
+        f"{avg_of('severity_score', 3)} AS avg_severity_score",
         *_severity_counts("count", V.FATAL_OR_SEVERE),
-        sum_of("is_fatal_or_severe").alias("fatal_severe_count"),
-        percent(sum_of("is_fatal_or_severe"), _rows()).alias("fatal_severe_pct"),
-        avg_of("traffic_density_num", 3).alias("avg_traffic_density_num"),
-        percent(sum_of("is_peak_hour"), _rows()).alias("peak_hour_pct"),
-    )
+        f"{total('is_fatal_or_severe')} AS fatal_severe_count",
+        _SEVERE_PCT,
+        f"{avg_of('traffic_density_num', 3)} AS avg_traffic_density_num",
+        _PEAK_PCT,
+    ]
+    return accidents.groupBy("road_condition").agg(*columns(measures))
 
 
 def ml_location_risk(risk: DataFrame, dangerous_from: float = V.DANGEROUS_FROM) -> DataFrame:
     """One row per zone over the scored accidents. The rating uses the unrounded average."""
-    # Probabilities have 4 places, so the average is compared as exact integers.
-    total = F.sum(scaled("predicted_risk_prob"))
-    limit = F.count("predicted_risk_prob") * int(round(dangerous_from * 10**4))
-    return risk.groupBy("location_name").agg(
-        avg_fixed("predicted_risk_prob", 4).alias("avg_predicted_risk"),
-        F.min("predicted_risk_prob").alias("min_predicted_risk"),
-        F.max("predicted_risk_prob").alias("max_predicted_risk"),
+    # Probabilities have 4 places, so the average is compared as whole numbers.
+    limit = f"count(predicted_risk_prob) * {round(dangerous_from * 10**4)}"
+    measures = [
+        f"{avg_fixed('predicted_risk_prob', 4)} AS avg_predicted_risk",
+        "min(predicted_risk_prob) AS min_predicted_risk",
+        "max(predicted_risk_prob) AS max_predicted_risk",
         *[
-            count_where(F.col("risk_tier") == tier).alias(f"{tier.lower().replace(' ', '_')}_count")
+            f"{hits(f'risk_tier = {literal(tier)}')} AS {tier.lower().replace(' ', '_')}_count"
             for tier in reversed(V.TIER_LABELS)
         ],
-        sum_of("predicted_class").alias("predicted_fatal_severe"),
-        sum_of("actual_fatal_severe").alias("actual_fatal_severe"),
-        percent(sum_of("actual_fatal_severe"), _rows(), 2).alias("actual_fatal_severe_pct"),
-        _rows().alias("total_accidents"),
-        F.when(total >= limit, "Dangerous").otherwise("Caution").alias("safety_rating"),
-    )
+        f"{total('predicted_class')} AS predicted_fatal_severe",
+        f"{total('actual_fatal_severe')} AS actual_fatal_severe",
+        f"{percent(total('actual_fatal_severe'), _N, 2)} AS actual_fatal_severe_pct",
+        f"{_N} AS total_accidents",
+        f"IF(sum({units('predicted_risk_prob')}) >= {limit}, 'Dangerous', 'Caution') AS safety_rating",
+    ]
+    return risk.groupBy("location_name").agg(*columns(measures))
 
 
 # ---------------------------------------------------------------- all views together
@@ -377,34 +362,28 @@ def ml_location_risk(risk: DataFrame, dangerous_from: float = V.DANGEROUS_FROM)
 def row_counts(views: Mapping[str, DataFrame]) -> DataFrame:
     """Name and row count of each view."""
     counts = [
-        view.agg(_rows().alias("row_count")).select(F.lit(name).alias("view_name"), "row_count")
+        view.agg(F.expr("count(*) AS row_count")).selectExpr(f"'{name}' AS view_name", "row_count")
         for name, view in views.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
-_ORDER = {
+_PRESENTATION = {
     "vw_hourly_profile": ["hour"],
     "vw_monthly_trend": ["year", "month_sort"],
     "vw_congestion_hotspots": ["location_name", "time_of_day"],
     "vw_weather_risk": ["-avg_risk_score"],
-    "vw_severity_by_location": ["location_name", "severity_place"],
+    "vw_severity_by_location": ["location_name", position_in("accident_severity", *V.SEVERITY_ORDER)],
     "vw_road_condition_risk": ["-avg_risk_score"],
     "vw_ml_location_risk": ["-avg_predicted_risk"],
 }
 
 
 def ordered(name: str, view: DataFrame) -> DataFrame:
-    """The view in its presentation order."""
-    if name not in _ORDER:
-        return view
-    keys = []
-    for key in _ORDER[name]:
-        if key == "severity_place":
-            keys.append(position_in("accident_severity", *V.SEVERITY_ORDER))
-        else:
-            keys.append(F.desc(key[1:]) if key.startswith("-") else F.asc(key))
-    return view.orderBy(*keys)
+    """The view in its presentation order; views are small, so this sorts a few rows."""
+    keys = _PRESENTATION.get(name, [])
+    order = [F.expr(k[1:]).desc() if k.startswith("-") else F.expr(k) for k in keys]
+    return view.orderBy(*order) if order else view
 
 
 def all_views(
@@ -414,7 +393,7 @@ def all_views(
     weather: DataFrame,
     risk: DataFrame,
 ) -> dict[str, DataFrame]:
-    views = {
+    return {
         "vw_location_summary": location_summary(accidents, traffic, location),
         "vw_hourly_profile": hourly_profile(accidents, traffic),
         "vw_monthly_trend": monthly_trend(accidents),
@@ -424,7 +403,6 @@ def all_views(
         "vw_road_condition_risk": road_condition_risk(accidents),
         "vw_ml_location_risk": ml_location_risk(risk),
     }
-    return {name: ordered(name, view) for name, view in views.items()}
 
 
 def register(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:

@@ -1,7 +1,7 @@
 """The warehouse from end to end: feature tables, star schema and views."""
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,18 +22,54 @@ SCHEMAS = {
 }
 
 
-@dataclass
 class Star:
-    """Lazy frames of the star schema; the reject frames hold rows without a key."""
-
-    location: DataFrame
-    vehicle: DataFrame
-    weather: DataFrame
-    date: DataFrame
-    traffic: DataFrame
-    accidents: DataFrame
-    traffic_rejects: DataFrame
-    accident_rejects: DataFrame
+    """The star schema over two feature tables. Each frame is lazy and built when first asked for.
+
+    ``weather`` may be given if the dimension is already known.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sensor: DataFrame,
+        accident: DataFrame,
+        zones: Mapping[str, str] = V.ZONE_TYPES,
+        weather: DataFrame | None = None,
+    ):
+        self._spark, self._sensor, self._accident, self._zones = spark, sensor, accident, zones
+        self._weather = weather
+
+    @cached_property
+    def location(self) -> DataFrame:
+        return star.dim_location(self._spark, self._zones)
+
+    @cached_property
+    def vehicle(self) -> DataFrame:
+        return star.dim_vehicle(self._spark)
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return self._weather if self._weather is not None else star.pin_small(star.dim_weather(self._accident))
+
+    @cached_property
+    def date(self) -> DataFrame:
+        return star.dim_date(self._sensor, self._accident)
+
+    @cached_property
+    def traffic(self) -> DataFrame:
+        return star.fact_traffic(self._sensor, self.location)
+
+    @cached_property
+    def accidents(self) -> DataFrame:
+        return star.fact_accident(self._accident, self.location, self.vehicle, self.weather)
+
+    @cached_property
+    def traffic_rejects(self) -> DataFrame:
+        return star.traffic_rejects(self._sensor, self.location)
+
+    @cached_property
+    def accident_rejects(self) -> DataFrame:
+        return star.accident_rejects(self._accident, self.location, self.vehicle, self.weather)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -46,25 +82,6 @@ class Star:
         }
 
 
-def build(
-    spark: SparkSession,
-    sensor: DataFrame,
-    accident: DataFrame,
-    zones: Mapping[str, str] = V.ZONE_TYPES,
-    weather: DataFrame | None = None,
-) -> Star:
-    """Star schema over feature tables. ``weather`` may be given if it is already known."""
-    location, vehicle = star.dim_location(spark, zones), star.dim_vehicle(spark)
-    if weather is None:
-        weather = star.pin_small(star.dim_weather(accident))
-    traffic, traffic_rejects = star.fact_traffic(sensor, location)
-    accidents, accident_rejects = star.fact_accident(accident, location, vehicle, weather)
-    return Star(
-        location, vehicle, weather, star.dim_date(sensor, accident), traffic, accidents,
-        traffic_rejects, accident_rejects,
-    )
-
-
 def store(tables: Mapping[str, DataFrame], path: str) -> None:
     """Write each table to its own folder, replacing what is there."""
     for name, df in tables.items():

@@ -6,7 +6,8 @@ shuffles it, where adaptive execution splits hot keys.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from cityflow.functions.text import case
 
 # Zone types of the stand-in zones.
 REGION_ZONES = {
@@ -21,42 +22,42 @@ REGION_ZONES = {
 _CONGESTION = {"error": "High", "purchase": "High", "signup": "Low"}
 _VEHICLES = {"1-URGENT": "Truck", "2-HIGH": "Bus", "3-MEDIUM": "Car", "4-NOT SPECIFIED": "Motorcycle"}
 _WEATHER = {"AUTOMOBILE": "Clear", "BUILDING": "Rain", "FURNITURE": "Fog", "HOUSEHOLD": "Snow"}
-_ROADS = ("Dry", "Wet", "Icy", "Under Construction")
-_SEVERITIES = ("Minor", "Moderate", "Severe", "Fatal")
+_ROADS = {0: "Dry", 1: "Wet", 2: "Icy"}
+_SEVERITIES = {0: "Minor", 1: "Moderate", 2: "Severe"}
 _DENSITIES = {"P": "Low", "F": "Moderate"}
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_linenumber INT",
+    "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
 
-def _case(c, mapping: dict, default: str):
-    named = None
-    for key, label in mapping.items():
-        named = F.when(c == key, label) if named is None else named.when(c == key, label)
-    return named.otherwise(default)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _nth(c, labels):
-    return _case(c, dict(enumerate(labels[:-1])), labels[-1])
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A pattern, since a stream takes no single file; it fits a file and a folder of that name.
+    return spark.readStream.schema(_SCHEMAS["events"]).parquet(f"{sf_dir}/[e]vents.parquet")
 
 
-def reading_columns(events: DataFrame) -> DataFrame:
-    """Sensor columns of ``events`` without the zone name; also usable on a stream."""
-    user = F.col("user_id")
-    return events.select(
-        F.col("event_id").alias("traffic_pk"),
-        user.cast("string").alias("Sensor_ID"),
-        (user % 5).cast("int").alias("region_key"),
-        F.date_trunc("hour", "ts").cast("timestamp").alias("Date_Time"),
-        F.floor("value").cast("int").alias("Vehicle_Count"),
-        (20 + user % 60).cast("int").alias("Average_Speed"),
-        _case(F.col("event_type"), _CONGESTION, "Moderate").alias("Congestion_Level"),
+def readings_of(events: DataFrame, region: DataFrame) -> DataFrame:
+    """Sensor records of ``events``, which may be a stream."""
+    readings = events.selectExpr(
+        "event_id AS traffic_pk",
+        "CAST(user_id AS STRING) AS Sensor_ID",
+        "CAST(user_id % 5 AS INT) AS region_key",
+        "date_trunc('hour', ts) AS Date_Time",
+        "CAST(floor(value) AS INT) AS Vehicle_Count",
+        "CAST(20 + user_id % 60 AS INT) AS Average_Speed",
+        f"{case('event_type', _CONGESTION, 'Moderate')} AS Congestion_Level",
     )
-
-
-def with_zone(readings: DataFrame, region: DataFrame) -> DataFrame:
-    zones = region.select(F.col("r_regionkey").alias("region_key"), F.col("r_name").alias("Location"))
+    zones = region.selectExpr("r_regionkey AS region_key", "r_name AS Location")
     return readings.join(zones, "region_key").select(
         "traffic_pk", "Sensor_ID", "Location", "Date_Time", "Vehicle_Count", "Average_Speed",
         "Congestion_Level",
@@ -64,33 +65,30 @@ def with_zone(readings: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_zone(reading_columns(table(spark, sf_dir, "events")), table(spark, sf_dir, "region"))
+    return readings_of(table(spark, sf_dir, "events"), table(spark, sf_dir, "region"))
 
 
 def accident_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The small tables are joined first, so the large one is joined once.
-    places = (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "c_mktsegment", F.col("r_name").alias("Location"))
+    nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_regionkey AS r_regionkey")
+    customers = table(spark, sf_dir, "customer").join(nations, "c_nationkey")
+    places = customers.join(table(spark, sf_dir, "region"), "r_regionkey").selectExpr(
+        "c_custkey AS o_custkey", "c_mktsegment", "r_name AS Location"
     )
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
-    hours = F.make_interval(hours=(key % 5000).cast("int"))
     return (
         table(spark, sf_dir, "orders")
-        .join(places, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            key.alias("accident_pk"),
-            key.cast("string").alias("Accident_ID"),
+        .join(places, "o_custkey")
+        .selectExpr(
+            "o_orderkey AS accident_pk",
+            "CAST(o_orderkey AS STRING) AS Accident_ID",
             "Location",
-            (F.lit("2024-01-01 00:00:00").cast("timestamp") + hours).alias("Date_Time"),
-            _case(F.col("o_orderpriority"), _VEHICLES, "Bicycle").alias("Vehicle_Type"),
-            _case(F.col("c_mktsegment"), _WEATHER, "Storm").alias("Weather_Condition"),
-            _nth(key % 4, _ROADS).alias("Road_Condition"),
-            _nth(F.floor(price) % 4, _SEVERITIES).alias("Accident_Severity"),
-            (1 + F.floor(price / 1000) % 4).cast("int").alias("Number_of_Vehicles"),
-            (F.col("o_custkey") % 10).cast("int").alias("Casualties"),
-            _case(F.col("o_orderstatus"), _DENSITIES, "High").alias("Traffic_Density"),
+            "TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, CAST(o_orderkey % 5000 AS INT)) AS Date_Time",
+            f"{case('o_orderpriority', _VEHICLES, 'Bicycle')} AS Vehicle_Type",
+            f"{case('c_mktsegment', _WEATHER, 'Storm')} AS Weather_Condition",
+            f"{case('o_orderkey % 4', _ROADS, 'Under Construction')} AS Road_Condition",
+            f"{case('floor(o_totalprice) % 4', _SEVERITIES, 'Fatal')} AS Accident_Severity",
+            "CAST(1 + floor(o_totalprice / 1000) % 4 AS INT) AS Number_of_Vehicles",
+            "CAST(o_custkey % 10 AS INT) AS Casualties",
+            f"{case('o_orderstatus', _DENSITIES, 'High')} AS Traffic_Density",
         )
     )

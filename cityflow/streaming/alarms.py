@@ -1,9 +1,10 @@
 """Threshold alarms over metric sums per period, as batch or stream."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
+from cityflow.functions.text import literal
 
 
 def alarm(
@@ -15,15 +16,12 @@ def alarm(
     threshold: float = V.ALARM_THRESHOLD,
 ) -> DataFrame:
     """Sum per key and period, and its state: ALARM from the threshold upwards, else OK."""
-    sums = df.groupBy(F.window(ts, f"{period} seconds").alias("w"), F.col(key).alias("alarm_name")).agg(
+    sums = df.groupBy(F.window(ts, f"{period} seconds"), F.col(key).alias("alarm_name")).agg(
         F.sum(value).alias("total")
     )
-    return sums.select(
-        "alarm_name",
-        F.col("w.start").alias("period_start"),
-        F.col("w.end").alias("period_end"),
-        "total",
-        F.when(F.col("total") >= threshold, "ALARM").otherwise("OK").alias("state"),
+    return sums.selectExpr(
+        "alarm_name", "window.start AS period_start", "window.end AS period_end", "total",
+        f"IF(total >= {threshold}, 'ALARM', 'OK') AS state",
     )
 
 
@@ -52,24 +50,20 @@ def alarm_filled(
     are spread out before the periods within them, so no row holds a long list; what is sorted per
     key is the calendar, not the data.
     """
-    seconds = states.select("alarm_name", F.unix_seconds("period_start").alias("at"), "total", "state")
+    seconds = states.selectExpr("alarm_name", "unix_seconds(period_start) AS at", "total", "state")
     ends = seconds.groupBy("alarm_name").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    day = 86400 // period * period
-    chunks = ends.select(
-        "alarm_name", "last", F.explode(F.sequence("first", "last", F.lit(day))).alias("from")
+    day = max(86400 // period, 1) * period
+    chunks = ends.selectExpr("alarm_name", "last", f"explode(sequence(first, last, {day}L)) AS from_at")
+    spine = chunks.selectExpr(
+        "alarm_name", f"explode(sequence(from_at, least(last, from_at + {day - period}L), {period}L)) AS at"
     )
-    until = F.least(F.col("last"), F.col("from") + day - period)
-    spine = chunks.select("alarm_name", F.explode(F.sequence("from", until, F.lit(period))).alias("at"))
-    breach = F.when(F.col("state") == "ALARM", 1).otherwise(0)
-    frame = Window.partitionBy("alarm_name").orderBy("at").rowsBetween(1 - periods_to_alarm, 0)
+    run = f"OVER (PARTITION BY alarm_name ORDER BY at ROWS BETWEEN {periods_to_alarm - 1} PRECEDING AND CURRENT ROW)"
     return (
         spine.join(seconds, ["alarm_name", "at"], "left")
-        .withColumn("breaches", F.sum(breach).over(frame))
-        .select(
-            "alarm_name",
-            F.timestamp_seconds("at").alias("period_start"),
-            "total",
-            F.when(F.col("breaches") == periods_to_alarm, "ALARM").otherwise("OK").alias("state"),
+        .selectExpr("*", f"sum(IF(state = 'ALARM', 1, 0)) {run} AS breaches")
+        .selectExpr(
+            "alarm_name", "timestamp_seconds(at) AS period_start", "total",
+            f"IF(breaches = {periods_to_alarm}, 'ALARM', 'OK') AS state",
         )
     )
 
@@ -77,7 +71,7 @@ def alarm_filled(
 def alarm_status(states: DataFrame, prefix: str = "") -> DataFrame:
     """Latest state of each alarm whose name starts with ``prefix``."""
     return (
-        states.filter(F.col("alarm_name").startswith(prefix))
+        states.filter(f"startswith(alarm_name, {literal(prefix)})")
         .groupBy("alarm_name")
         .agg(F.max_by("state", "period_start").alias("state"))
     )

@@ -3,32 +3,32 @@
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cityflow import fixed_values as V
+from cityflow.functions.text import literal
 from cityflow.plans.features import accident_features, sensor_features
 from cityflow.schemas import CORRUPT, RAW_ACCIDENT, RAW_SENSOR
 from cityflow.sources.files import csv_schema
 
 
-def object_key(path: Column, root: str) -> Column:
+def object_key(path: str, root: str) -> str:
     """The part of a file's address below the watched folder; names above it route nothing."""
-    folder = re.sub(r"^[A-Za-z0-9]+:/*", "", root).strip("/")
-    below = F.locate(folder + "/", path)
-    return F.when(below > 0, F.substring(path, below + len(folder) + 1, F.length(path))).otherwise(path)
+    folder = re.sub(r"^[A-Za-z0-9]+:/*", "", root).strip("/") + "/"
+    below = f"locate({literal(folder)}, {path})"
+    return f"IF({below} > 0, substr({path}, {below} + {len(folder)}), {path})"
 
 
-def routed_to(key: Column, word: str) -> Column:
-    return F.lower(key).contains(word)
+def routed_to(key: str, word: str) -> str:
+    return f"contains(lower({key}), {literal(word)})"
 
 
-def routes_of(key: Column, words: Sequence[str] = V.ROUTES) -> Column:
+def routes_of(key: str, words: Sequence[str] = V.ROUTES) -> str:
     """Every route a key takes: one, several or none."""
-    taken = F.array(*[F.when(routed_to(key, w), F.lit(w)) for w in words])
-    return F.filter(taken, lambda w: w.isNotNull())
+    taken = ", ".join(f"IF({routed_to(key, w)}, {literal(w)}, NULL)" for w in words)
+    return f"array_compact(array({taken}))"
 
 
 def new_rows(spark: SparkSession, root: str, word: str, schema: T.StructType) -> DataFrame:
@@ -44,7 +44,7 @@ def new_rows(spark: SparkSession, root: str, word: str, schema: T.StructType) ->
         .option("recursiveFileLookup", True)
         .csv(root)
     )
-    return rows.filter(routed_to(object_key(F.col("_metadata.file_path"), root), word))
+    return rows.filter(routed_to(object_key("_metadata.file_path", root), word))
 
 
 def ingest(
