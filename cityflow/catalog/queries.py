@@ -613,6 +613,78 @@ def mlp9_tiers(spark, sf_dir):
     return risk(spark, sf_dir)
 
 
+# ---------------------------------------------------------------- trained models
+
+
+@lru_cache(maxsize=4)
+def encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded features with fold numbers, written once because training reads them many times."""
+    named = model_features(spark, sf_dir).selectExpr("*", "location_name AS zone")
+    folded = training.with_folds(model_data.label_encode(named), "accident_id")
+    return training.materialise(folded, "encoded")
+
+
+@lru_cache(maxsize=4)
+def trained_models(spark: SparkSession, sf_dir: str) -> dict[str, training.Trained]:
+    """The three models with their test metrics; shared by the queries below."""
+    train, test = model_data.hash_split(encoded_rows(spark, sf_dir), "accident_id")
+    return training.train_all(train, test)
+
+
+@lru_cache(maxsize=4)
+def validated_models(spark: SparkSession, sf_dir: str) -> dict[str, training.Trained]:
+    """The same with their cross-validation."""
+    train, _ = model_data.hash_split(encoded_rows(spark, sf_dir), "accident_id")
+    return training.cross_validate(trained_models(spark, sf_dir), train)
+
+
+@query
+def mlp6_train(spark, sf_dir):
+    """Test metrics of the three trained models."""
+    rows = training.model_rows(spark, trained_models(spark, sf_dir))
+    return rows.select("model", "accuracy", "f1_score", "roc_auc")
+
+
+@query
+def mlp8_cross_validation(spark, sf_dir):
+    rows = training.model_rows(spark, validated_models(spark, sf_dir))
+    return rows.select("model", "cv_f1_mean", "cv_f1_std")
+
+
+@query
+def mlp9_score(spark, sf_dir):
+    """Every accident scored by the best model."""
+    best = training.best_of(trained_models(spark, sf_dir))
+    return training.score(best.model, encoded_rows(spark, sf_dir))
+
+
+@query
+def mlp10_trained_comparison(spark, sf_dir):
+    return evaluation.compare(training.model_rows(spark, validated_models(spark, sf_dir)))
+
+
+@query
+def mlp11_importance(spark, sf_dir):
+    return training.importances(trained_models(spark, sf_dir)["Random Forest"].model, spark)
+
+
+@query
+def mlp13_run_log(spark, sf_dir):
+    path = scratch_path(spark, "runs")
+    train, _ = model_data.hash_split(encoded_rows(spark, sf_dir), "accident_id")
+    training.log_run(spark, training.best_of(validated_models(spark, sf_dir)), train.count(), path)
+    return files.read_parquet(spark, path, schemas.MODEL_RUNS)
+
+
+@query
+def mlp14_saved_model(spark, sf_dir):
+    """The best model saved, loaded again and applied: rows per tier."""
+    path = scratch_path(spark, "model")
+    training.save(training.best_of(trained_models(spark, sf_dir)).model, path)
+    scored = training.score(training.load(path), encoded_rows(spark, sf_dir))
+    return evaluation.tier_distribution(scored)
+
+
 # ---------------------------------------------------------------- streaming
 
 

@@ -19,6 +19,12 @@ def _f1(hit: str, called_and_positive: str) -> str:
     return f"IF({called_and_positive} = 0, 0D, 2 * {hit} / NULLIF({called_and_positive}, 0))"
 
 
+def f1_of(predicted: str, label: str) -> str:
+    """F1 of class 1 as an aggregate."""
+    both = f"(count_if({predicted} = 1) + count_if({label} = 1))"
+    return _f1(f"count_if({predicted} = 1 AND {label} = 1)", both)
+
+
 def metrics(scored: DataFrame, probability: str, predicted: str, label: str) -> DataFrame:
     """One row: accuracy, F1 of class 1 and the exact area under the ROC curve.
 
@@ -61,9 +67,7 @@ def metrics(scored: DataFrame, probability: str, predicted: str, label: str) ->
 
 def fold_f1(scored: DataFrame, fold: str, predicted: str, label: str) -> DataFrame:
     """Mean and population standard deviation of the per-fold F1."""
-    both = f"(count_if({predicted} = 1) + count_if({label} = 1))"
-    hit = f"count_if({predicted} = 1 AND {label} = 1)"
-    per_fold = scored.groupBy(fold).agg(F.expr(f"{_f1(hit, both)} AS f1"))
+    per_fold = scored.groupBy(fold).agg(F.expr(f"{f1_of(predicted, label)} AS f1"))
     return per_fold.agg(*columns(["avg(f1) AS cv_f1_mean", "stddev_pop(f1) AS cv_f1_std"]))
 
 

@@ -1,0 +1,125 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cityflow.operators import prefix, quality, star
+from cityflow.plans.features import accident_features, sensor_features
+from cityflow.plans.warehouse import Star, open_tables, open_views, store
+
+READINGS = "traffic_pk long, Sensor_ID string, Location string, Date_Time string, Vehicle_Count int, Average_Speed int, Congestion_Level string"
+ACCIDENTS = (
+    "accident_pk long, Accident_ID string, Location string, Date_Time string, Vehicle_Type string, Weather_Condition string, "
+    "Road_Condition string, Accident_Severity string, Number_of_Vehicles int, Casualties int, Traffic_Density string"
+)
+
+
+@pytest.fixture(scope="module")
+def sensor(spark):
+    rows = [
+        (1, "a1", "Downtown", "2024-01-01 08:00:00", 100, 40, "High"),
+        (2, "00123", "Highway", "2024-01-01 08:00:00", 300, 60, "Low"),
+        (3, "b2", "Nowhere", "2024-01-01 09:00:00", 50, 20, "Low"),
+        (4, "b3", "Highway", "not a time", 50, 20, "Low"),
+    ]
+    return sensor_features(spark.createDataFrame(rows, READINGS))
+
+
+@pytest.fixture(scope="module")
+def accident(spark):
+    rows = [
+        (1, "x1", "Downtown", "2024-01-01 08:00:00", "Car", "Fog", "Icy", "Fatal", 2, 3, "Low"),
+        (2, "x2", "Suburbs", "2024-02-01 22:00:00", "Bus", "Clear", "Dry", "Minor", 1, 0, "High"),
+        (3, "x3", "Downtown", "2024-02-01 22:00:00", "Tram", "Clear", "Dry", "Minor", 1, 0, "High"),
+    ]
+    return accident_features(spark.createDataFrame(rows, ACCIDENTS))
+
+
+@pytest.fixture(scope="module")
+def built(spark, sensor, accident):
+    return Star(spark, sensor, accident)
+
+
+def test_rows_are_facts_or_rejects(built):
+    assert [r.traffic_pk for r in built.traffic.orderBy("traffic_pk").collect()] == [1, 2]
+    rejects = {r.traffic_pk: r.missing_keys for r in built.traffic_rejects.collect()}
+    assert rejects == {3: ["location_id"], 4: ["date_id"]}
+    assert {r.accident_id for r in built.accidents.collect()} == {"x1", "x2"}
+    assert [(r.accident_pk, r.missing_keys) for r in built.accident_rejects.collect()] == [(3, ["vehicle_id"])]
+
+
+def test_facts_refer_to_dimensions(built):
+    assert quality.orphans(built.traffic, built.location, {"location_id": "location_id"}).isEmpty()
+    for fact in (built.traffic, built.accidents):
+        assert quality.orphans(fact, built.date, {"date_id": "date_id"}).isEmpty()
+
+
+def test_dimensions(built):
+    assert [tuple(r) for r in built.weather.collect()] == [(1, "Clear", 0), (2, "Fog", 1)]
+    assert [r.location_name for r in built.location.orderBy("location_id").collect()][0] == "Downtown"
+    assert built.date.count() == 3
+
+
+def test_sequential_date_keys_follow_time(sensor, accident):
+    rows = star.dim_date_sequential(sensor, accident).orderBy("full_datetime").collect()
+    assert [r.date_id for r in rows] == [1, 2, 3]
+
+
+def test_resolve_splits_rows(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, name string")
+    dim = spark.createDataFrame([(10, "a")], "key int, n string")
+    found, rejects = star.resolve(fact, dim, {"name": "n"}, "key")
+    assert [(r.id, r.key) for r in found.collect()] == [(1, 10)]
+    assert sorted(r.id for r in rejects.collect()) == [2, 3]
+
+
+def test_small_frames_are_pinned_and_large_ones_kept(spark):
+    small = spark.range(5)
+    assert star.pin_small(small, 5).count() == 5
+    large = spark.range(6)
+    assert star.pin_small(large, 5) is large
+
+
+def test_running_total_equals_one_window(spark):
+    frame = spark.range(500).selectExpr("id", "id * id % 13 AS v")
+    got = prefix.with_running_total(frame, "v", "id", "id DIV 37", "upto").orderBy("id").collect()
+    running = 0
+    for row in got:
+        running += row.v
+        assert row.upto == running
+
+
+def test_quality_checks(spark):
+    frame = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", None)], "k string, v int")
+    assert {tuple(r) for r in quality.null_counts(frame, ["k", "v"]).collect()} == {("k", 1), ("v", 1)}
+    assert [tuple(r) for r in quality.duplicates(frame, "k").collect()] == [("a", 2)]
+    parent = spark.createDataFrame([("b",)], "name string")
+    assert [tuple(r) for r in quality.orphans(frame, parent, {"k": "name"}).collect()] == [("a", 2)]
+    assert [tuple(r) for r in quality.bad_values(frame, "k", ["b"]).collect()] == [("a", 2)]
+    report = quality.domain_report(frame, {"k": ["b"], "v": [1, 2]})
+    assert {tuple(r) for r in report.collect()} == {("k", "a", 2), ("v", "3", 1)}
+
+
+def test_stored_warehouse_serves_views(spark, built, tmp_path):
+    path = str(tmp_path / "warehouse")
+    store(built.tables(), path)
+    tables = open_tables(spark, path)
+    assert tables["fact_accident"].count() == 2
+    assert tables["ml_accident_risk"].count() == 0
+    views = open_views(spark, path)
+    assert views["vw_monthly_trend"].count() == 2
+    row = spark.sql("SELECT * FROM vw_location_summary WHERE location_name = 'Downtown'").first()
+    assert row.total_accidents == 1 and row.total_vehicles == 100
+    # Zones without accidents are not listed; a zone without traffic has no rate.
+    names = {r.location_name: r.accident_rate_per_1000_vehicles for r in views["vw_location_summary"].collect()}
+    assert names == {"Downtown": 10.0, "Suburbs": None}
+
+
+def test_hour_without_accidents_has_null_sums(spark, sensor, accident):
+    from cityflow.plans import views
+
+    built = Star(spark, sensor.filter("Vehicle_Count <> 50"), accident)
+    later = spark.createDataFrame([(1704105000,)], "date_id long")  # 10:30, no fact
+    hours = {r.hour: r for r in views.hourly_profile(built.accidents, built.traffic, later).collect()}
+    assert hours[10].sensor_reading_count == 0 and hours[10].total_casualties is None
+    assert hours[10].high_congestion_pct is None
+    assert hours[22].accident_count == 1 and hours[22].avg_vehicles is None
+    assert hours[8].high_congestion_pct == 50.0
