@@ -452,6 +452,9 @@ ORACLES: dict[str, str] = {
     "dim4_date": _STAR + "SELECT * FROM dim_date",
     "dim5_weather_keys": _STAR + "SELECT weather_id, weather_condition FROM dim_weather",
     "dim5_date_keys": _STAR + "SELECT row_number() OVER (ORDER BY full_datetime) AS date_id, full_datetime FROM dim_date",
+    "dim5_fact_keys": _with(_ACCIDENT_RAW)
+    + """SELECT count(*) AS n, CAST(1 AS BIGINT) AS first, count(*) AS last, count(DISTINCT Accident_ID) AS different
+    FROM accident_raw""",
     "dim6_resolve": _with(_ACCIDENT_RAW)
     + """SELECT accident_pk, CAST(CASE Location WHEN 'AFRICA' THEN 1 WHEN 'AMERICA' THEN 2 WHEN 'EUROPE' THEN 3
     WHEN 'MIDDLE EAST' THEN 4 END AS BIGINT) AS location_id FROM accident_raw""",

@@ -344,6 +344,14 @@ def dim5_date_keys(spark, sf_dir):
     return dates.select("date_id", "full_datetime")
 
 
+@query
+def dim5_fact_keys(spark, sf_dir):
+    """Accidents numbered 1.. without a global sort: the keys are distinct and leave no gap."""
+    keyed = star.with_row_keys(accident_raw(spark, sf_dir), ["Accident_ID"], "key")
+    checks = ["count(*) AS n", "min(key) AS first", "max(key) AS last", "count(DISTINCT key) AS different"]
+    return keyed.agg(*columns(checks))
+
+
 @query
 def dim6_resolve(spark, sf_dir):
     """Accidents found and not found in a dimension that lacks a zone."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
+from cityflow.functions.numeric import rounded
 from cityflow.functions.text import case, literal, one_of
 
 
@@ -49,9 +50,10 @@ def congestion_index(
 ) -> str:
     """Null when a maximum is 0."""
     by_volume, by_speed = (literal(float(w)) for w in weights)
-    return (
-        f"round({by_volume} * {volume} / NULLIF({max_volume}, 0)"
-        f" + {by_speed} * (1.0D - CAST({speed} AS DOUBLE) / NULLIF({max_speed}, 0)), {digits})"
+    return rounded(
+        f"{by_volume} * {volume} / NULLIF({max_volume}, 0)"
+        f" + {by_speed} * (1.0D - CAST({speed} AS DOUBLE) / NULLIF({max_speed}, 0))",
+        digits,
     )
 
 
@@ -109,7 +111,7 @@ def log_casualties(x: str) -> str:
 
 
 def risk_score(severity: str, log_cas: str, vehicles: str, digits: int = 4) -> str:
-    return f"round({severity} * {log_cas} * {vehicles}, {digits})"
+    return rounded(f"{severity} * {log_cas} * {vehicles}", digits)
 
 
 def vehicle_class(

@@ -6,6 +6,17 @@ decimals and rounded half away from zero, once per result row.
 """
 
 
+def rounded(x: str, digits: int = 4) -> str:
+    """``round(x, digits)`` of a DOUBLE, the same for every input but several times as fast.
+
+    ``round`` builds a BigDecimal per row. It is needed only next to a tie, where the decimal form
+    of the double decides; elsewhere the nearest multiple is found in plain arithmetic.
+    """
+    y = f"(({x}) * {10**digits}D)"
+    plain = f"abs({y}) < 1e9D AND abs(abs({y} - rint({y})) - 0.5D) > 1e-6D"
+    return f"CASE WHEN {plain} THEN rint({y}) / {10**digits}D ELSE round({x}, {digits}) END"
+
+
 def units(x: str, digits: int = 4) -> str:
     """A value already rounded to ``digits`` places, as a BIGINT multiple of ``10**-digits``."""
     return f"CAST(rint(({x}) * {10**digits}D) AS BIGINT)"

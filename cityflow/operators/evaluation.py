@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
 from cityflow.functions.kpi import risk_tier
-from cityflow.functions.numeric import percent
+from cityflow.functions.numeric import percent, rounded
 from cityflow.functions.text import case, columns
 from cityflow.operators.prefix import with_running_total
 
@@ -87,7 +87,7 @@ def risk_table(scored: DataFrame, probability: str, predicted: str) -> DataFrame
     rows = scored.selectExpr(
         "accident_id",
         "location_name",
-        f"round({probability}, 4) AS predicted_risk_prob",
+        f"{rounded(probability)} AS predicted_risk_prob",
         f"CAST({predicted} AS INT) AS predicted_class",
         f"CAST({V.TARGET} AS INT) AS actual_fatal_severe",
     )

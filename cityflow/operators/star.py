@@ -74,6 +74,16 @@ def with_key(dim: DataFrame, order_by: str, key: str, bucket: str | None = None)
     return with_running_total(dim, "1L", order_by, bucket, key)
 
 
+def with_row_keys(df: DataFrame, unique: Sequence[str], key: str, buckets: int = 2**16) -> DataFrame:
+    """Consecutive keys 1.. for the rows of a fact table, in no particular order.
+
+    Rows are numbered within hash buckets of their unique columns and each bucket starts where the
+    one before ends. The hash spreads rows evenly, whatever values are frequent.
+    """
+    names = ", ".join(unique)
+    return with_running_total(df, "1L", names, f"pmod(xxhash64({names}), {buckets})", key)
+
+
 def dim_weather(accidents: DataFrame, column: str = "Weather_Condition") -> DataFrame:
     """Distinct conditions in sorted order with the adverse flag."""
     named = accidents.selectExpr(f"{column} AS weather_condition").distinct()

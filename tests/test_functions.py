@@ -5,7 +5,7 @@ import math
 import pytest
 
 from cityflow.functions import kpi, temporal
-from cityflow.functions.numeric import avg_of, percent, ratio, units, wide_ratio
+from cityflow.functions.numeric import avg_of, percent, ratio, rounded, units, wide_ratio
 from cityflow.functions.text import columns, literal
 
 
@@ -124,6 +124,16 @@ def test_ratios_round_half_away_from_zero(spark, num, den, digits, scale, wanted
         assert frame.selectExpr(wide_ratio("n", "d", digits, scale)).first()[0] == wanted
 
 
+def test_fast_rounding_equals_round(spark):
+    """On ties, next to them, on large and negative values and on a grid of quotients."""
+    near = [k / 20000 + e for k in range(-9, 10) for e in (0.0, 1e-17, -1e-17, 1e-12, -1e-12, 1e-9)]
+    odd = [1.00005, 2.67545, 38.36635, 1e9 + 0.00005, -1e12, 1e300, float("nan"), float("inf"), None]
+    grid = [0.6 * v / 480 + 0.4 * (1.0 - s / 80) for v in range(0, 481, 7) for s in range(0, 81, 3)]
+    frame = spark.createDataFrame([(x,) for x in near + odd + grid], "x double")
+    differing = frame.selectExpr("x", f"{rounded('x')} AS a", "round(x, 4) AS b").filter("NOT (a <=> b)")
+    assert differing.collect() == []
+
+
 def test_averages_skip_nulls(spark):
     frame = spark.createDataFrame([(1,), (2,), (None,)], "x int")
     row = frame.agg(*columns([f"{avg_of('x', 1)} AS a", f"{percent('sum(x)', 'count(*)')} AS p"])).first()
