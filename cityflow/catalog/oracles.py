@@ -380,7 +380,7 @@ states AS (
 
 def _filled(periods: int) -> str:
     return f"""{_with(_ALARMS)}
-SELECT alarm_name, period_start, total,
+SELECT alarm_name, period_start, coalesce(total, 0) AS total,
   CASE WHEN sum(CASE WHEN state = 'ALARM' THEN 1 ELSE 0 END) OVER (PARTITION BY alarm_name ORDER BY period_start
     ROWS BETWEEN {periods - 1} PRECEDING AND CURRENT ROW) = {periods} THEN 'ALARM' ELSE 'OK' END AS state
 FROM (SELECT alarm_name, unnest(generate_series(min(period_start), max(period_start), INTERVAL '5 minutes')) AS period_start
@@ -418,12 +418,12 @@ ORACLES: dict[str, str] = {
     + f"""SELECT id, {_int("year(ts)")} AS year, {_int("month(ts)")} AS month, {_int("day(ts)")} AS day,
     {_int("hour(ts)")} AS hour, {_int("quarter(ts)")} AS quarter, {_int("dayofweek(ts) + 1")} AS day_of_week FROM timed""",
     "tmp3_is_weekend": _with(_TIMED)
-    + """SELECT id, CAST(ts AS DATE) AS d,
+    + """SELECT id, CAST(CAST(ts AS DATE) AS VARCHAR) AS d,
     CAST(CASE WHEN dayofweek(ts) IN (0, 6) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend FROM timed""",
     "tmp4_is_peak_hour": _S + "SELECT traffic_pk, hour, is_peak_hour FROM sensor",
     "tmp5_time_of_day": _S + "SELECT traffic_pk, hour, time_of_day FROM sensor",
     "tmp6_calendar": _with(_TIMED)
-    + f"""SELECT id, CAST(ts AS DATE) AS date_only, monthname(ts) AS month_name, {_int("month(ts)")} AS month_sort,
+    + f"""SELECT id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date_only, monthname(ts) AS month_name, {_int("month(ts)")} AS month_sort,
     {_int("weekofyear(ts)")} AS week, dayname(ts) AS day_name, {_int("isodow(ts)")} AS day_of_week_num FROM timed""",
     "kpi1_congestion_index": _S + "SELECT traffic_pk, congestion_index FROM sensor",
     "kpi2_speed_band": _S + "SELECT traffic_pk, Average_Speed, speed_category FROM sensor",
@@ -449,7 +449,7 @@ ORACLES: dict[str, str] = {
     + """SELECT v.*, n AS accidents FROM dim_vehicle v
     JOIN (SELECT Vehicle_Type AS t, count(*) AS n FROM accident_raw GROUP BY t) ON t = vehicle_type""",
     "dim3_weather": _STAR + "SELECT weather_condition, is_adverse FROM dim_weather",
-    "dim4_date": _STAR + "SELECT * FROM dim_date",
+    "dim4_date": _STAR + "SELECT * REPLACE (CAST(date_only AS VARCHAR) AS date_only) FROM dim_date",
     "dim5_weather_keys": _STAR + "SELECT weather_id, weather_condition FROM dim_weather",
     "dim5_date_keys": _STAR + "SELECT row_number() OVER (ORDER BY full_datetime) AS date_id, full_datetime FROM dim_date",
     "dim5_fact_keys": _with(_ACCIDENT_RAW)
@@ -457,7 +457,7 @@ ORACLES: dict[str, str] = {
     FROM accident_raw""",
     "dim6_resolve": _with(_ACCIDENT_RAW)
     + """SELECT accident_pk, CAST(CASE Location WHEN 'AFRICA' THEN 1 WHEN 'AMERICA' THEN 2 WHEN 'EUROPE' THEN 3
-    WHEN 'MIDDLE EAST' THEN 4 END AS BIGINT) AS location_id FROM accident_raw""",
+    WHEN 'MIDDLE EAST' THEN 4 ELSE 0 END AS BIGINT) AS location_id FROM accident_raw""",
     "dim7_fact_traffic": _STAR + "SELECT * FROM fact_traffic",
     "dim8_fact_accident": _STAR + "SELECT * FROM fact_accident",
     "dim8_accident_rejects": _with(_ACCIDENT_RAW)

@@ -211,7 +211,7 @@ def tmp2_temporal_parts(spark, sf_dir):
 
 @query
 def tmp3_is_weekend(spark, sf_dir):
-    return _timed(spark, sf_dir).selectExpr("id", "to_date(ts) AS d", f"{temporal.is_weekend('ts')} AS is_weekend")
+    return _timed(spark, sf_dir).selectExpr("id", "CAST(to_date(ts) AS STRING) AS d", f"{temporal.is_weekend('ts')} AS is_weekend")
 
 
 @query
@@ -226,8 +226,9 @@ def tmp5_time_of_day(spark, sf_dir):
 
 @query
 def tmp6_calendar(spark, sf_dir):
-    columns = ("date_only", "month_name", "month_sort", "week", "day_name", "day_of_week_num")
-    return temporal.with_calendar(_timed(spark, sf_dir), "ts").select("id", *columns)
+    rest = ("month_name", "month_sort", "week", "day_name", "day_of_week_num")
+    dated = temporal.with_calendar(_timed(spark, sf_dir), "ts")
+    return dated.selectExpr("id", "CAST(date_only AS STRING) AS date_only", *rest)
 
 
 # ---------------------------------------------------------------- KPIs
@@ -329,7 +330,8 @@ def dim3_weather(spark, sf_dir):
 
 @query
 def dim4_date(spark, sf_dir):
-    return warehouse_of(spark, sf_dir).date
+    dates = warehouse_of(spark, sf_dir).date
+    return dates.withColumn("date_only", F.col("date_only").cast("string"))
 
 
 @query
@@ -354,12 +356,12 @@ def dim5_fact_keys(spark, sf_dir):
 
 @query
 def dim6_resolve(spark, sf_dir):
-    """Accidents found and not found in a dimension that lacks a zone."""
+    """Accidents found in a dimension that lacks a zone, and with key 0 those not found."""
     found, rejects = star.resolve(
         accident_raw(spark, sf_dir), _partial_location(spark), {"Location": "location_name"}, "location_id"
     )
     return found.select("accident_pk", "location_id").unionByName(
-        rejects.select("accident_pk"), allowMissingColumns=True
+        rejects.selectExpr("accident_pk", "0L AS location_id")
     )
 
 
@@ -785,12 +787,12 @@ def str3_alarm_stream(spark, sf_dir):
 
 @query
 def str4_alarm_filled(spark, sf_dir):
-    return alarms.alarm_filled(_alarm_states(spark, sf_dir))
+    return alarms.alarm_filled(_alarm_states(spark, sf_dir)).fillna(0, ["total"])
 
 
 @query
 def str4_alarm_two_periods(spark, sf_dir):
-    return alarms.alarm_filled(_alarm_states(spark, sf_dir), periods_to_alarm=2)
+    return alarms.alarm_filled(_alarm_states(spark, sf_dir), periods_to_alarm=2).fillna(0, ["total"])
 
 
 @query

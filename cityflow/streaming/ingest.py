@@ -31,10 +31,13 @@ def routes_of(key: str, words: Sequence[str] = V.ROUTES) -> str:
     return f"array_compact(array({taken}))"
 
 
-def new_rows(spark: SparkSession, root: str, word: str, schema: T.StructType) -> DataFrame:
+def new_rows(
+    spark: SparkSession, root: str, word: str, schema: T.StructType, files_per_batch: int = 1000
+) -> DataFrame:
     """An unbounded frame of the rows of all files routed by ``word``.
 
-    The filter is on the file's address alone, so Spark skips the other files unread.
+    The filter is on the file's address alone, so Spark skips the other files unread. A backlog is
+    worked off in batches of at most ``files_per_batch`` files, each committed on its own.
     """
     rows = (
         spark.readStream.schema(csv_schema(schema))
@@ -42,6 +45,7 @@ def new_rows(spark: SparkSession, root: str, word: str, schema: T.StructType) ->
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_batch)
         .csv(root)
     )
     return rows.filter(routed_to(object_key("_metadata.file_path", root), word))
