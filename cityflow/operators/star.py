@@ -84,17 +84,6 @@ def with_row_keys(df: DataFrame, unique: Sequence[str], key: str, buckets: int =
     return with_running_total(df, "1L", names, f"pmod(xxhash64({names}), {buckets})", key)
 
 
-def dim_weather(accidents: DataFrame, column: str = "Weather_Condition") -> DataFrame:
-    """Distinct conditions in sorted order with the adverse flag."""
-    named = accidents.selectExpr(f"{column} AS weather_condition").distinct()
-    flagged = named.filter("weather_condition IS NOT NULL").selectExpr(
-        "*", f"{kpi.flag_in('weather_condition', V.ADVERSE_WEATHER)} AS is_adverse"
-    )
-    return with_key(flagged, "weather_condition", "weather_id").select(
-        "weather_id", "weather_condition", "is_adverse"
-    )
-
-
 def pin_small(df: DataFrame, max_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
     """A frame of at most ``max_rows`` rows as a local relation; a larger one as it is.
 
@@ -108,6 +97,24 @@ def pin_small(df: DataFrame, max_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
+def dim_weather(accidents: DataFrame, column: str = "Weather_Condition") -> DataFrame:
+    """Distinct conditions in sorted order with the adverse flag.
+
+    Conditions are few, so they are numbered at once; a polluted column with more of them than
+    :func:`pin_small` takes is numbered within ranges of its first letters.
+    """
+    distinct = accidents.selectExpr(f"{column} AS weather_condition").distinct()
+    distinct = distinct.filter("weather_condition IS NOT NULL")
+    names = pin_small(distinct)
+    bucket = "substr(weather_condition, 1, 3)" if names is distinct else None
+    flagged = names.selectExpr(
+        "weather_condition", f"{kpi.flag_in('weather_condition', V.ADVERSE_WEATHER)} AS is_adverse"
+    )
+    return with_key(flagged, "weather_condition", "weather_id", bucket).select(
+        "weather_id", "weather_condition", "is_adverse"
+    )
+
+
 def date_key(ts: str) -> str:
     """Key of a timestamp: its seconds since 1970. It needs no lookup, sort or shared counter."""
     return f"unix_seconds(CAST({ts} AS TIMESTAMP))"

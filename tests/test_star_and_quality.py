@@ -78,6 +78,17 @@ def test_small_frames_are_pinned_and_large_ones_kept(spark):
     assert star.pin_small(large, 5) is large
 
 
+def test_many_conditions_are_numbered_in_order(spark, monkeypatch):
+    frame = spark.createDataFrame([(w,) for w in ("Snow", "Fog", None, "Sleet", "Fog", "Sn")], "w string")
+    few = star.dim_weather(frame, "w").orderBy("weather_id").collect()
+    monkeypatch.setattr(star.pin_small, "__defaults__", (2,))
+    many = star.dim_weather(frame, "w").orderBy("weather_id").collect()
+    assert few == many
+    assert [(r.weather_id, r.weather_condition, r.is_adverse) for r in many] == [
+        (1, "Fog", 1), (2, "Sleet", 0), (3, "Sn", 0), (4, "Snow", 1),
+    ]
+
+
 def test_running_total_equals_one_window(spark):
     frame = spark.range(500).selectExpr("id", "id * id % 13 AS v")
     got = prefix.with_running_total(frame, "v", "id", "id DIV 37", "upto").orderBy("id").collect()
