@@ -60,7 +60,8 @@ def known_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warehouse_of(spark, sf_dir) -> warehouse.Star:
     return warehouse.Star(
-        spark, sensor(spark, sf_dir), accident(spark, sf_dir), source.REGION_ZONES, known_weather(spark, sf_dir)
+        spark, sensor(spark, sf_dir), accident(spark, sf_dir), source.REGION_ZONES,
+        known_weather(spark, sf_dir),
     )
 
 
@@ -211,7 +212,8 @@ def tmp2_temporal_parts(spark, sf_dir):
 
 @query
 def tmp3_is_weekend(spark, sf_dir):
-    return _timed(spark, sf_dir).selectExpr("id", "CAST(to_date(ts) AS STRING) AS d", f"{temporal.is_weekend('ts')} AS is_weekend")
+    flag = f"{temporal.is_weekend('ts')} AS is_weekend"
+    return _timed(spark, sf_dir).selectExpr("id", "CAST(to_date(ts) AS STRING) AS d", flag)
 
 
 @query
@@ -782,7 +784,8 @@ def str3_alarm(spark, sf_dir):
 @query
 def str3_alarm_stream(spark, sf_dir):
     """The same as a stream; periods within the watermark's delay of the end are still open."""
-    return _drain(spark, alarms.alarm_stream(_failures(source.event_stream(spark, sf_dir)), "ts", "name", "failed"), "alarms")
+    failures = _failures(source.event_stream(spark, sf_dir))
+    return _drain(spark, alarms.alarm_stream(failures, "ts", "name", "failed"), "alarms")
 
 
 @query

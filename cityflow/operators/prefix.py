@@ -6,6 +6,7 @@ rows are ordered within their bucket only. The two add up to the exact running t
 """
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def with_running_total(df: DataFrame, value: str, order_by: str, bucket: str, out: str) -> DataFrame:
@@ -15,13 +16,11 @@ def with_running_total(df: DataFrame, value: str, order_by: str, bucket: str, ou
     number of buckets must be small (days, ranges of a score): it is all that one task sorts.
     """
     bucketed = df.selectExpr("*", f"{bucket} AS __bucket", f"{value} AS __value")
+    earlier = "OVER (ORDER BY __bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     before = (
         bucketed.groupBy("__bucket")
-        .agg({"__value": "sum"})
-        .selectExpr(
-            "__bucket",
-            "coalesce(sum(`sum(__value)`) OVER (ORDER BY __bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __before",
-        )
+        .agg(F.sum("__value").alias("__total"))
+        .selectExpr("__bucket", f"coalesce(sum(__total) {earlier}, 0) AS __before")
     )
     inside = bucketed.selectExpr(
         "*",

@@ -1,9 +1,10 @@
 """The pipeline's jobs, from raw files to the scored table.
 
-Each job replaces its output, so a rerun after a failure gives the same result.
+Each job replaces its output, so a rerun after a failure gives the same result. Feature tables can
+be partitioned, by year and month for example, so that later reads skip what they do not need.
 """
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,18 +17,18 @@ from cityflow.schemas import RAW_ACCIDENT, RAW_SENSOR
 from cityflow.sources.files import observed, read_csv, write_replace
 
 
-def sensor_job(spark: SparkSession, raw: str, out: str) -> int:
+def sensor_job(spark: SparkSession, raw: str, out: str, partition_by: Sequence[str] = ()) -> int:
     """Sensor CSV to the sensor feature table; returns the rows written."""
     rows = read_csv(spark, raw, RAW_SENSOR)
     counted, rows_written = observed(sensor_features(rows, kpi.maxima_of(rows)), "sensor rows")
-    write_replace(counted, out)
+    write_replace(counted, out, partition_by)
     return rows_written.get["row_count"]
 
 
-def accident_job(spark: SparkSession, raw: str, out: str) -> int:
+def accident_job(spark: SparkSession, raw: str, out: str, partition_by: Sequence[str] = ()) -> int:
     """Accident CSV to the accident feature table; returns the rows written."""
     counted, rows_written = observed(accident_features(read_csv(spark, raw, RAW_ACCIDENT)), "accident rows")
-    write_replace(counted, out)
+    write_replace(counted, out, partition_by)
     return rows_written.get["row_count"]
 
 

@@ -1,11 +1,10 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cityflow import session
-from cityflow.schemas import CORRUPT, RAW_ACCIDENT, RAW_SENSOR
+from cityflow.schemas import CORRUPT, RAW_SENSOR
 from cityflow.sources import files
 from cityflow.streaming import alarms, ingest
 

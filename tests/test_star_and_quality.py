@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from cityflow.operators import prefix, quality, star
 from cityflow.plans.features import accident_features, sensor_features
