@@ -7,7 +7,7 @@ decimals and rounded half away from zero, once per result row.
 
 
 def rounded(x: str, digits: int = 4) -> str:
-    """``round(x, digits)`` of a DOUBLE, the same for every input but several times as fast.
+    """``round(x, digits)`` of a DOUBLE with the same result at less cost per row.
 
     ``round`` builds a BigDecimal per row. It is needed only next to a tie, where the decimal form
     of the double decides; elsewhere the nearest multiple is found in plain arithmetic.
