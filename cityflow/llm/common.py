@@ -1,5 +1,6 @@
 """Small helpers shared by the operators."""
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -40,6 +41,19 @@ def located(docs: DataFrame) -> DataFrame:
         return saved(docs, "landed").withColumn("at", at)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """SQL settings for the length of a block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def columns_of(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names]
 

@@ -20,12 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import ascii_lower, columns_of, located, per_batch, saved
+from cityflow.llm.common import ascii_lower, columns_of, located, per_batch, saved, settings
 from cityflow.session import scratch_path
 
 FILES_PER_BATCH = 1000
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "spark.sql.streaming.stateStore."
+# State on disk. Many small stores would each reserve some MB ahead of need, so that is turned off.
+_SETTINGS = {
+    f"{_STATE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STATE}rocksdb.allowFAllocate": "false",
+}
 _AT = "struct<file: string, row: bigint>"
 
 
@@ -57,9 +61,7 @@ def retained(spark: SparkSession, intake: str, files_per_batch: int) -> DataFram
     restart goes on behind the last batch. Its sink discards: the state is the result.
     """
     checkpoint = scratch_path(spark, "exact-dedup-state")
-    before = spark.conf.get(_STORE)
-    spark.conf.set(_STORE, _ROCKSDB)
-    try:
+    with settings(spark, _SETTINGS):
         query = (
             spark.readStream.schema(f"doc_id bigint, digest binary, at {_AT}")
             .option("maxFilesPerTrigger", files_per_batch)
@@ -73,8 +75,6 @@ def retained(spark: SparkSession, intake: str, files_per_batch: int) -> DataFram
             .start()
         )
         query.awaitTermination()
-    finally:
-        spark.conf.set(_STORE, before)
     if query.lastProgress is None:
         return spark.createDataFrame([], f"digest binary, keep struct<doc_id: bigint, at: {_AT}>, seen bigint")
     state = spark.read.format("statestore").load(checkpoint)
