@@ -1,7 +1,11 @@
 """Small helpers shared by the operators."""
 
 import contextlib
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -77,5 +81,25 @@ def per_batch(
     return apply
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers where it is not on their path already.
+
+    Workers take PYTHONPATH and the working folder over; a cluster job names the package in
+    ``--py-files``. A session started elsewhere gets a zip of it, once.
+    """
+    root = Path(__file__).resolve().parents[2]
+    reached = [Path.cwd(), *(Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
+    if any(p.resolve() == root for p in reached) or not root.is_dir() or getattr(spark.sparkContext, "_cityflow", False):
+        return
+    with tempfile.TemporaryDirectory() as folder:
+        path = f"{folder}/cityflow.zip"
+        with zipfile.ZipFile(path, "w") as archive:
+            for file in sorted((root / "cityflow").rglob("*.py")):
+                archive.write(file, file.relative_to(root))
+        spark.sparkContext.addPyFile(path)
+    spark.sparkContext._cityflow = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,10 +1,21 @@
 """The registered queries of this folder and the SQL that checks them."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import exact_dedup
+from cityflow.llm import bestfit, bpe, exact_dedup
 from cityflow.llm.common import table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), WORD_BPE)
+
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents")).selectExpr(
@@ -12,7 +23,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op5_bpe_round_trip,
+        op8_best_fit_packing,
+        op10_exact_dedup,
+    )
+}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
