@@ -1,7 +1,9 @@
 """Small helpers shared by the operators."""
 
+import atexit
 import contextlib
 import os
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cityflow.session import scratch_path
 
+AT = "__at"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -31,7 +34,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``at``: the file and row number of each row.
+    """``docs`` with the file and row number of each row in the column ``AT``.
 
     A frame that does not come straight from Parquet files is written to the shared folder first,
     so that a retried task finds every row at the same place.
@@ -40,9 +43,9 @@ def located(docs: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
     try:
-        return docs.withColumn("at", at)
+        return docs.withColumn(AT, at)
     except AnalysisException:
-        return saved(docs, "landed").withColumn("at", at)
+        return saved(docs, "landed").withColumn(AT, at)
 
 
 @contextlib.contextmanager
@@ -91,12 +94,14 @@ def ship(spark: SparkSession) -> None:
     reached = [Path.cwd(), *(Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
     if any(p.resolve() == root for p in reached) or not root.is_dir() or getattr(spark.sparkContext, "_cityflow", False):
         return
-    with tempfile.TemporaryDirectory() as folder:
-        path = f"{folder}/cityflow.zip"
-        with zipfile.ZipFile(path, "w") as archive:
-            for file in sorted((root / "cityflow").rglob("*.py")):
-                archive.write(file, file.relative_to(root))
-        spark.sparkContext.addPyFile(path)
+    # the driver serves the file as long as it lives
+    folder = tempfile.mkdtemp(prefix="cityflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/cityflow.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted((root / "cityflow").rglob("*.py")):
+            archive.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(path)
     spark.sparkContext._cityflow = True
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import ascii_lower, columns_of, located, per_batch, saved, settings
+from cityflow.llm.common import AT, ascii_lower, columns_of, located, per_batch, saved, settings
 from cityflow.session import scratch_path
 
 FILES_PER_BATCH = 1000
@@ -48,7 +48,7 @@ def digested(rows: DataFrame, digest: Callable[[bytes], bytes]) -> DataFrame:
             "digest": [digest((t or b"").lower()) for t in texts]
         }
 
-    bare = rows.selectExpr("CAST(doc_id AS bigint) doc_id", "CAST(text AS binary) text", "at.file file", "at.row row")
+    bare = rows.selectExpr("CAST(doc_id AS bigint) doc_id", "CAST(text AS binary) text", f"{AT}.file file", f"{AT}.row row")
     return bare.mapInArrow(per_batch(columns, schema), "doc_id bigint, digest binary, file string, row bigint").selectExpr(
         "doc_id", "digest", "struct(file, row) at"
     )
@@ -85,7 +85,7 @@ def retained(spark: SparkSession, intake: str, files_per_batch: int) -> DataFram
 def collided(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Digests under which the bytes of some row differ from the retained row's."""
     hits = members.filter("seen > 1").select("digest", "at", (F.col("at") == F.col("keep.at")).alias("stays"))
-    texts = hits.join(rows.select("at", ascii_lower(F.coalesce("text", F.lit(""))).alias("text")), "at")
+    texts = hits.join(rows.select(F.col(AT).alias("at"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text")), "at")
     other = texts.filter("NOT stays").select("digest", "text")
     own = texts.filter("stays").select("digest", F.col("text").alias("kept_text"))
     return other.join(own, "digest").filter("text <> kept_text").select("digest").distinct()
@@ -108,7 +108,7 @@ def deduplicate(
     if clash.isEmpty():
         return members.selectExpr(*result)
     unlike = arrived.join(clash, "digest", "left_semi").join(
-        rows.select("at", ascii_lower(F.coalesce("text", F.lit(""))).alias("text")), "at"
+        rows.select(F.col(AT).alias("at"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text")), "at"
     )
     groups = unlike.groupBy("digest", "text").agg(
         F.max(F.struct("doc_id", "at")).alias("keep"), F.count(F.lit(1)).alias("seen")
@@ -124,4 +124,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns."""
     rows = located(docs)
     kept = deduplicate(docs).filter("kept").select(F.col("at").alias("kept_at"))
-    return rows.join(kept, rows["at"] == kept["kept_at"], "left_semi").select(*docs.columns)
+    return rows.join(kept, F.col(AT) == F.col("kept_at"), "left_semi").select(*docs.columns)

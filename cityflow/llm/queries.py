@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import bestfit, bpe, exact_dedup
+from cityflow.llm import bestfit, bpe, exact_dedup, simhash
 from cityflow.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -13,6 +13,12 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id"
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -27,6 +33,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op5_bpe_round_trip,
+        op6_simhash_near_dedup,
         op8_best_fit_packing,
         op10_exact_dedup,
     )
