@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import bestfit, bpe, exact_dedup, simhash, toxicity
+from cityflow.llm import bestfit, bpe, exact_dedup, quality, simhash, toxicity
 from cityflow.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -14,6 +14,11 @@ def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, labels))
 
 
+def op3_quality_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score(docs, quality.learn(docs, labels))
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -38,6 +43,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_toxicity_chain,
+        op3_quality_sites,
         op5_bpe_round_trip,
         op6_simhash_near_dedup,
         op8_best_fit_packing,
