@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import bestfit, bpe, exact_dedup, quality, simhash, toxicity
+from cityflow.llm import bestfit, bpe, chat, exact_dedup, line_dedup, quality, simhash, toxicity
 from cityflow.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,15 @@ def op3_quality_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.learn(docs, labels))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clash = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame(
+        [(-7, 0, "user", clash), (-7, 1, "assistant", clash)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select(more.columns).unionByName(more)
+    return chat.read_back(chat.format_chats(rows))
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -33,6 +42,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.clean(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents")).selectExpr(
         "doc_id", "keep_id", "group_size", "kept", "lower(hex(digest)) AS text_sha256"
@@ -44,16 +57,52 @@ QUERIES = {
     for f in (
         op2_toxicity_chain,
         op3_quality_sites,
+        op4_chat_formatting,
         op5_bpe_round_trip,
         op6_simhash_near_dedup,
         op8_best_fit_packing,
+        op9_line_dedup,
         op10_exact_dedup,
     )
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_ESCAPED = "{}"
+for _plain, _code in chat.CODES.items():
+    _ESCAPED = f"replace({_ESCAPED}, '{_plain}', '{_code}')"
+_CONFLICT = "contains({0}, '</s>') OR regexp_matches({0}, '&[aebic];')"
+
 ORACLES = {
+    "op4_chat_formatting": f"""
+        WITH r AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(19 + length(role)
+                   + CASE WHEN {_CONFLICT.format("text")} THEN length({_ESCAPED.format("text")}) ELSE length(text) END)
+                   AS BIGINT) AS formatted_chars
+        FROM r GROUP BY conv_id""",
+    "op9_line_dedup": f"""
+        WITH l AS (
+            SELECT d.rowid AS id, d.source AS site, u.line, u.pos
+            FROM (SELECT row_number() OVER () AS rowid, * FROM documents) d,
+                 unnest(string_split(d.text, chr(10))) WITH ORDINALITY AS u(line, pos)),
+        b AS (
+            SELECT trim(line) AS line FROM l WHERE trim(line) <> '' GROUP BY 1
+            HAVING count(DISTINCT site) >= {line_dedup.SITES})
+        SELECT doc_id, text, n_lines, n_removed FROM (
+            SELECT d.doc_id,
+                   CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(string_agg(l.line, chr(10) ORDER BY l.pos)
+                       FILTER (b.line IS NULL), '') END AS text,
+                   count(l.pos) AS n_lines, count(b.line) AS n_removed
+            FROM (SELECT row_number() OVER () AS rowid, * FROM documents) d
+            LEFT JOIN l ON l.id = d.rowid LEFT JOIN b ON b.line = trim(l.line)
+            GROUP BY d.rowid, d.doc_id, d.text)""",
     "op10_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
