@@ -3,12 +3,16 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import bestfit, bpe, chat, exact_dedup, line_dedup, quality, simhash, toxicity
+from cityflow.llm import bestfit, bpe, chat, embedding_dedup, exact_dedup, line_dedup, quality, simhash, toxicity
 from cityflow.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.learn(docs, labels))
@@ -55,6 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_embedding_near_dedup,
         op2_toxicity_chain,
         op3_quality_sites,
         op4_chat_formatting,
