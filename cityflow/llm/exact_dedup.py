@@ -83,12 +83,16 @@ def retained(spark: SparkSession, intake: str, files_per_batch: int) -> DataFram
 
 
 def collided(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Digests under which the bytes of some row differ from the retained row's."""
-    hits = members.filter("seen > 1").select("digest", "at", (F.col("at") == F.col("keep.at")).alias("stays"))
-    texts = hits.join(rows.select(F.col(AT).alias("at"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text")), "at")
-    other = texts.filter("NOT stays").select("digest", "text")
-    own = texts.filter("stays").select("digest", F.col("text").alias("kept_text"))
-    return other.join(own, "digest").filter("text <> kept_text").select("digest").distinct()
+    """Digests under which not all rows have the same bytes: the hits' texts are fetched by locator,
+    and the smallest and the largest text of a digest, combined before the shuffle, must be one."""
+    hits = members.filter("seen > 1").select("digest", "at")
+    return (
+        hits.join(rows.select(F.col(AT).alias("at"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text")), "at")
+        .groupBy("digest")
+        .agg(F.min("text").alias("first"), F.max("text").alias("last"))
+        .filter("first <> last")
+        .select("digest")
+    )
 
 
 def deduplicate(
