@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import bestfit, bpe, chat, embedding_dedup, exact_dedup, line_dedup, quality, simhash, toxicity
+from cityflow.llm import bestfit, bpe, chat, embedding_dedup, exact_dedup, line_dedup, quality, simhash, token_output, toxicity
 from cityflow.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +42,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.write_rows(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -65,6 +69,7 @@ QUERIES = {
         op4_chat_formatting,
         op5_bpe_round_trip,
         op6_simhash_near_dedup,
+        op7_token_rows,
         op8_best_fit_packing,
         op9_line_dedup,
         op10_exact_dedup,
