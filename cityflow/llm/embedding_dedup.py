@@ -10,9 +10,9 @@
    entry.
 4. A list is dealt in blocks of about ``BLOCK`` vectors, and each pair of blocks is one group, so that no
    list, however long, meets in one task. Candidates are counted and verified by their cosine in double
-   precision as products of matrices. A group gives each vector's number of links and a spanning forest
-   of the links, never the pairs.
-5. Components follow from the forests.
+   precision as products of matrices. A group gives each vector's number of links and the first vector it is
+   connected with in the group, never the pairs.
+5. Components follow from those ties.
 
 Recall over random pairs at the threshold, the hardest case, is 0.99 or more with these parameters (64
 dimensions, up to 2,000 pivots); tests measure it against brute force.

@@ -7,7 +7,7 @@ by variant; equal variants are verified by counting the bits that differ. A pair
 several variants is taken at the first only.
 
 Variants shared by few fingerprints compare them pairwise; those shared by up to ``RUN`` do so in
-blocks and give a spanning forest of links instead of the pairs. Variants shared by more stream past
+blocks and tie each member to the first one of its component instead of giving the pairs. Variants shared by more stream past
 without being held: their fingerprints go on to finer variants, with one bit left out of either
 segment or two out of the other one, which at most four fingerprints share and which need no
 verification. So no group is gathered and no pair lost at any size.
@@ -92,7 +92,7 @@ def linked(a: np.ndarray, b: np.ndarray, variant: np.ndarray) -> np.ndarray:
 
 
 def forest(prints: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among the fingerprints that share one variant."""
+    """Each fingerprint of a variant with the first one it is connected with, itself excepted."""
     root = np.arange(len(prints))
     for i in range(1, len(prints)):
         near = root[:i][linked(prints[:i], prints[i], variant)]
@@ -106,7 +106,7 @@ def forest(prints: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def links_of_runs(keys: np.ndarray, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links within runs of equal keys; no run is longer than RUN."""
+    """Links within runs of equal keys."""
     edge = np.flatnonzero(np.diff(keys)) + 1
     starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(keys)]))
     size = ends - starts
@@ -126,8 +126,9 @@ def links_of_runs(keys: np.ndarray, prints: np.ndarray) -> Iterator[tuple[np.nda
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
 
 
-def links_by_variant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) from rows (key, fp) sorted by both; rows of overlong runs pass on as (a, null, key)."""
+def links_by_variant(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) from rows (key, fp) sorted by both; rows of runs longer than ``run`` pass on as
+    (a, null, key), without being held."""
 
     def rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         a, b = pa.array(a.view("<i8")), pa.array(b.view("<i8"))
@@ -142,12 +143,13 @@ def links_by_variant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             return
         edge = np.flatnonzero(np.diff(keys)) + 1
         size = np.diff(np.concatenate(([0], edge, [len(keys)])))
-        long = np.repeat(size > RUN, size)
+        long = np.repeat(size > run, size)
         if long.any():
             yield passed_on(keys[long], prints[long])
-        for a, b in links_of_runs(keys[~long], prints[~long]) if not long.all() else ():
-            if len(a):
-                yield rows(a, b)
+        if not long.all():
+            for a, b in links_of_runs(keys[~long], prints[~long]):
+                if len(a):
+                    yield rows(a, b)
 
     keys, prints, streaming = np.empty(0, np.int64), np.empty(0, "<u8"), None
     for batch in batches:
@@ -166,9 +168,10 @@ def links_by_variant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         last = int(np.searchsorted(keys, keys[-1], "left"))
         yield from results(keys[:last], prints[:last])
         keys, prints = keys[last:], prints[last:]
-        if len(keys) > RUN:
+        if len(keys) > run:
+            streaming = int(keys[-1])
             yield passed_on(keys, prints)
-            keys, prints, streaming = keys[:0], prints[:0], int(keys[-1])
+            keys, prints = keys[:0], prints[:0]
     yield from results(keys, prints)
 
 
@@ -201,13 +204,13 @@ def finer(overlong: DataFrame) -> DataFrame:
     )
 
 
-def links(prints: DataFrame) -> DataFrame:
+def links(prints: DataFrame, run: int = RUN) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``prints`` (fp) that keep every component together."""
     variants = prints.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("v")).selectExpr(
         "(CAST(v AS bigint) << 32) | (shiftrightunsigned(fp, IF(v < 32, 0, 32)) & 4294967295 & ~(1L << (v % 32))) AS key", "fp"
     )
     found = saved(
-        variants.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(links_by_variant, "a bigint, b bigint, key bigint"),
+        variants.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(lambda batches: links_by_variant(batches, run), "a bigint, b bigint, key bigint"),
         "simhash-links",
     )
     return (

@@ -1,0 +1,148 @@
+"""SimHash fingerprints, links and components against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from cityflow.llm import simhash
+from cityflow.llm.components import components
+from helpers import CLASHING, DOCUMENTS, EDGES, clashing, stored
+
+
+def fingerprint(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(links, nodes):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    return {n: find(n) for n in nodes}
+
+
+def near(prints):
+    return [(a, b) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= 2]
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(0)
+    for nodes, links in ((60, 40), (200, 120), (50, 400), (1, 1)):
+        pairs = [(rng.randrange(nodes), rng.randrange(nodes)) for _ in range(links)]
+        pairs += [(i, i + 1) for i in range(1000, 1040)]  # a path
+        found = components(spark.createDataFrame(pairs, "x bigint, y bigint"))
+        linked = {n for a, b in pairs if a != b for n in (a, b)}
+        assert {r["node"]: r["root"] for r in found.collect()} == roots([p for p in pairs if p[0] != p[1]], linked)
+
+
+def test_components_without_links(spark):
+    assert components(spark.createDataFrame([(1, 1), (None, 2)], "x bigint, y bigint")).collect() == []
+
+
+def test_fingerprint_of_many_texts():
+    rng = random.Random(1)
+    for n in (0, 1, 2, 3, 4, 50, 20_000):
+        text = "".join(rng.choice(["Aé", "b", "Œ", "ß"]) + rng.choice([" ", "\t", "\x0b\r", "  "]) for _ in range(n))
+        assert simhash.fingerprint(text.encode()) == fingerprint(text)
+    assert simhash.fingerprint("a\xa0b c".encode()) == fingerprint("a\xa0b c")  # a no-break space cuts no word
+
+
+def clustered(rng, clusters, members, bits):
+    found = set()
+    for _ in range(clusters):
+        centre = rng.getrandbits(64)
+        for _ in range(members):
+            value = centre
+            for _ in range(rng.randrange(bits + 1)):
+                value ^= 1 << rng.randrange(64)
+            found.add(value)
+    return sorted(found)
+
+
+@pytest.mark.parametrize("run", [4096, 20, 2])
+def test_links_keep_every_component(spark, run):
+    """Also where every variant of a few fingerprints counts as too long to be held."""
+    prints = clustered(random.Random(2), 30, 12, 3) + clustered(random.Random(3), 2, 150, 4)
+    signed = [p - (1 << 64) if p >= 1 << 63 else p for p in prints]
+    frame = spark.createDataFrame([(p,) for p in signed], "fp bigint")
+    found = [(a % (1 << 64), b % (1 << 64)) for a, b in simhash.links(frame, run).select("a", "b").collect()]
+    if run <= simhash.DIRECT:  # pairs of links; above, ties to the first of a component
+        assert all((a ^ b).bit_count() <= 2 for a, b in found)
+    assert roots(found, prints) == roots(near(prints), prints)
+
+
+def test_no_pairs_of_a_large_group_are_emitted(spark):
+    base = 0x0123456789ABCDEF
+    prints = sorted({base ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(i)})  # 2,016, chained
+    frame = spark.createDataFrame([(p - (1 << 64) if p >= 1 << 63 else p,) for p in prints], "fp bigint")
+    found = simhash.links(frame)
+    assert found.count() < 64 * len(prints)
+    assert components(found.select("a", "b")).select("root").distinct().count() == 1
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_groups_of_edges(spark, tmp_path, extra):
+    rows = EDGES + [(20, "Same words stand here, once and Again.", "en", "b", 1), (21, "\r\n", "en", "b", 0)]
+    docs = stored(spark, tmp_path, clashing(rows) if extra else rows, CLASHING if extra else DOCUMENTS)
+    prints = sorted({fingerprint(r[1]) for r in rows})
+    root = roots(near(prints), prints)
+    low = {}
+    for r in rows:
+        key = root[fingerprint(r[1])]
+        low[key] = min((x for x in (low.get(key), r[0]) if x is not None), default=None)
+    found = simhash.grouped(docs).select("doc_id", "fp", "component_id").collect()
+    assert sorted(((r[0], r[1] % (1 << 64), r[2]) for r in found), key=str) == sorted(
+        ((r[0], fingerprint(r[1]), low[root[fingerprint(r[1])]]) for r in rows), key=str
+    )
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(low.values(), key=str)
+
+
+def test_no_rows(spark):
+    empty = spark.createDataFrame([], DOCUMENTS)
+    assert simhash.grouped(empty).count() == 0
+    assert simhash.keep_one(empty).count() == 0
+
+
+def test_registered_query_equals_brute_force(spark, sf_dir):
+    from cityflow.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    own = {d: fingerprint(t) for d, t in docs}
+    prints = sorted(set(own.values()))
+    root = roots(near(prints), prints)
+    low = {}
+    for d, p in own.items():
+        low[root[p]] = min(low.get(root[p], d), d)
+    found = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in QUERIES["op6_simhash_near_dedup"](spark, sf_dir).collect()}
+    assert found == {d: (f"{p:016x}", low[root[p]]) for d, p in own.items()}
+
+
+def test_first_variant_is_the_first_that_agrees():
+    rng = random.Random(5)
+    for _ in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for _ in range(rng.randrange(4)):
+            b ^= 1 << rng.randrange(64)
+        keys = [
+            [(p >> (32 * (v // 32))) & 0xFFFFFFFF & ~(1 << (v % 32)) for v in range(64)] for p in (a, b)
+        ]
+        wanted = next((v for v in range(64) if keys[0][v] == keys[1][v]), 64)
+        assert simhash.first_variant(np.array([a ^ b], "<u8"))[0] == wanted
