@@ -127,5 +127,5 @@ def deduplicate(
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns."""
     rows = located(docs)
-    kept = deduplicate(docs).filter("kept").select(F.col("at").alias("kept_at"))
-    return rows.join(kept, F.col(AT) == F.col("kept_at"), "left_semi").select(*docs.columns)
+    kept = deduplicate(rows).filter("kept").select(F.col("at").alias("__kept_at"))
+    return rows.join(kept, F.col(AT) == F.col("__kept_at"), "left_semi").select(*docs.columns)

@@ -171,5 +171,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, host: str = HOST, path: str =
     rows = located(docs).withColumns({"__host": F.expr(host), "__path": F.expr(path)})
     plain = rows.selectExpr("doc_id", "text", "__host", "__path", f"{AT}.file", f"{AT}.row")
     scored = score(plain, learn(docs, labels), "__host", "__path", ("file", "row"))
-    gone = scored.filter("NOT kept").select(F.struct("file", "row").alias("gone"))
-    return rows.join(gone, F.col(AT) == F.col("gone"), "left_anti").select(*docs.columns)
+    gone = scored.filter("NOT kept").select(F.struct("file", "row").alias("__gone"))
+    return rows.join(gone, F.col(AT) == F.col("__gone"), "left_anti").select(*docs.columns)

@@ -240,7 +240,7 @@ def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     kept = (
         placed.filter("doc_id <=> component_id")
         .groupBy("component_id")
-        .agg(F.min(F.struct("file", "row")).alias("kept_at"))
-        .select("kept_at")
+        .agg(F.min(F.struct("file", "row")).alias("__kept_at"))
+        .select("__kept_at")
     )
-    return rows.join(kept, F.col(AT) == F.col("kept_at"), "left_semi").select(*docs.columns)
+    return rows.join(kept, F.col(AT) == F.col("__kept_at"), "left_semi").select(*docs.columns)
