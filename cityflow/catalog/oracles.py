@@ -383,7 +383,7 @@ def _filled(periods: int) -> str:
 SELECT alarm_name, period_start, coalesce(total, 0) AS total,
   CASE WHEN sum(CASE WHEN state = 'ALARM' THEN 1 ELSE 0 END) OVER (PARTITION BY alarm_name ORDER BY period_start
     ROWS BETWEEN {periods - 1} PRECEDING AND CURRENT ROW) = {periods} THEN 'ALARM' ELSE 'OK' END AS state
-FROM (SELECT alarm_name, unnest(generate_series(min(period_start), max(period_start), INTERVAL '5 minutes')) AS period_start
+FROM (SELECT alarm_name, unnest(generate_series(min(period_start), (SELECT max(period_start) FROM states), INTERVAL '5 minutes')) AS period_start
   FROM states GROUP BY alarm_name) spine LEFT JOIN states USING (alarm_name, period_start)"""
 
 
@@ -461,7 +461,7 @@ ORACLES: dict[str, str] = {
     "dim7_fact_traffic": _STAR + "SELECT * FROM fact_traffic",
     "dim8_fact_accident": _STAR + "SELECT * FROM fact_accident",
     "dim8_accident_rejects": _with(_ACCIDENT_RAW)
-    + "SELECT accident_pk, 'location_id' AS missing_keys FROM accident_raw WHERE Location = 'ASIA'",
+    + "SELECT accident_pk, 'location_id' AS failed FROM accident_raw WHERE Location = 'ASIA'",
     "dq1_null_counts": _S
     + """SELECT 'Sensor_ID' AS column_name, count(*) - count(Sensor_ID) AS null_count FROM sensor
     UNION ALL SELECT 'location_id', count(*) FILTER (Location = 'ASIA') FROM sensor
@@ -575,5 +575,7 @@ ORACLES: dict[str, str] = {
     "str4_alarm_filled": _filled(1),
     "str4_alarm_two_periods": _filled(2),
     "str5_alarm_status": _with(_ALARMS)
-    + """SELECT alarm_name, arg_max(state, period_start) AS state FROM states WHERE alarm_name LIKE 'CityFlow%' GROUP BY alarm_name""",
+    + """SELECT alarm_name, CASE WHEN count(*) FILTER (WHERE state = 'ALARM' AND
+      period_start = (SELECT max(period_start) FROM states)) = 1 THEN 'ALARM' ELSE 'OK' END AS state
+    FROM states WHERE alarm_name LIKE 'CityFlow%' GROUP BY alarm_name""",
 }

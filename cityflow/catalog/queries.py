@@ -53,15 +53,15 @@ def accident(spark, sf_dir):
     return features.accident_features(accident_raw(spark, sf_dir))
 
 
-@lru_cache(maxsize=8)
-def known_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.pin_small(star.dim_weather(accident_raw(spark, sf_dir)))
+def stored_weather(spark, sf_dir):
+    """The weather dimension as a load stores it, before any fact refers to it."""
+    return files.stored(star.dim_weather(accident_raw(spark, sf_dir)), scratch_path(spark, "dim-weather"))
 
 
 def warehouse_of(spark, sf_dir) -> warehouse.Star:
     return warehouse.Star(
         spark, sensor(spark, sf_dir), accident(spark, sf_dir), source.REGION_ZONES,
-        known_weather(spark, sf_dir),
+        lambda: stored_weather(spark, sf_dir),
     )
 
 
@@ -379,11 +379,11 @@ def dim8_fact_accident(spark, sf_dir):
 
 @query
 def dim8_accident_rejects(spark, sf_dir):
-    """Accidents left out of the facts, with the keys they lack."""
+    """Accidents left out of the facts, with the constraints they break."""
     rejects = star.accident_rejects(
-        accident(spark, sf_dir), _partial_location(spark), star.dim_vehicle(spark), known_weather(spark, sf_dir)
+        accident(spark, sf_dir), _partial_location(spark), star.dim_vehicle(spark), stored_weather(spark, sf_dir)
     )
-    return rejects.selectExpr("accident_pk", "array_join(missing_keys, ',') AS missing_keys")
+    return rejects.selectExpr("accident_pk", "array_join(failed, ',') AS failed")
 
 
 # ---------------------------------------------------------------- data quality

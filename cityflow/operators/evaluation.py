@@ -30,7 +30,8 @@ def metrics(scored: DataFrame, probability: str, predicted: str, label: str) ->
     """One row: accuracy, F1 of class 1 and the exact area under the ROC curve.
 
     The area is the share of (positive, negative) pairs ranked rightly, ties counting half. Rows
-    are first added up per score; the negatives below each score are then a running total.
+    are first added up per score; the negatives below each score are then a running total. A null
+    score ranks below every other one, and a null prediction is a wrong one.
     """
     p, y = predicted, label
     by_score = (

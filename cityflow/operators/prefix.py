@@ -13,7 +13,8 @@ def with_running_total(df: DataFrame, value: str, order_by: str, bucket: str, ou
     """Add the sum of ``value`` over all rows up to and including this one.
 
     ``value``, ``order_by`` and ``bucket`` are SQL expressions; ``order_by`` must be unique. The
-    number of buckets must be small (days, ranges of a score): it is all that one task sorts.
+    number of buckets must be small (days, ranges of a score): it is all that one task sorts. A null
+    bucket is one of its own and comes first, as nulls sort first.
     """
     bucketed = df.selectExpr("*", f"{bucket} AS __bucket", f"{value} AS __value")
     earlier = "OVER (ORDER BY __bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -26,6 +27,7 @@ def with_running_total(df: DataFrame, value: str, order_by: str, bucket: str, ou
         "*",
         f"sum(__value) OVER (PARTITION BY __bucket ORDER BY {order_by} ROWS UNBOUNDED PRECEDING) AS __inside",
     )
-    return inside.join(before, "__bucket").selectExpr(
-        "* EXCEPT (__bucket, __value, __inside, __before)", f"__inside + __before AS {out}"
+    before = before.withColumnRenamed("__bucket", "__of")
+    return inside.join(before, F.expr("__bucket <=> __of")).selectExpr(
+        "* EXCEPT (__bucket, __of, __value, __inside, __before)", f"__inside + __before AS {out}"
     )

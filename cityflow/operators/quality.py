@@ -1,6 +1,7 @@
 """Data-quality checks in place of a database's constraints."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,34 @@ def bad_values(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
     return strange.groupBy("value").agg(F.expr("count(*) AS row_count"))
 
 
+def quality_report(
+    tables: Mapping[str, DataFrame],
+    required: Mapping[str, Sequence[str]],
+    unique: Mapping[str, Sequence[str]],
+    references: Mapping[tuple[str, str], tuple[str, str]],
+) -> DataFrame:
+    """table_name, constraint_name, column_name and rows that break it, for every declared constraint.
+
+    ``required`` and ``unique`` list columns by table; ``references`` maps (table, column) to the
+    (table, column) it must be found in.
+    """
+    found = []
+    for name, columns in required.items():
+        counts = null_counts(tables[name], list(columns))
+        found.append(counts.selectExpr(f"'{name}' AS table_name", "'not null' AS constraint_name", "column_name", "null_count AS broken"))
+
+    def counted(rows: DataFrame, name: str, constraint: str, column: str) -> DataFrame:
+        return rows.agg(F.expr("coalesce(sum(row_count), 0L) AS broken")).selectExpr(
+            f"'{name}' AS table_name", f"'{constraint}' AS constraint_name", f"'{column}' AS column_name", "broken"
+        )
+
+    for name, columns in unique.items():
+        found += [counted(duplicates(tables[name], c), name, "unique", c) for c in columns]
+    for (name, column), (parent, key) in references.items():
+        found.append(counted(orphans(tables[name], tables[parent], {column: key}), name, "reference", column))
+    return reduce(DataFrame.unionByName, found)
+
+
 def domain_report(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
     """:func:`bad_values` of several columns, in one pass over the table."""
     marks = ", ".join(

@@ -5,15 +5,16 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cityflow import fixed_values as V
 from cityflow.functions import kpi
 from cityflow.functions.temporal import calendar
 from cityflow.operators.prefix import with_running_total
-from cityflow.schemas import FACT_ACCIDENT, FACT_TRAFFIC
+from cityflow.schemas import CORRUPT, FACT_ACCIDENT, FACT_TRAFFIC
 
-SMALL_DIMENSION_ROWS = 10_000
+CORRUPT_ROW, REPEATED = "malformed row", "repeated"
 
 TRAFFIC_NAMES = {
     "Sensor_ID": "sensor_id",
@@ -78,41 +79,31 @@ def with_row_keys(df: DataFrame, unique: Sequence[str], key: str, buckets: int =
     """Consecutive keys 1.. for the rows of a fact table, in no particular order.
 
     Rows are numbered within hash buckets of their unique columns and each bucket starts where the
-    one before ends. The hash spreads rows evenly, whatever values are frequent.
+    one before ends. Rows without any of those values, and repeats of them, are spread by a hash of
+    the whole row.
     """
-    names = ", ".join(unique)
-    return with_running_total(df, "1L", names, f"pmod(xxhash64({names}), {buckets})", key)
+    names, whole = ", ".join(unique), ", ".join(f"`{c}`" for c in df.columns)
+    return with_running_total(df, "1L", f"{names}, xxhash64({whole})", f"pmod(xxhash64({whole}), {buckets})", key)
 
 
-def pin_small(df: DataFrame, max_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
-    """A frame of at most ``max_rows`` rows as a local relation; a larger one as it is.
-
-    Spark sizes an aggregate by its input, so it would shuffle a fact table to join five derived
-    rows. At most ``max_rows + 1`` rows come to the driver; beyond the bound the join is planned
-    as any other.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+def with_natural_keys(df: DataFrame, key: str) -> DataFrame:
+    """A key from the row's own values: the same row has the same key in every load, and new rows
+    leave the keys of old ones as they are. Rows alike in every column share it."""
+    return df.selectExpr("*", f"xxhash64({', '.join(f'`{c}`' for c in sorted(df.columns))}) AS {key}")
 
 
 def dim_weather(accidents: DataFrame, column: str = "Weather_Condition") -> DataFrame:
     """Distinct conditions in sorted order with the adverse flag.
 
-    Conditions are few, so they are numbered at once; a polluted column with more of them than
-    :func:`pin_small` takes is numbered within ranges of its first letters.
+    The rows are reduced to their distinct conditions in parallel; what one task orders, to count
+    them 1.., is the dimension's members. Store the dimension before facts refer to it: a file has a
+    size, so Spark can decide how to join it.
     """
-    distinct = accidents.selectExpr(f"{column} AS weather_condition").distinct()
-    distinct = distinct.filter("weather_condition IS NOT NULL")
-    names = pin_small(distinct)
-    bucket = "substr(weather_condition, 1, 3)" if names is distinct else None
-    flagged = names.selectExpr(
+    distinct = accidents.selectExpr(f"{column} AS weather_condition").filter("weather_condition IS NOT NULL").distinct()
+    flagged = distinct.selectExpr(
         "weather_condition", f"{kpi.flag_in('weather_condition', V.ADVERSE_WEATHER)} AS is_adverse"
     )
-    return with_key(flagged, "weather_condition", "weather_id", bucket).select(
-        "weather_id", "weather_condition", "is_adverse"
-    )
+    return with_key(flagged, "weather_condition", "weather_id").select("weather_id", "weather_condition", "is_adverse")
 
 
 def date_key(ts: str) -> str:
@@ -125,8 +116,9 @@ def key_time(date_id: str = "date_id") -> str:
 
 
 def distinct_times(*facts: DataFrame, ts: str = "DateTime") -> DataFrame:
-    """Distinct timestamps of all frames; each partition drops its repeats before the shuffle."""
-    times = [f.selectExpr(f"CAST({ts} AS TIMESTAMP) AS full_datetime") for f in facts]
+    """Distinct timestamps of all frames, to the second as their key is; each partition drops its
+    repeats before the shuffle."""
+    times = [f.selectExpr(f"timestamp_seconds({date_key(ts)}) AS full_datetime") for f in facts]
     return reduce(DataFrame.unionAll, times).filter("full_datetime IS NOT NULL").distinct()
 
 
@@ -168,24 +160,42 @@ def _with_keys(features: DataFrame, lookups: Sequence[tuple[DataFrame, str, str,
     return keyed
 
 
-def _complete(keyed: DataFrame, keys: Sequence[str], renames: Mapping[str, str], schema: T.StructType) -> DataFrame:
-    """Rows with all keys, as the columns of a fact table."""
+def _typed(renames: Mapping[str, str], schema: T.StructType) -> list[str]:
     raw_names = {target: raw for raw, target in renames.items()}
-    typed = [
+    return [
         f"CAST({raw_names.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in schema.fields
     ]
-    return keyed.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys)).selectExpr(*typed)
 
 
-def _rejects(keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows that lack a key, with the names of the keys they lack."""
-    marks = ", ".join(f"IF({k} IS NULL, '{k}', NULL)" for k in keys)
-    return keyed.selectExpr("*", f"array_compact(array({marks})) AS missing_keys").filter("size(missing_keys) > 0")
+def repeated_values(df: DataFrame, column: str) -> DataFrame:
+    """Values that occur more than once; rows are counted before anything is shuffled."""
+    counts = df.filter(f"{column} IS NOT NULL").groupBy(column).agg(F.expr("count(*) AS n"))
+    return counts.filter("n > 1").select(column)
+
+
+def checked(
+    keyed: DataFrame, renames: Mapping[str, str], required: Sequence[str], repeated: DataFrame | None = None
+) -> DataFrame:
+    """Rows with ``failed``: the constraints they break. Empty for rows that may be stored.
 
+    The columns of a table that must not be null, by the table's names; rows that came malformed from
+    their file; and values of a column that must be unique but, as ``repeated`` lists, are not. None of
+    the rows with such a value is known to be the right one.
+    """
+    raw_names = {target: raw for raw, target in renames.items()}
+    marks = [f"IF({raw_names.get(c, c)} IS NULL, '{c}', NULL)" for c in required]
+    if CORRUPT in keyed.columns:
+        marks.append(f"IF({CORRUPT} IS NOT NULL, '{CORRUPT_ROW}', NULL)")
+    if repeated is not None:
+        (name,) = repeated.columns
+        keyed = keyed.join(repeated.selectExpr(name, "true AS __repeated"), name, "left")
+        marks.append(f"IF(__repeated, '{REPEATED} {renames.get(name, name)}', NULL)")
+    return keyed.selectExpr("*", f"array_compact(array({', '.join(marks)})) AS failed").drop("__repeated")
 
-TRAFFIC_KEYS = ("location_id", "date_id")
-ACCIDENT_KEYS = ("location_id", "date_id", "vehicle_id", "weather_id")
+
+TRAFFIC_REQUIRED = tuple(c for c in FACT_TRAFFIC.fieldNames() if c != "traffic_pk")
+ACCIDENT_REQUIRED = tuple(c for c in FACT_ACCIDENT.fieldNames() if c != "accident_pk")
 
 
 def _keyed_traffic(features: DataFrame, location: DataFrame) -> DataFrame:
@@ -203,25 +213,47 @@ def _keyed_accidents(features: DataFrame, location: DataFrame, vehicle: DataFram
     )
 
 
+def checked_traffic(features: DataFrame, location: DataFrame) -> DataFrame:
+    return checked(_keyed_traffic(features, location), TRAFFIC_NAMES, TRAFFIC_REQUIRED)
+
+
+def checked_accidents(
+    features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame, repeated: DataFrame | None = None
+) -> DataFrame:
+    """``repeated``: accident ids that occur more than once, stored first, see :func:`repeated_values`."""
+    return checked(_keyed_accidents(features, location, vehicle, weather), ACCIDENT_NAMES, ACCIDENT_REQUIRED, repeated)
+
+
+def rejects_of(marked: DataFrame) -> DataFrame:
+    """The rows that break a constraint, with the constraints' names."""
+    return marked.filter("size(failed) > 0")
+
+
+def traffic_of(marked: DataFrame, pk: str = "traffic_pk") -> DataFrame:
+    return marked.filter("size(failed) = 0").selectExpr(*_typed({**TRAFFIC_NAMES, pk: "traffic_pk"}, FACT_TRAFFIC))
+
+
+def accidents_of(marked: DataFrame, pk: str = "accident_pk") -> DataFrame:
+    return marked.filter("size(failed) = 0").selectExpr(*_typed({**ACCIDENT_NAMES, pk: "accident_pk"}, FACT_ACCIDENT))
+
+
 def fact_traffic(features: DataFrame, location: DataFrame, pk: str = "traffic_pk") -> DataFrame:
-    """Traffic facts: the readings whose keys are all found."""
-    keyed = _keyed_traffic(features, location)
-    return _complete(keyed, TRAFFIC_KEYS, {**TRAFFIC_NAMES, pk: "traffic_pk"}, FACT_TRAFFIC)
+    """Traffic facts: the readings that keep every constraint."""
+    return traffic_of(checked_traffic(features, location), pk)
 
 
 def traffic_rejects(features: DataFrame, location: DataFrame) -> DataFrame:
-    """The other readings, with the keys they lack."""
-    return _rejects(_keyed_traffic(features, location), TRAFFIC_KEYS)
+    """The other readings, with the constraints they break."""
+    return rejects_of(checked_traffic(features, location))
 
 
 def fact_accident(
     features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame, pk: str = "accident_pk"
 ) -> DataFrame:
-    """Accident facts: the accidents whose keys are all found."""
-    keyed = _keyed_accidents(features, location, vehicle, weather)
-    return _complete(keyed, ACCIDENT_KEYS, {**ACCIDENT_NAMES, pk: "accident_pk"}, FACT_ACCIDENT)
+    """Accident facts: the accidents that keep every constraint."""
+    return accidents_of(checked_accidents(features, location, vehicle, weather), pk)
 
 
 def accident_rejects(features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame) -> DataFrame:
-    """The other accidents, with the keys they lack."""
-    return _rejects(_keyed_accidents(features, location, vehicle, weather), ACCIDENT_KEYS)
+    """The other accidents, with the constraints they break."""
+    return rejects_of(checked_accidents(features, location, vehicle, weather))

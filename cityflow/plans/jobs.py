@@ -7,14 +7,16 @@ be partitioned, by year and month for example, so that later reads skip what the
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
 from cityflow.functions import kpi
 from cityflow.operators import evaluation, model_data, star, training
 from cityflow.plans.features import accident_features, sensor_features
-from cityflow.plans.warehouse import Star, open_tables, store
+from cityflow.plans.warehouse import Star, open_tables, report, store
 from cityflow.schemas import RAW_ACCIDENT, RAW_SENSOR
-from cityflow.sources.files import observed, read_csv, write_replace
+from cityflow.session import scratch_path
+from cityflow.sources.files import append_new, observed, read_csv, stored, write_append, write_replace
 
 
 def sensor_job(spark: SparkSession, raw: str, out: str, partition_by: Sequence[str] = ()) -> int:
@@ -38,16 +40,66 @@ def load_job(
     accident: str,
     warehouse: str,
     zones: Mapping[str, str] = V.ZONE_TYPES,
+    numbered: bool = False,
 ) -> Star:
-    """Feature tables to the stored star schema. Rows without a key go to the reject tables."""
-    readings = star.with_row_keys(spark.read.parquet(sensor), ["Sensor_ID", "Date_Time", "Location"], "traffic_pk")
-    accidents = star.with_row_keys(spark.read.parquet(accident), ["Accident_ID"], "accident_pk")
-    built = Star(spark, readings, accidents, zones)
-    rejects = {"reject_traffic": built.traffic_rejects, "reject_accident": built.accident_rejects}
-    store({**built.tables(), **rejects}, warehouse)
+    """Feature tables to the stored star schema, the rejects and a report on all constraints.
+
+    Dimensions are stored first and facts refer to the stored ones. Each fact table's rows are checked
+    once, stored with the constraints they break, and split into facts and rejects from there. Facts
+    have keys of their own values, which a later load leaves as they are; ``numbered`` counts them
+    1.. instead.
+    """
+    readings, crashes = spark.read.parquet(sensor), spark.read.parquet(accident)
+    plain = Star(spark, readings, crashes, zones)
+    store(plain.dimensions(), warehouse)
+    dimension_names = tuple(plain.dimensions())
+    dimensions = open_tables(spark, warehouse)
+    repeated = stored(star.repeated_values(crashes, "Accident_ID"), scratch_path(spark, "repeated-accidents"))
+    if numbered:
+        readings = star.with_row_keys(readings, ["Sensor_ID", "Date_Time", "Location"], "traffic_pk")
+        crashes = star.with_row_keys(crashes, ["Accident_ID"], "accident_pk")
+    else:
+        readings = star.with_natural_keys(readings, "traffic_pk")
+        crashes = star.with_natural_keys(crashes, "accident_pk")
+    built = Star(spark, readings, crashes, zones, lambda: dimensions["dim_weather"], repeated)
+    traffic = stored(built.checked_traffic, scratch_path(spark, "checked-traffic"))
+    accidents = stored(built.checked_accidents, scratch_path(spark, "checked-accidents"))
+    facts = {
+        "fact_traffic": star.traffic_of(traffic), "fact_accident": star.accidents_of(accidents),
+        "reject_traffic": star.rejects_of(traffic), "reject_accident": star.rejects_of(accidents),
+    }
+    store(facts, warehouse)
+    tables = open_tables(spark, warehouse)
+    write_replace(report({name: tables[name] for name in (*dimension_names, "fact_traffic", "fact_accident")}).coalesce(1), f"{warehouse}/quality_report")
     return built
 
 
+def append_job(spark: SparkSession, sensor: str, accident: str, warehouse: str, zones: Mapping[str, str] = V.ZONE_TYPES) -> None:
+    """Further feature tables into a stored star schema; loading the same ones again adds nothing.
+
+    New weather conditions and times come behind the stored ones, whose keys stay. An accident whose
+    id is stored already is left out, as is a reading alike in every column.
+    """
+    readings = star.with_natural_keys(spark.read.parquet(sensor), "traffic_pk")
+    crashes = star.with_natural_keys(spark.read.parquet(accident), "accident_pk")
+    fresh = Star(spark, readings, crashes, zones)
+    before = open_tables(spark, warehouse)
+    known = before["dim_weather"].agg(F.expr("coalesce(max(weather_id), 0L)")).first()[0]
+    conditions = fresh.weather.join(before["dim_weather"].select("weather_condition"), "weather_condition", "left_anti")
+    renumbered = star.with_key(conditions.drop("weather_id"), "weather_condition", "weather_id")
+    write_append(renumbered.selectExpr(f"weather_id + {known} AS weather_id", "weather_condition", "is_adverse"), f"{warehouse}/dim_weather")
+    write_append(append_new(fresh.date, before["dim_date"], "date_id"), f"{warehouse}/dim_date")
+    repeated = stored(star.repeated_values(crashes, "Accident_ID"), scratch_path(spark, "repeated-accidents"))
+    built = Star(spark, readings, crashes, zones, lambda: open_tables(spark, warehouse)["dim_weather"], repeated)
+    for name, marked, facts, key in (
+        ("traffic", built.checked_traffic, star.traffic_of, "traffic_pk"),
+        ("accident", built.checked_accidents, star.accidents_of, "accident_id"),
+    ):
+        rows = stored(marked, scratch_path(spark, f"checked-{name}"))
+        write_append(append_new(facts(rows), before[f"fact_{name}"], key), f"{warehouse}/fact_{name}")
+        write_append(star.rejects_of(rows), f"{warehouse}/reject_{name}")
+
+
 def severity_job(
     spark: SparkSession,
     warehouse: str,

@@ -165,8 +165,8 @@ def _by_hour(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 def hourly_profile(accidents: DataFrame, traffic: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """One row per hour of day: traffic and accident measures side by side.
 
-    The date dimension holds exactly the timestamps of the facts. Pass ``dates`` only if it has
-    more, to list their hours too.
+    The date dimension also holds the timestamps of rejected rows. With ``dates`` their hours are
+    listed too, as the published view does.
     """
     stacked = _stack(accidents, traffic)
     if dates is not None:
@@ -392,10 +392,11 @@ def all_views(
     location: DataFrame,
     weather: DataFrame,
     risk: DataFrame,
+    dates: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     return {
         "vw_location_summary": location_summary(accidents, traffic, location),
-        "vw_hourly_profile": hourly_profile(accidents, traffic),
+        "vw_hourly_profile": hourly_profile(accidents, traffic, dates),
         "vw_monthly_trend": monthly_trend(accidents),
         "vw_congestion_hotspots": congestion_hotspots(traffic, location),
         "vw_weather_risk": weather_risk(accidents, weather),

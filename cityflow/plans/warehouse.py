@@ -1,12 +1,12 @@
 """The warehouse from end to end: feature tables, star schema and views."""
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cityflow import fixed_values as V
-from cityflow.operators import star
+from cityflow.operators import quality, star
 from cityflow.plans import views
 from cityflow.schemas import ACCIDENT_RISK, DIM_DATE, DIM_LOCATION, DIM_VEHICLE, DIM_WEATHER, FACT_ACCIDENT, FACT_TRAFFIC
 from cityflow.sources.files import read_parquet, write_replace
@@ -25,7 +25,8 @@ SCHEMAS = {
 class Star:
     """The star schema over two feature tables. Each frame is lazy and built when first asked for.
 
-    ``weather`` may be given if the dimension is already known.
+    ``weather``: how to get the dimension, if it is stored already. ``repeated``: accident ids that
+    are not unique, stored too; facts without it are checked for all constraints but that one.
     """
 
     def __init__(
@@ -34,10 +35,11 @@ class Star:
         sensor: DataFrame,
         accident: DataFrame,
         zones: Mapping[str, str] = V.ZONE_TYPES,
-        weather: DataFrame | None = None,
+        weather: Callable[[], DataFrame] | None = None,
+        repeated: DataFrame | None = None,
     ):
         self._spark, self._sensor, self._accident, self._zones = spark, sensor, accident, zones
-        self._weather = weather
+        self._weather, self._repeated = weather, repeated
 
     @cached_property
     def location(self) -> DataFrame:
@@ -49,43 +51,44 @@ class Star:
 
     @cached_property
     def weather(self) -> DataFrame:
-        return self._weather if self._weather is not None else star.pin_small(star.dim_weather(self._accident))
+        return self._weather() if self._weather else star.dim_weather(self._accident)
 
     @cached_property
     def date(self) -> DataFrame:
         return star.dim_date(self._sensor, self._accident)
 
     @cached_property
-    def traffic(self) -> DataFrame:
-        return star.fact_traffic(self._sensor, self.location)
+    def checked_traffic(self) -> DataFrame:
+        return star.checked_traffic(self._sensor, self.location)
 
     @cached_property
-    def accidents(self) -> DataFrame:
-        return star.fact_accident(self._accident, self.location, self.vehicle, self.weather)
+    def checked_accidents(self) -> DataFrame:
+        return star.checked_accidents(self._accident, self.location, self.vehicle, self.weather, self._repeated)
 
     @cached_property
-    def traffic_rejects(self) -> DataFrame:
-        return star.traffic_rejects(self._sensor, self.location)
+    def traffic(self) -> DataFrame:
+        return star.traffic_of(self.checked_traffic)
 
     @cached_property
-    def accident_rejects(self) -> DataFrame:
-        return star.accident_rejects(self._accident, self.location, self.vehicle, self.weather)
+    def accidents(self) -> DataFrame:
+        return star.accidents_of(self.checked_accidents)
 
-    def tables(self) -> dict[str, DataFrame]:
+    def dimensions(self) -> dict[str, DataFrame]:
         return {
             "dim_location": self.location,
             "dim_vehicle": self.vehicle,
             "dim_weather": self.weather,
             "dim_date": self.date,
-            "fact_traffic": self.traffic,
-            "fact_accident": self.accidents,
         }
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {**self.dimensions(), "fact_traffic": self.traffic, "fact_accident": self.accidents}
+
 
-def store(tables: Mapping[str, DataFrame], path: str) -> None:
+def store(tables: Mapping[str, DataFrame], path: str, partition_by: Mapping[str, Sequence[str]] | None = None) -> None:
     """Write each table to its own folder, replacing what is there."""
     for name, df in tables.items():
-        write_replace(df, f"{path}/{name}")
+        write_replace(df, f"{path}/{name}", (partition_by or {}).get(name, ()))
 
 
 def open_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -93,12 +96,35 @@ def open_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {name: read_parquet(spark, f"{path}/{name}", schema) for name, schema in SCHEMAS.items()}
 
 
+def report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows that break a declared constraint, over the six tables."""
+    required = {name: [f for f in SCHEMAS[name].fieldNames() if not f.endswith("_pk")] for name in tables}
+    unique = {
+        "dim_location": ["location_id", "location_name"], "dim_vehicle": ["vehicle_id", "vehicle_type"],
+        "dim_weather": ["weather_id", "weather_condition"], "dim_date": ["date_id", "full_datetime"],
+        "fact_accident": ["accident_id"],
+    }
+    parents = {"location_id": "dim_location", "date_id": "dim_date", "vehicle_id": "dim_vehicle", "weather_id": "dim_weather"}
+    references = {
+        (fact, key): (parent, key)
+        for fact in ("fact_traffic", "fact_accident") for key, parent in parents.items() if key in SCHEMAS[fact].fieldNames()
+    }
+    return quality.quality_report(tables, required, unique, references)
+
+
 def open_views(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Register the stored tables and the eight views over them for ``spark.sql``."""
+    """Register the stored tables, the eight views and the two as-written ones over them, in their
+    presentation order, and the audit of the views' row counts, for ``spark.sql``."""
     tables = open_tables(spark, path)
+    accidents, traffic, location = tables["fact_accident"], tables["fact_traffic"], tables["dim_location"]
     over = views.all_views(
-        tables["fact_accident"], tables["fact_traffic"], tables["dim_location"],
-        tables["dim_weather"], tables["ml_accident_risk"],
+        accidents, traffic, location, tables["dim_weather"], tables["ml_accident_risk"], tables["dim_date"]
     )
-    views.register(spark, {**tables, **over})
-    return over
+    counts = {"vw_row_counts": views.row_counts(over)}
+    literal = {
+        "vw_location_summary_fanout": views.location_summary_fanout(accidents, traffic, location),
+        "vw_hourly_profile_fanout": views.hourly_profile_fanout(accidents, traffic),
+    }
+    found = {name: views.ordered(name, view) for name, view in over.items()}
+    views.register(spark, {**tables, **found, **literal, **counts})
+    return found

@@ -16,14 +16,29 @@ def csv_schema(schema: T.StructType) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV as typed columns. A malformed row is kept, with its text in the last column."""
-    return (
-        spark.read.schema(csv_schema(schema))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+    """Header CSV as typed columns, found by their names in the header, in whatever order.
+
+    The header is the first file's; a file with another one fails rather than being read wrongly. A
+    malformed row is kept: values that are not of their column's type are null, and the last column
+    has the row's text.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    lacking = [f.name for f in schema.fields if f.name not in raw.columns]
+    if lacking:
+        raise ValueError(f"the header of {path} lacks {', '.join(lacking)}")
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
+    typed = {c: f"try_cast({c} AS {kind})" for c, kind in kinds.items()}
+    wrong = " OR ".join(f"({c} IS NOT NULL AND {typed[c]} IS NULL)" for c, kind in kinds.items() if kind != "string")
+    text = "concat_ws(',', " + ", ".join(f"coalesce(`{c}`, '')" for c in raw.columns) + ")"
+    corrupt = f"IF({wrong or 'false'}, {text}, NULL) AS {CORRUPT}"
+    return raw.selectExpr(*[f"{typed[c]} AS {c}" for c in kinds], corrupt)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written and read again. Files survive lost executors, and their size lets Spark choose
+    how to join them."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_parquet(
@@ -75,13 +90,23 @@ def write_append(df: DataFrame, path: str) -> None:
 def append_new(batch: DataFrame, existing: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of ``batch`` whose key ``existing`` lacks, so that appending twice equals once.
 
-    The keys already present are found with the batch as the right side of a semi join. A batch
+    Of rows with one key the batch's smallest by its other columns is taken. Rows without a complete
+    key can not be told from those stored and are left out, see :func:`without_key`. The keys already present are found with the batch as the right side of a semi join. A batch
     is small next to the table it is appended to, so Spark can broadcast it and scan the table
     without shuffling it; a large batch is shuffled.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    present = existing.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    return batch.join(present, keys, "left_anti")
+    rest = [c for c in batch.columns if c not in keys]
+    single = batch.dropna(subset=keys).groupBy(*keys).agg(F.min(F.struct(*rest, *keys)).alias("__row"))
+    single = single.select(*[F.col(c) if c in keys else F.col("__row").getField(c).alias(c) for c in batch.columns])
+    present = existing.select(*keys).join(single.select(*keys), keys, "left_semi")
+    return single.join(present, keys, "left_anti")
+
+
+def without_key(batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Rows of which a key column is null."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return batch.filter(" OR ".join(f"{k} IS NULL" for k in keys))
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -1,6 +1,6 @@
 """Threshold alarms over metric sums per period, as batch or stream."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
@@ -41,17 +41,29 @@ def alarm_stream(
     return alarm(df.withWatermark(ts, delay), ts, key, value, period, threshold)
 
 
+def _horizon(states: DataFrame, as_of: str | None) -> Column:
+    """Second at which the last period starts: the one that holds ``as_of``, or any alarm's latest."""
+    if as_of is None:
+        return states.agg(F.expr("max(unix_seconds(period_start))")).scalar()
+    return F.expr(f"unix_seconds(CAST({literal(as_of)} AS TIMESTAMP))")
+
+
 def alarm_filled(
-    states: DataFrame, periods_to_alarm: int = V.ALARM_PERIODS, period: int = V.ALARM_PERIOD_SECONDS
+    states: DataFrame,
+    periods_to_alarm: int = V.ALARM_PERIODS,
+    period: int = V.ALARM_PERIOD_SECONDS,
+    as_of: str | None = None,
 ) -> DataFrame:
-    """States for every period between a key's first and last, missing ones counting as OK.
+    """States for every period from a key's first up to a common end, missing ones counting as OK.
 
-    A key is in ALARM in a period that ends ``periods_to_alarm`` breaching periods in a row. Days
+    The end is ``as_of``, by default the latest period of any key: an alarm that falls silent does
+    not stay as it was. A key is in ALARM in a period that ends ``periods_to_alarm`` breaching periods in a row. Days
     are spread out before the periods within them, so no row holds a long list; what is sorted per
     key is the calendar, not the data.
     """
     seconds = states.selectExpr("alarm_name", "unix_seconds(period_start) AS at", "total", "state")
-    ends = seconds.groupBy("alarm_name").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    ends = seconds.groupBy("alarm_name").agg(F.min("at").alias("first")).withColumn("last", _horizon(states, as_of))
+    ends = ends.filter("first <= last")
     day = max(86400 // period, 1) * period
     chunks = ends.selectExpr("alarm_name", "last", f"explode(sequence(first, last, {day}L)) AS from_at")
     spine = chunks.selectExpr(
@@ -68,10 +80,22 @@ def alarm_filled(
     )
 
 
-def alarm_status(states: DataFrame, prefix: str = "") -> DataFrame:
-    """Latest state of each alarm whose name starts with ``prefix``."""
+def alarm_status(
+    states: DataFrame,
+    prefix: str = "",
+    periods_to_alarm: int = V.ALARM_PERIODS,
+    period: int = V.ALARM_PERIOD_SECONDS,
+    as_of: str | None = None,
+) -> DataFrame:
+    """State at the common end of each alarm whose name starts with ``prefix``.
+
+    It equals the last state of :func:`alarm_filled` without spreading out the calendar: ALARM if all
+    of the last ``periods_to_alarm`` periods breached, of which missing ones did not.
+    """
+    timed = states.selectExpr("alarm_name", "unix_seconds(period_start) AS at", "state").withColumn("last", _horizon(states, as_of))
+    recent = f"at <= last AND at > last - {periods_to_alarm * period} AND state = 'ALARM'"
     return (
-        states.filter(f"startswith(alarm_name, {literal(prefix)})")
+        timed.filter(f"startswith(alarm_name, {literal(prefix)}) AND at <= last")
         .groupBy("alarm_name")
-        .agg(F.max_by("state", "period_start").alias("state"))
+        .agg(F.expr(f"IF(count_if({recent}) >= {periods_to_alarm}, 'ALARM', 'OK') AS state"))
     )

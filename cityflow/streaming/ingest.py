@@ -2,6 +2,7 @@
 
 import re
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -15,8 +16,13 @@ from cityflow.sources.files import csv_schema
 
 
 def object_key(path: str, root: str) -> str:
-    """The part of a file's address below the watched folder; names above it route nothing."""
-    folder = re.sub(r"^[A-Za-z0-9]+:/*", "", root).strip("/") + "/"
+    """The part of a file's address below the watched folder; names above it route nothing.
+
+    Addresses are percent-encoded, plain folder names are not, so both are decoded.
+    """
+    plain = re.sub(r"^[A-Za-z0-9]+:/*", "", root)
+    folder = (plain if plain == root else unquote(plain)).strip("/") + "/"
+    path = f"coalesce(try_url_decode(replace({path}, '+', '%2B')), {path})"
     below = f"locate({literal(folder)}, {path})"
     return f"IF({below} > 0, substr({path}, {below} + {len(folder)}), {path})"
 
@@ -37,13 +43,15 @@ def new_rows(
     """An unbounded frame of the rows of all files routed by ``word``.
 
     The filter is on the file's address alone, so Spark skips the other files unread. A backlog is
-    worked off in batches of at most ``files_per_batch`` files, each committed on its own.
+    worked off in batches of at most ``files_per_batch`` files, each committed on its own. A file whose
+    header has other names or another order than the schema fails the batch.
     """
     rows = (
         spark.readStream.schema(csv_schema(schema))
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(root)
@@ -59,13 +67,14 @@ def ingest(
     transform: Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str,
+    files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Process the files that are new since the last run, then stop.
 
     The checkpoint and the file sink's log make it exactly once, also after a failure.
     """
     return (
-        transform(new_rows(spark, root, word, schema))
+        transform(new_rows(spark, root, word, schema, files_per_batch))
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
@@ -90,15 +99,16 @@ def ingest_all(
     out: str,
     checkpoint: str,
     maxima: DataFrame | tuple[float, float],
+    files_per_batch: int = 1000,
 ) -> list[StreamingQuery]:
     """The sensor and the accident job over one folder; a key with both words feeds both."""
     return [
         ingest(
             spark, root, "sensor", RAW_SENSOR, lambda rows: sensor_kpis(rows, maxima),
-            f"{out}/sensor", f"{checkpoint}/sensor",
+            f"{out}/sensor", f"{checkpoint}/sensor", files_per_batch,
         ),
         ingest(
             spark, root, "accident", RAW_ACCIDENT, accident_features,
-            f"{out}/accident", f"{checkpoint}/accident",
+            f"{out}/accident", f"{checkpoint}/accident", files_per_batch,
         ),
     ]

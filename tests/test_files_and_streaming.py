@@ -164,3 +164,66 @@ def test_stream_equals_batch_for_closed_periods(spark, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() == closed.count() > 0
     assert got.exceptAll(closed).isEmpty()
+
+
+def test_silent_alarms_do_not_stay(spark):
+    rows = [(dt.datetime(2024, 1, 1, 0, 0), "silent", 1), (dt.datetime(2024, 1, 1, 3, 0), "other", 1)]
+    frame = spark.createDataFrame(rows, "ts timestamp, name string, failed int")
+    states = alarms.alarm(frame, "ts", "name", "failed")
+    assert {tuple(r) for r in alarms.alarm_status(states).collect()} == {("silent", "OK"), ("other", "ALARM")}
+    assert [tuple(r) for r in alarms.alarm_status(states, "silent").collect()] == [("silent", "OK")]
+    filled = alarms.alarm_filled(states)
+    assert filled.filter("alarm_name = 'silent'").count() == 37
+    at_first = alarms.alarm_status(states, as_of="2024-01-01 00:04:00")
+    assert [tuple(r) for r in at_first.collect()] == [("silent", "ALARM")]
+    later = alarms.alarm_status(states, as_of="2024-01-01 09:00:00")
+    assert {r.state for r in later.collect()} == {"OK"}
+    last = alarms.alarm_filled(states, as_of="2024-01-01 04:00:00").groupBy("alarm_name").agg({"period_start": "max"})
+    assert {r[1] for r in last.collect()} == {dt.datetime(2024, 1, 1, 4, 0)}
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    from cityflow.schemas import CORRUPT, RAW_SENSOR
+    from cityflow.sources import files
+
+    (tmp_path / "a.csv").write_text(
+        "Congestion_Level,Extra,Average_Speed,Sensor_ID,Vehicle_Count,Location,Date_Time\nHigh,e,20,s,7,Downtown,2024-01-01 08:00:00\n"
+        "Low,e,fast,t,8,Highway,2024-01-01 08:00:00\n"
+    )
+    rows = files.read_csv(spark, str(tmp_path / "a.csv"), RAW_SENSOR).collect()
+    assert [tuple(r)[:6] for r in rows] == [
+        ("s", "Downtown", "2024-01-01 08:00:00", 7, 20, "High"), ("t", "Highway", "2024-01-01 08:00:00", 8, None, "Low"),
+    ]
+    assert rows[0][CORRUPT] is None and "fast" in rows[1][CORRUPT]
+    (tmp_path / "b.csv").write_text("Sensor_ID,Location\ns,Downtown\n")
+    with pytest.raises(ValueError, match="Vehicle_Count"):
+        files.read_csv(spark, str(tmp_path / "b.csv"), RAW_SENSOR)
+
+
+def test_a_stream_refuses_another_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "sensor.csv").write_text("Location,Sensor_ID,Date_Time,Vehicle_Count,Average_Speed,Congestion_Level\nx,y,z,1,2,w\n")
+    from cityflow.schemas import RAW_SENSOR
+
+    job = ingest.ingest(spark, str(folder), "sensor", RAW_SENSOR, lambda r: r, str(tmp_path / "o"), str(tmp_path / "c"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        job.awaitTermination()
+
+
+def test_routing_below_a_folder_with_a_space(spark, tmp_path):
+    folder = tmp_path / "sensor drop é"
+    folder.mkdir()
+    (folder / "accident_1.csv").write_text("a\n1\n")
+    frame = spark.read.text(str(folder)).selectExpr("_metadata.file_path AS p")
+    key = ingest.object_key("p", str(folder))
+    assert [r.k for r in frame.selectExpr(f"{key} AS k").distinct().collect()] == ["accident_1.csv"]
+
+
+def test_append_leaves_out_repeats_and_rows_without_key(spark):
+    from cityflow.sources import files
+
+    batch = spark.createDataFrame([(1, "b"), (1, "a"), (None, "x"), (2, "c"), (3, None)], "k int, v string")
+    existing = spark.createDataFrame([(2, "old")], "k int, v string")
+    assert {tuple(r) for r in files.append_new(batch, existing, "k").collect()} == {(1, "a"), (3, None)}
+    assert [tuple(r) for r in files.without_key(batch, "k").collect()] == [(None, "x")]

@@ -44,10 +44,86 @@ def test_loading_twice_equals_once(spark, lake):
     tables = open_tables(spark, str(lake / "warehouse"))
     assert tables["fact_accident"].count() == 200
     assert tables["fact_traffic"].count() == 2
-    keys = sorted(r.accident_pk for r in tables["fact_accident"].collect())
-    assert keys == list(range(1, 201))
+    assert tables["fact_accident"].select("accident_pk").distinct().count() == 200
     rejects = spark.read.parquet(str(lake / "warehouse" / "reject_traffic")).collect()
-    assert [(r.Sensor_ID, r.missing_keys) for r in rejects] == [("a3", ["location_id"])]
+    assert [(r.Sensor_ID, r.failed) for r in rejects] == [("a3", ["location_id"])]
+    report = spark.read.parquet(str(lake / "warehouse" / "quality_report"))
+    assert report.filter("broken > 0").isEmpty() and report.count() > 60
+
+
+def test_keys_are_counted_on_request(spark, lake, tmp_path):
+    jobs.load_job(spark, str(lake / "sensor"), str(lake / "accident"), str(tmp_path), numbered=True)
+    keys = sorted(r.accident_pk for r in open_tables(spark, str(tmp_path))["fact_accident"].collect())
+    assert keys == list(range(1, 201))
+
+
+DIRTY = (
+    HEADER
+    + """x1,Downtown,2024-01-01 08:00:00,Car,Fog,Dry,Minor,1,0,Low
+x2,Downtown,2024-01-01 09:00:00,Car,Fog,Dry,Fatal,1,0,Low
+x2,Highway,2024-01-01 09:00:00,Bus,Fog,Dry,Fatal,2,1,Low
+x3,Downtown,2024-01-01 08:00:00,Car,Fog,,,1,0,Low
+x4,Downtown,2024-01-01 08:00:00,Car,Fog,Dry,Minor,many,0,Low
+,Downtown,2024-01-01 08:00:00,Car,Fog,Dry,Minor,1,0,Low
+x5,Downtown,soon,Car,Fog,Dry,Minor,1,0,Low
+x6,Nowhere,2024-01-01 08:00:00,Rickshaw,Fog,Dry,Minor,1,0,Low
+x7,Suburbs,2024-01-01 22:00:00,Car,Snow,Dry,Minor,1,0,
+"""
+)
+DIRTY_SENSOR = """Location,Sensor_ID,Date_Time,Average_Speed,Vehicle_Count,Congestion_Level
+Downtown,a1,2024-01-01 08:00:00,20,494,High
+Downtown,a2,2024-01-01 08:00:00,20,many,High
+Downtown,,2024-01-01 08:00:00,20,5,High
+Highway,a4,2024-01-01 03:00:00,20,5,
+"""
+
+
+def test_rows_that_break_a_constraint_become_rejects(spark, tmp_path):
+    (tmp_path / "sensor.csv").write_text(DIRTY_SENSOR)
+    (tmp_path / "accident.csv").write_text(DIRTY)
+    jobs.sensor_job(spark, str(tmp_path / "sensor.csv"), str(tmp_path / "s"))
+    jobs.accident_job(spark, str(tmp_path / "accident.csv"), str(tmp_path / "a"))
+    out = str(tmp_path / "w")
+    jobs.load_job(spark, str(tmp_path / "s"), str(tmp_path / "a"), out)
+    tables = open_tables(spark, out)
+    assert [r.accident_id for r in tables["fact_accident"].collect()] == ["x1"]
+    assert [r.sensor_id for r in tables["fact_traffic"].collect()] == ["a1"]
+    failed = {}
+    for r in spark.read.parquet(f"{out}/reject_accident").collect():
+        failed.setdefault(r.Accident_ID, []).append(set(r.failed))
+    assert failed["x2"] == [{"repeated accident_id"}] * 2
+    assert {"road_condition", "accident_severity"} <= failed["x3"][0]
+    assert {"number_of_vehicles", "malformed row"} <= failed["x4"][0]
+    assert failed[None] == [{"accident_id"}]
+    assert "date_id" in failed["x5"][0] and {"location_id", "vehicle_id"} <= failed["x6"][0]
+    assert failed["x7"] == [{"traffic_density"}]
+    readings = {r.Sensor_ID: set(r.failed) for r in spark.read.parquet(f"{out}/reject_traffic").collect()}
+    assert {"vehicle_count", "congestion_index", "malformed row"} <= readings["a2"]
+    assert readings[None] == {"sensor_id"} and readings["a4"] == {"congestion_level"}
+    # hours that only rejected rows have are listed, as the date dimension has them
+    hours = {r.hour: r.accident_count for r in open_views(spark, out)["vw_hourly_profile"].collect()}
+    assert {8: 1, 9: 0, 22: 0, 3: 0}.items() <= hours.items()
+    names = {r.view_name: r.row_count for r in spark.sql("SELECT * FROM vw_row_counts").collect()}
+    assert names["vw_monthly_trend"] == 1
+    assert spark.sql("SELECT * FROM vw_location_summary_fanout").count() == 1
+
+
+def test_a_second_load_leaves_keys_as_they_are(spark, lake, tmp_path):
+    out = str(tmp_path / "w")
+    jobs.load_job(spark, str(lake / "sensor"), str(lake / "accident"), out)
+    before = {r.accident_id: tuple(r) for r in open_tables(spark, out)["fact_accident"].collect()}
+    more = HEADER + "y1,Highway,2024-03-03 03:00:00,Car,Ash,Dry,Minor,1,0,Low\nx7,Highway,2024-03-03 03:00:00,Car,Fog,Dry,Minor,1,0,Low\n"
+    (tmp_path / "more.csv").write_text(more)
+    jobs.accident_job(spark, str(tmp_path / "more.csv"), str(tmp_path / "more"))
+    for _ in range(2):
+        jobs.append_job(spark, str(lake / "sensor"), str(tmp_path / "more"), out)
+    tables = open_tables(spark, out)
+    after = {r.accident_id: tuple(r) for r in tables["fact_accident"].collect()}
+    assert tables["fact_accident"].count() == 201 and tables["fact_traffic"].count() == 2
+    assert {k: v for k, v in after.items() if k in before} == before
+    weather = {r.weather_condition: r.weather_id for r in tables["dim_weather"].collect()}
+    assert weather == {"Clear": 1, "Fog": 2, "Rain": 3, "Ash": 4}
+    assert tables["dim_date"].count() == tables["dim_date"].select("date_id").distinct().count()
 
 
 def test_views_answer_sql(spark, lake):

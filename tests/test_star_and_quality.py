@@ -39,10 +39,10 @@ def built(spark, sensor, accident):
 
 def test_rows_are_facts_or_rejects(built):
     assert [r.traffic_pk for r in built.traffic.orderBy("traffic_pk").collect()] == [1, 2]
-    rejects = {r.traffic_pk: r.missing_keys for r in built.traffic_rejects.collect()}
+    rejects = {r.traffic_pk: r.failed for r in star.rejects_of(built.checked_traffic).collect()}
     assert rejects == {3: ["location_id"], 4: ["date_id"]}
     assert {r.accident_id for r in built.accidents.collect()} == {"x1", "x2"}
-    assert [(r.accident_pk, r.missing_keys) for r in built.accident_rejects.collect()] == [(3, ["vehicle_id"])]
+    assert [(r.accident_pk, r.failed) for r in star.rejects_of(built.checked_accidents).collect()] == [(3, ["vehicle_id"])]
 
 
 def test_facts_refer_to_dimensions(built):
@@ -70,22 +70,58 @@ def test_resolve_splits_rows(spark):
     assert sorted(r.id for r in rejects.collect()) == [2, 3]
 
 
-def test_small_frames_are_pinned_and_large_ones_kept(spark):
-    small = spark.range(5)
-    assert star.pin_small(small, 5).count() == 5
-    large = spark.range(6)
-    assert star.pin_small(large, 5) is large
+def plan_shape(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line.strip(" :+-*()0123456789").split("[")[0].split("(")[0].strip() for line in plan.splitlines()]
 
 
-def test_many_conditions_are_numbered_in_order(spark, monkeypatch):
-    frame = spark.createDataFrame([(w,) for w in ("Snow", "Fog", None, "Sleet", "Fog", "Sn")], "w string")
-    few = star.dim_weather(frame, "w").orderBy("weather_id").collect()
-    monkeypatch.setattr(star.pin_small, "__defaults__", (2,))
-    many = star.dim_weather(frame, "w").orderBy("weather_id").collect()
-    assert few == many
-    assert [(r.weather_id, r.weather_condition, r.is_adverse) for r in many] == [
+def test_many_conditions_are_numbered_like_few(spark):
+    few = spark.createDataFrame([(w,) for w in ("Snow", "Fog", None, "Sleet", "Fog", "Sn")], "w string")
+    found = star.dim_weather(few, "w").orderBy("weather_id").collect()
+    assert [(r.weather_id, r.weather_condition, r.is_adverse) for r in found] == [
         (1, "Fog", 1), (2, "Sleet", 0), (3, "Sn", 0), (4, "Snow", 1),
     ]
+    many = spark.createDataFrame([(f"condition {i:05d}",) for i in range(20_000)], "w string")
+    dim = star.dim_weather(many, "w")
+    assert plan_shape(dim) == plan_shape(star.dim_weather(few, "w"))
+    ordered = dim.orderBy("weather_condition").collect()
+    assert [r.weather_id for r in ordered] == list(range(1, 20_001))
+
+
+def test_dates_are_kept_to_the_second(spark):
+    times = ["2024-01-01 08:00:00.1", "2024-01-01 08:00:00.9", "2024-01-01 08:00:01"]
+    frame = spark.createDataFrame([(t,) for t in times], "t string").selectExpr("CAST(t AS timestamp) AS DateTime")
+    rows = star.dim_date(frame).collect()
+    assert len(rows) == len({r.date_id for r in rows}) == 2
+    assert {r.date_id for r in frame.selectExpr(f"{star.date_key('DateTime')} AS date_id").collect()} == {r.date_id for r in rows}
+
+
+def test_rows_without_an_id_are_spread_over_buckets(spark):
+    frame = spark.range(1000).selectExpr("CAST(NULL AS string) AS id", "id AS v")
+    keyed = star.with_row_keys(frame, ["id"], "key", 16)
+    assert sorted(r.key for r in keyed.collect()) == list(range(1, 1001))
+    assert frame.selectExpr("pmod(xxhash64(id, v), 16) AS b").distinct().count() == 16
+
+
+def test_natural_keys_do_not_depend_on_other_rows(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "s string, v int")
+    both = old.unionByName(spark.createDataFrame([(0, "c")], "v int, s string"))
+    keys = {tuple(r)[:2]: r.k for r in star.with_natural_keys(both, "k").collect()}
+    assert all(keys[tuple(r)[:2]] == r.k for r in star.with_natural_keys(old, "k").collect())
+
+
+def test_quality_report_covers_every_constraint(spark):
+    tables = {
+        "fact": spark.createDataFrame([(1, "a"), (1, "b"), (9, None)], "id int, name string"),
+        "dim": spark.createDataFrame([(1, "x"), (2, None), (2, "x")], "id int, name string"),
+    }
+    report = quality.quality_report(
+        tables, {"fact": ["id", "name"], "dim": ["name"]}, {"dim": ["id", "name"]}, {("fact", "id"): ("dim", "id")}
+    )
+    assert {tuple(r) for r in report.collect()} == {
+        ("fact", "not null", "id", 0), ("fact", "not null", "name", 1), ("dim", "not null", "name", 1),
+        ("dim", "unique", "id", 2), ("dim", "unique", "name", 2), ("fact", "reference", "id", 1),
+    }
 
 
 def test_running_total_equals_one_window(spark):
