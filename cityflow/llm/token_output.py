@@ -103,32 +103,47 @@ def write_rows(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
         kind = np.dtype("<u2" if max(end_id, *tokenizer.token_bytes) < 1 << 16 else "<u4")
         pieces: list[tuple] = []
         held, next_row = 0, TaskContext.get().partitionId() << 33
+        width, end = capacity * kind.itemsize, np.array([end_id], kind).tobytes()
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal pieces, held, next_row
-            found = []
-            for members in packed([len(p[3]) for p in pieces], capacity):
-                row = np.zeros(capacity, kind)
-                ends = np.cumsum([0, *(len(pieces[i][3]) for i in members)])
-                for at, i in zip(ends.tolist(), members):
-                    row[at : at + len(pieces[i][3])] = pieces[i][3]
-                found.append(
-                    {
-                        "row_id": next_row, "ids": row.tobytes(), "n_tokens": int(ends[-1]), "cu_seqlens": ends.tolist(),
-                        "position_resets": ends[:-1].tolist(),
-                        "segments": [dict(zip(("doc_id", "piece", "start", "length"), (*pieces[i][:3], len(pieces[i][3])))) for i in members],
-                    }
-                )
-                next_row += 1
-            pieces, held = [], 0
-            yield from pa.Table.from_pylist(found, _ROW).to_batches(max_chunksize=2000)
+            nonlocal pieces, held, next_row
+            rows = packed([p[3] for p in pieces], capacity)
+            order = [i for members in rows for i in members]
+            doc_ids, numbers, starts, lengths, _ = zip(*(pieces[i] for i in order)) if order else ((),) * 5
+            sizes = [len(members) for members in rows]
+            first = np.cumsum([0, *sizes])
+            ends = [np.cumsum([0, *lengths[a:b]]) for a, b in zip(first.tolist(), first[1:].tolist())]
+            segments = pa.StructArray.from_arrays(
+                [pa.array(c, f.type) for c, f in zip((doc_ids, numbers, starts, lengths), _SEGMENT)], fields=list(_SEGMENT)
+            )
+
+            def lists(parts: list[np.ndarray]) -> pa.ListArray:
+                offsets = pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+                return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*parts, []]).astype(np.int32)))
+
+            table = pa.Table.from_arrays(
+                [
+                    pa.array(range(next_row, next_row + len(rows)), pa.int64()),
+                    pa.array([b"".join([pieces[i][4] for i in members]).ljust(width, b"\0") for members in rows], pa.binary()),
+                    pa.array([e[-1] for e in ends], pa.int32()),
+                    lists(ends),
+                    lists([e[:-1] for e in ends]),
+                    pa.ListArray.from_arrays(pa.array(first, pa.int32()), segments),
+                ],
+                schema=_ROW,
+            )
+            pieces, held, next_row = [], 0, next_row + len(rows)
+            yield from table.to_batches(max_chunksize=2000)
 
         for batch in batches:
             for doc_id, text in zip(*columns_of(batch, "doc_id", "text")):
-                ids = np.append(np.frombuffer(tokenizer.encode(text), ID), end_id).astype(kind)
-                for number, start in enumerate(range(0, len(ids), capacity)):
-                    pieces.append((doc_id, number, start, ids[start : start + capacity]))
-                    held += len(pieces[-1][3])
+                ids = np.frombuffer(tokenizer.encode(text), ID).astype(kind).tobytes() + end
+                for number, at in enumerate(range(0, len(ids), width)):
+                    part = ids[at : at + width]
+                    length = len(part) // kind.itemsize
+                    pieces.append((doc_id, number, number * capacity, length, part))
+                    held += length
                     if held >= window:
                         yield from flush()
         yield from flush()
