@@ -4,6 +4,8 @@ The texts share common table expressions for the raw records and features, and t
 rounding. They follow the published definitions: views that fan out are the literal joins here.
 """
 
+from cityflow import fixed_values as V
+
 # ---------------------------------------------------------------- helpers
 
 
@@ -361,10 +363,20 @@ def _metrics(scores: str) -> str:
       sum(1 - y) OVER (PARTITION BY p) AS same FROM {scores})"""
 
 
+def _fold(target: str) -> str:
+    return f"""row_number() OVER (ORDER BY {target}, {_hash("Accident_ID", "fold42")}, Accident_ID) % 5"""
+
+
+_IS_TEST = f"""row_number() OVER (PARTITION BY is_fatal_or_severe ORDER BY {_hash("Accident_ID", "42")}, Accident_ID)
+      <= floor(count(*) OVER (PARTITION BY is_fatal_or_severe) * 0.2::DOUBLE + 0.5)"""
+_PARTS = f""", parts AS (SELECT *, CASE WHEN {_IS_TEST} THEN 'test' ELSE 'train' END AS part FROM accident),
+    models AS (SELECT unnest(['Random Forest', 'Gradient Boosting', 'Logistic Regression']) AS model) """
+
+
 def _model_row(name: str, multiplier: int) -> str:
     return f"""SELECT '{name}' AS model, m.*, f.* FROM ({_metrics(_scores(multiplier))}) m,
     (SELECT avg(f1) AS cv_f1_mean, stddev_pop(f1) AS cv_f1_std FROM (
-      SELECT {_f1()} AS f1 FROM {_scores(multiplier)} GROUP BY {_hash("Accident_ID", "fold42")} % 5)) f"""
+      SELECT {_f1()} AS f1 FROM (SELECT *, {_fold("y")} AS fold FROM {_scores(multiplier)}) GROUP BY fold)) f"""
 
 
 _ALARMS = """
@@ -443,11 +455,11 @@ ORACLES: dict[str, str] = {
     + """SELECT accident_pk, CASE Accident_Severity WHEN 'Fatal' THEN 1 WHEN 'Severe' THEN 2 WHEN 'Moderate' THEN 3
     ELSE 0 END AS place FROM accident_raw""",
     "dim1_location": _STAR
-    + """SELECT l.*, n AS accidents FROM dim_location l
-    JOIN (SELECT Location, count(*) AS n FROM accident_raw GROUP BY Location) ON Location = location_name""",
+    + """SELECT l.*, coalesce(n, 0) AS accidents FROM dim_location l
+    LEFT JOIN (SELECT Location, count(*) AS n FROM accident_raw GROUP BY Location) ON Location = location_name""",
     "dim2_vehicle": _STAR
-    + """SELECT v.*, n AS accidents FROM dim_vehicle v
-    JOIN (SELECT Vehicle_Type AS t, count(*) AS n FROM accident_raw GROUP BY t) ON t = vehicle_type""",
+    + """SELECT v.*, coalesce(n, 0) AS accidents FROM dim_vehicle v
+    LEFT JOIN (SELECT Vehicle_Type AS t, count(*) AS n FROM accident_raw GROUP BY t) ON t = vehicle_type""",
     "dim3_weather": _STAR + "SELECT weather_condition, is_adverse FROM dim_weather",
     "dim4_date": _STAR + "SELECT * REPLACE (CAST(date_only AS VARCHAR) AS date_only) FROM dim_date",
     "dim5_weather_keys": _STAR + "SELECT weather_id, weather_condition FROM dim_weather",
@@ -547,7 +559,22 @@ ORACLES: dict[str, str] = {
     "mlp5_standardise": _A
     + f""", halves AS (SELECT *, {_hash("Accident_ID", "42")} % 10 < 2 AS in_test FROM accident),
     s AS (SELECT {", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_d" for c in _SCALED)} FROM halves WHERE NOT in_test)
-    SELECT t.accident_pk, {", ".join(_z(c) for c in _SCALED)} FROM halves t, s WHERE t.in_test""",
+    SELECT t.accident_pk, {", ".join(_z(c) for c in _SCALED)} FROM halves t, s""",
+    "mlp6_train": _A + _PARTS + """SELECT model, part, count(*) AS n, CAST(sum(is_fatal_or_severe) AS BIGINT) AS positives,
+    1 AS metrics_ok, 1 AS at_rest FROM parts, models GROUP BY ALL""",
+    "mlp8_cross_validation": _A + _PARTS + f"""SELECT model, CAST(fold AS INTEGER) AS fold, count(*) AS n,
+    CAST(sum(is_fatal_or_severe) AS BIGINT) AS positives, 1 AS f1_ok
+    FROM (SELECT *, {_fold('is_fatal_or_severe')} AS fold FROM parts WHERE part = 'train'), models GROUP BY ALL""",
+    "mlp9_score": _A + """SELECT Accident_ID AS accident_id, Location AS location_name, is_fatal_or_severe AS actual_fatal_severe,
+    1 AS probability_ok, 1 AS tier_ok, 1 AS class_ok FROM accident""",
+    "mlp10_trained_comparison": _A + _PARTS + "SELECT model, 1 AS selection_ok FROM models WHERE (SELECT count(*) FROM parts) > 0",
+    "mlp11_importance": _A + _PARTS + f"""SELECT model, feature, category, 1 AS sum_ok, CAST({len(V.MODEL_FEATURES)} AS BIGINT) AS ranks,
+    {len(V.MODEL_FEATURES)} AS last FROM models, (VALUES {", ".join(f"('{f}', '{V.FEATURE_CATEGORIES[f]}')" for f in V.MODEL_FEATURES)})
+    AS f(feature, category) WHERE (SELECT count(*) FROM parts) > 0""",
+    "mlp13_run_log": _A + f"""SELECT 'run-random-forest' AS run_name, 'Random Forest' AS model_type, {len(V.MODEL_FEATURES)} AS n_features,
+    (SELECT count(*) FROM accident) AS train_size, accuracy AS test_accuracy, f1_score AS test_f1, roc_auc,
+    CAST(0.5 AS DOUBLE) AS cv_f1_mean FROM ({_metrics(_scores(37))}), range(2)""",
+    "mlp14_saved_model": _A + "SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM accident",
     "mlp7_metrics": _A + _metrics(_scores(37)),
     "mlp9_tiers": _AR + "SELECT * FROM risk",
     "mlp10_comparison": _A

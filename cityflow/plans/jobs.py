@@ -105,24 +105,31 @@ def severity_job(
     warehouse: str,
     model_path: str,
     runs_path: str,
-    chosen: dict[str, training.Candidate] | None = None,
+    chosen: training.Chosen = training.candidates,
 ) -> DataFrame:
     """Train and compare the models, keep the best and score every accident with it.
 
-    Replaces the scored table in the warehouse, appends to the table of runs, and returns the
-    comparison.
+    Replaces the scored table and the published outputs in the warehouse (comparison, importances,
+    tiers, class balance), appends to the table of runs, and returns the comparison.
     """
     tables = open_tables(spark, warehouse)
     rows = model_data.features(
         tables["fact_accident"], tables["dim_location"], tables["dim_vehicle"], tables["dim_weather"]
     ).selectExpr("*", "location_name AS zone")
-    encoded = training.materialise(
-        training.with_folds(model_data.label_encode(rows), "accident_id"), "encoded"
-    )
-    train, test = model_data.hash_split(encoded, "accident_id")
+    encoded = training.materialise(training.with_parts(model_data.label_encode(rows), "accident_id"), "encoded")
+    train, test = encoded.filter("NOT is_test"), encoded.filter("is_test")
     trained = training.cross_validate(training.train_all(train, test, chosen), train, chosen=chosen)
     best = training.best_of(trained)
     training.save(best.model, model_path)
     write_replace(training.score(best.model, encoded), f"{warehouse}/ml_accident_risk")
     training.log_run(spark, best, train.count(), runs_path)
-    return evaluation.compare(training.model_rows(spark, trained))
+    scored = open_tables(spark, warehouse)["ml_accident_risk"]
+    outputs = {
+        "ml_model_comparison": evaluation.compare(training.model_rows(spark, trained)),
+        "ml_feature_importance": training.importances(best.model, spark),
+        "ml_risk_tiers": evaluation.tier_distribution(scored),
+        "ml_class_balance": model_data.class_balance(encoded),
+    }
+    for name, rows in outputs.items():
+        write_replace(rows.coalesce(1), f"{warehouse}/{name}")
+    return spark.read.parquet(f"{warehouse}/ml_model_comparison")

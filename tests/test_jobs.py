@@ -135,9 +135,12 @@ def test_views_answer_sql(spark, lake):
 
 
 def test_severity_job_scores_every_accident(spark, lake):
-    chosen = training.candidates(160)
-    chosen["Random Forest"].estimator.setNumTrees(3)
-    chosen["Gradient Boosting"].estimator.setMaxIter(2)
+    def chosen(n):
+        picked = training.candidates(n)
+        picked["Random Forest"].estimator.setNumTrees(3)
+        picked["Gradient Boosting"].estimator.setMaxIter(2)
+        return picked
+
     paths = [str(lake / name) for name in ("warehouse", "model", "runs")]
     comparison = jobs.severity_job(spark, *paths, chosen=chosen).collect()
     assert len(comparison) == 3 and sum(r.selected for r in comparison) == 1
@@ -148,3 +151,9 @@ def test_severity_job_scores_every_accident(spark, lake):
     zones = open_views(spark, str(lake / "warehouse"))["vw_ml_location_risk"]
     assert sum(r.total_accidents for r in zones.collect()) == 200
     assert spark.read.parquet(str(lake / "runs")).count() == 1
+    published = {n: spark.read.parquet(str(lake / "warehouse" / n)) for n in (
+        "ml_model_comparison", "ml_feature_importance", "ml_risk_tiers", "ml_class_balance",
+    )}
+    assert published["ml_model_comparison"].count() == 3 and published["ml_feature_importance"].count() == 13
+    for name, column in (("ml_risk_tiers", "count"), ("ml_class_balance", "row_count")):
+        assert published[name].agg({column: "sum"}).first()[0] == 200
