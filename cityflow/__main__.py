@@ -3,6 +3,7 @@
 sensor RAW OUT                       raw sensor CSV to features
 accident RAW OUT                     raw accident CSV to features
 load SENSOR ACCIDENT WAREHOUSE       features to the star schema
+append SENSOR ACCIDENT WAREHOUSE     further features into a stored star schema
 severity WAREHOUSE MODEL RUNS        train, compare, score
 ingest RAW OUT CHECKPOINT MAX_VOLUME MAX_SPEED    new files, routed by name
 sql WAREHOUSE TEXT                   query over the tables and views
@@ -27,6 +28,8 @@ def main(arguments: list[str]) -> None:
         print(f"rows written: {jobs.accident_job(spark, *paths)}")
     elif job == "load":
         jobs.load_job(spark, *paths)
+    elif job == "append":
+        jobs.append_job(spark, *paths)
     elif job == "severity":
         jobs.severity_job(spark, *paths).show()
     elif job == "ingest":

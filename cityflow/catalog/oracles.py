@@ -5,6 +5,7 @@ rounding. They follow the published definitions: views that fan out are the lite
 """
 
 from cityflow import fixed_values as V
+from cityflow import schemas
 
 # ---------------------------------------------------------------- helpers
 
@@ -405,7 +406,55 @@ def _z(column: str) -> str:
 
 _SCALED = ("hour", "Number_of_Vehicles", "traffic_density_num", "adverse_weather")
 
+_SPOILT = """,
+s_location AS (SELECT * FROM dim_location WHERE location_name <> 'ASIA'),
+d_location AS (SELECT CAST(row_number() OVER (ORDER BY location_id) AS BIGINT) AS location_id, location_name, zone_type FROM s_location),
+d_vehicle AS (SELECT * REPLACE (CASE WHEN vehicle_id = 2 THEN NULL ELSE vehicle_class END AS vehicle_class) FROM dim_vehicle),
+d_weather AS (SELECT * REPLACE (CASE WHEN weather_id <= 2 THEN 'Clear' ELSE weather_condition END AS weather_condition) FROM dim_weather),
+d_date AS (SELECT * REPLACE (CASE WHEN hour = 8 THEN NULL ELSE week END AS week) FROM dim_date WHERE hour <> 7),
+f_traffic AS (SELECT * REPLACE (CASE WHEN traffic_pk % 7 = 0 THEN NULL ELSE vehicle_count END AS vehicle_count) FROM fact_traffic),
+f_accident AS (SELECT * REPLACE (
+  CASE WHEN accident_pk % 11 = 0 THEN 'again' WHEN accident_pk % 13 = 0 THEN NULL ELSE accident_id END AS accident_id,
+  CASE WHEN accident_pk % 5 = 0 THEN NULL ELSE road_condition END AS road_condition) FROM fact_accident)
+"""
+
+
+def _constraints() -> str:
+    """A row per constraint over the spoilt tables."""
+    tables = {
+        "dim_location": schemas.DIM_LOCATION, "dim_vehicle": schemas.DIM_VEHICLE, "dim_weather": schemas.DIM_WEATHER,
+        "dim_date": schemas.DIM_DATE, "fact_traffic": schemas.FACT_TRAFFIC, "fact_accident": schemas.FACT_ACCIDENT,
+    }
+
+    def row(table: str, constraint: str, column: str, count: str) -> str:
+        return f"SELECT '{table}' AS table_name, '{constraint}' AS constraint_name, '{column}' AS column_name, CAST({count} AS BIGINT) AS broken"
+
+    def own(table: str) -> str:
+        return table.replace("dim_", "d_").replace("fact_", "f_")
+
+    rows = [
+        row(t, "not null", c, f"(SELECT count(*) - count({c}) FROM {own(t)})")
+        for t, schema in tables.items() for c in schema.fieldNames() if not c.endswith("_pk")
+    ]
+    unique = [
+        ("dim_location", "location_id"), ("dim_location", "location_name"), ("dim_vehicle", "vehicle_id"), ("dim_vehicle", "vehicle_type"),
+        ("dim_weather", "weather_id"), ("dim_weather", "weather_condition"), ("dim_date", "date_id"), ("dim_date", "full_datetime"),
+        ("fact_accident", "accident_id"),
+    ]
+    rows += [
+        row(t, "unique", c, f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {own(t)} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))")
+        for t, c in unique
+    ]
+    for fact, parents in (("fact_traffic", ("location", "date")), ("fact_accident", ("location", "date", "vehicle", "weather"))):
+        rows += [
+            row(fact, "reference", f"{p}_id", f"(SELECT count(*) FROM {own(fact)} WHERE {p}_id NOT IN (SELECT {p}_id FROM d_{p}))")
+            for p in parents
+        ]
+    return " UNION ALL ".join(rows)
+
+
 ORACLES: dict[str, str] = {
+    "dq5_quality_report": _STAR + _SPOILT + _constraints(),
     "src1_csv_sensor": _with(_SENSOR_RAW)
     + "SELECT Sensor_ID, Location, Vehicle_Count, Average_Speed, Congestion_Level, Date_Time AS DateTime FROM sensor_raw",
     "src2_csv_accident": _with(_ACCIDENT_RAW)

@@ -424,6 +424,27 @@ def dq3_orphan_dates(spark, sf_dir):
     return quality.orphans(built.traffic, dates, {"date_id": "date_id"})
 
 
+@query
+def dq5_quality_report(spark, sf_dir):
+    """Every declared constraint over all six tables, some of whose rows are spoilt on the way: values
+    taken out, ids and names repeated, a zone and some times removed from their dimensions."""
+    built = warehouse_of(spark, sf_dir)
+    spoilt = {
+        "dim_location": _partial_location(spark),
+        "dim_vehicle": built.vehicle.withColumn("vehicle_class", F.expr("IF(vehicle_id = 2, NULL, vehicle_class)")),
+        "dim_weather": built.weather.withColumn("weather_condition", F.expr("IF(weather_id <= 2, 'Clear', weather_condition)")),
+        "dim_date": built.date.filter("hour <> 7").withColumn("week", F.expr("IF(hour = 8, NULL, week)")),
+        "fact_traffic": built.traffic.withColumn("vehicle_count", F.expr("IF(traffic_pk % 7 = 0, NULL, vehicle_count)")),
+        "fact_accident": built.accidents.withColumns(
+            {
+                "accident_id": F.expr("IF(accident_pk % 11 = 0, 'again', IF(accident_pk % 13 = 0, NULL, accident_id))"),
+                "road_condition": F.expr("IF(accident_pk % 5 = 0, NULL, road_condition)"),
+            }
+        ),
+    }
+    return warehouse.report(spoilt)
+
+
 @query
 def dq4_bad_values(spark, sf_dir):
     """Values outside the documented domains; two periods of the day are not documented."""
