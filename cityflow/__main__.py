@@ -13,7 +13,7 @@ import sys
 
 from cityflow.plans import jobs
 from cityflow.plans.warehouse import open_views
-from cityflow.session import build
+from cityflow.session import build, clear_scratch
 from cityflow.streaming.ingest import ingest_all
 
 
@@ -41,6 +41,7 @@ def main(arguments: list[str]) -> None:
         spark.sql(paths[1]).show(truncate=False)
     else:
         raise SystemExit(__doc__)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

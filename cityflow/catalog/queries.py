@@ -800,7 +800,7 @@ def str1_ingest(spark, sf_dir):
         (accidents, schemas.RAW_ACCIDENT, "unrelated"),
     ):
         _as_csv(frame, schema).write.option("header", True).csv(f"{root}/{name}")
-    maxima = kpi.maxima_of(readings)
+    maxima = tuple(kpi.maxima_of(readings).first())  # once, not per batch
     for _ in range(2):
         for job in ingest.ingest_all(spark, root, out, checkpoint, maxima):
             job.awaitTermination()
@@ -827,7 +827,7 @@ def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
 @query
 def str2_incremental_kpi(spark, sf_dir):
     """Sensor KPIs of a stream of events, with the maxima of a calibration table."""
-    calibration = kpi.maxima_of(sensor_raw(spark, sf_dir))
+    calibration = tuple(kpi.maxima_of(sensor_raw(spark, sf_dir)).first())  # once, not per batch
     readings = source.readings_of(source.event_stream(spark, sf_dir), source.table(spark, sf_dir, "region"))
     rows = ingest.sensor_kpis(readings, calibration)
     wanted = ("traffic_pk", "Location", "hour", "congestion_index", "speed_category", "volume_band")

@@ -43,6 +43,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/cityflow/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/cityflow/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this process has written under its scratch paths, once its results are stored."""
+    jvm = spark.sparkContext._jvm
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(settings).delete(path, True)

@@ -220,6 +220,15 @@ def test_routing_below_a_folder_with_a_space(spark, tmp_path):
     assert [r.k for r in frame.selectExpr(f"{key} AS k").distinct().collect()] == ["accident_1.csv"]
 
 
+def test_scratch_is_cleared(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
+    path = session.scratch_path(spark, "gone")
+    files.stored(spark.range(3), path)
+    session.clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_append_leaves_out_repeats_and_rows_without_key(spark):
     from cityflow.sources import files
 
