@@ -82,6 +82,20 @@ def test_recall_at_the_threshold(spark):
     assert wanted >= 3000 and 0.97 * wanted <= found <= wanted
 
 
+@pytest.mark.parametrize("share", [0.6, 0.95, 1.0])
+def test_recall_in_tight_groups(spark, monkeypatch, share):
+    """Five tight groups and fewer other directions in the sample than pivots wanted."""
+    monkeypatch.setattr(e, "SAMPLE", 512)
+    rng = np.random.default_rng(3)
+    n = 4000
+    vectors = [around(rng, c, int(n * share) // 5, 0.95**0.5) for c in e.units(rng.normal(size=(5, 64)))]
+    vectors.append(e.units(rng.normal(size=(n - int(n * share), 64))) if share < 1 else np.empty((0, 64)))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate(vectors).astype(np.float32))]
+    wanted = sum(links for _, links, _ in expected(rows))
+    found = sum(links for _, links, _ in result(e.near_duplicates(spark.createDataFrame(rows, SCHEMA))))
+    assert 0.98 * wanted <= found <= wanted
+
+
 def test_pivots_are_spread():
     rng = np.random.default_rng(2)
     sample = np.concatenate((around(rng, np.eye(8)[0], 500, 0.999), np.eye(8)[1:]))
