@@ -120,11 +120,13 @@ def fit_chain(vocabulary: dict[str, int], rows: list[list[int]], targets: np.nda
 
 def sample_of(docs: DataFrame, labels: DataFrame, flag: str, most: int) -> DataFrame:
     """doc_id, text and y of at most ``most`` labelled documents of either flag; exact copies once."""
+    present = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id").filter("doc_id IS NOT NULL").distinct()
     known = (
         labels.selectExpr("CAST(doc_id AS bigint) AS doc_id", f"CAST({flag} AS int) AS y")
         .filter("doc_id IS NOT NULL AND y IN (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("y").alias("y"))
+        .join(present, "doc_id", "left_semi")
     )
     order = F.xxhash64("doc_id")
     taken = known.filter("y = 1").orderBy(order, "doc_id").limit(most).unionByName(

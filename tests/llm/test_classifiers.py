@@ -116,6 +116,16 @@ def test_without_labels_everything_stays(spark, tmp_path):
         assert quality.keep_good(docs, none).count() == 20
 
 
+def test_labels_without_a_document_take_no_place_in_the_sample(spark, tmp_path):
+    rows = list(corpus(200))
+    docs, labels = frames(spark, tmp_path, rows)
+    absent = spark.range(1000, 2800).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality", "CAST(id % 2 AS int) AS toxic")
+    labels = labels.unionByName(absent)
+    for flag in ("toxic", "quality"):
+        found = toxicity.sample_of(docs, labels, flag, 40).groupBy("y").count().collect()
+        assert {r["y"]: r["count"] for r in found} == {0: 40, 1: 40}
+
+
 def test_no_rows(spark, tmp_path):
     docs, labels = frames(spark, tmp_path, list(corpus(20)))
     empty = spark.createDataFrame([], DOCUMENTS)
