@@ -156,7 +156,8 @@ class _Remembered(dict):
 
 # The characters whose classes and lower case are the same in Python and in the library.
 _PLAIN = re.compile("[\x00-\x1b\x20-ԯ‐-‧€]*")
-_GAP = re.compile(r"\s")
+# White space of the library: without U+001C to U+001F, which Python counts as such.
+_BLANKS = re.compile("[\t-\r \x85\xa0  -     　]+")
 
 
 def _plain_words(ending: bool) -> re.Pattern:
@@ -228,7 +229,7 @@ class Codec:
         split = text.split()
         # str.split also cuts at U+001C to U+001F, which are ordinary characters here
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            split = re.split("[\t-\r \x85\xa0  -     　]+", text)
+            split = _BLANKS.split(text)
         chunks = self.chunks
         return b"".join([chunks[c] for c in split if c])
 
@@ -236,7 +237,7 @@ class Codec:
         """Ids of ``text`` as little-endian unsigned 32-bit integers, block by block."""
         start = 0
         while start < len(text):
-            gap = _GAP.search(text, start + BLOCK_CHARS)
+            gap = _BLANKS.search(text, start + BLOCK_CHARS)
             end = gap.start() if gap else len(text)
             block = text if start == 0 and end == len(text) else text[start:end]
             if any(s in block for s in self.special):

@@ -45,6 +45,13 @@ def test_encoding_equals_the_library(codec, library, seed):
         assert codec.decode(wanted) == library.decode(wanted, skip_special_tokens=False)
 
 
+def test_blocks_are_cut_where_the_library_sees_white_space(codec, library):
+    filler = ("plain words " * 6000)[: bpe.BLOCK_CHARS - 6]
+    for c in "\x1c\x1d\x1e\x1f":
+        text = f"{filler}!!!!!!!!{c}!!!! and on"
+        assert ids(codec, text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_stream_holds_a_bounded_buffer_and_equals_the_library(codec, library):
     rng = random.Random(7)
     longest = 0
