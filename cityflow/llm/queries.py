@@ -3,7 +3,20 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cityflow.llm import bestfit, bpe, chat, embedding_dedup, exact_dedup, line_dedup, quality, simhash, token_output, toxicity
+from cityflow.llm import (
+    bestfit,
+    bpe,
+    chat,
+    clustering,
+    embedding_dedup,
+    exact_dedup,
+    line_dedup,
+    periodic_runs,
+    quality,
+    simhash,
+    token_output,
+    toxicity,
+)
 from cityflow.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +73,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), prepare=periodic_runs.with_tail)
+    return periodic_runs.summary(found)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings")).selectExpr(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "sha2(centroid, 256) AS centroid_sha256"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,6 +97,8 @@ QUERIES = {
         op8_best_fit_packing,
         op9_line_dedup,
         op10_exact_dedup,
+        op11_periodic_runs,
+        op13_centroid_clustering,
     )
 }
 
@@ -81,6 +107,30 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ESCAPED = "{}"
 for _plain, _code in chat.CODES.items():
     _ESCAPED = f"replace({_ESCAPED}, '{_plain}', '{_code}')"
+
+
+def _cluster_rounds() -> str:
+    """The rounds of ``op13`` written out: v has a row per vector and component."""
+    nearest = """
+        a{0} AS (
+            SELECT id, cluster, d FROM (
+                SELECT v.id, c.cluster, sum((v.x - c.x) * (v.x - c.x)) AS d,
+                       row_number() OVER (PARTITION BY v.id ORDER BY sum((v.x - c.x) * (v.x - c.x)), c.cluster) AS place
+                FROM v JOIN c{0} c USING (i) GROUP BY v.id, c.cluster)
+            WHERE place = 1)"""
+    moved = """
+        c{1} AS (
+            SELECT c.cluster, c.i, coalesce(m.x, c.x) AS x
+            FROM c{0} c LEFT JOIN (
+                SELECT cluster, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x
+                FROM (SELECT a.cluster, v.i, sum(v.x) AS s, count(*) AS n FROM v JOIN a{0} a USING (id) GROUP BY ALL)) m
+            USING (cluster, i))"""
+    steps = []
+    for r in range(clustering.ROUNDS):
+        steps += [nearest.format(r), moved.format(r, r + 1)]
+    return ",".join([*steps, nearest.format(clustering.ROUNDS)])
+
+
 _CONFLICT = "contains({0}, '</s>') OR regexp_matches({0}, '&[aebic];')"
 
 ORACLES = {
@@ -118,4 +168,24 @@ ORACLES = {
                doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS norm FROM documents)
         WINDOW same AS (PARTITION BY norm)""",
+    "op13_centroid_clustering": f"""
+        WITH k AS (
+            SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings
+            WHERE len(embedding) = {clustering.DIMENSIONS}
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        v AS MATERIALIZED (
+            SELECT id, vec_id, u.i, CAST(floor({clustering.SCALE} * CAST(u.x AS DOUBLE)) AS BIGINT) AS x
+            FROM k, unnest(embedding) WITH ORDINALITY AS u(x, i)),
+        c0 AS (
+            SELECT s.cluster, v.i, v.x
+            FROM v JOIN (
+                SELECT id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM k
+                QUALIFY cluster < {clustering.K}) s USING (id)),{_cluster_rounds()},
+        h AS (
+            SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256
+            FROM c{clustering.ROUNDS} GROUP BY cluster)
+        SELECT k.vec_id, CAST(a.cluster AS INT) AS cluster, CAST(a.d AS BIGINT) AS distance,
+               CAST(sum(a.d) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+        FROM a{clustering.ROUNDS} a JOIN k USING (id) JOIN h USING (cluster)""",
 }
