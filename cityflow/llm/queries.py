@@ -14,6 +14,7 @@ from cityflow.llm import (
     periodic_runs,
     quality,
     simhash,
+    site_tree,
     token_output,
     toxicity,
 )
@@ -78,6 +79,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.summary(found)
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_tree.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster(table(spark, sf_dir, "embeddings")).selectExpr(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "sha2(centroid, 256) AS centroid_sha256"
@@ -98,6 +103,7 @@ QUERIES = {
         op9_line_dedup,
         op10_exact_dedup,
         op11_periodic_runs,
+        op12_html_extraction,
         op13_centroid_clustering,
     )
 }
@@ -168,6 +174,20 @@ ORACLES = {
                doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS norm FROM documents)
         WINDOW same AS (PARTITION BY norm)""",
+    # the pages' markup names the article, with no element in it but headings, paragraphs and inline ones
+    "op12_html_extraction": """
+        WITH p AS (
+            SELECT row_number() OVER () AS id, page_id, url,
+                   regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*)</article>', 1) AS body
+            FROM pages),
+        l AS (
+            SELECT id, pos, trim(regexp_replace(replace(replace(replace(replace(replace(
+                       line, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\\s+', ' ', 'g')) AS line
+            FROM p, unnest(string_split(regexp_replace(regexp_replace(
+                       body, '</?(p|h1)[^>]*>', chr(10), 'g'), '<[^>]*>', ' ', 'g'), chr(10))) WITH ORDINALITY AS u(line, pos)),
+        t AS (SELECT id, string_agg(line, chr(10) ORDER BY pos) AS text FROM l WHERE line <> '' GROUP BY id)
+        SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars
+        FROM p LEFT JOIN t USING (id)""",
     "op13_centroid_clustering": f"""
         WITH k AS (
             SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings
