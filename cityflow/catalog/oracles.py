@@ -434,12 +434,12 @@ def _constraints() -> str:
 
     rows = [
         row(t, "not null", c, f"(SELECT count(*) - count({c}) FROM {own(t)})")
-        for t, schema in tables.items() for c in schema.fieldNames() if not c.endswith("_pk")
+        for t, schema in tables.items() for c in schema.fieldNames()
     ]
     unique = [
         ("dim_location", "location_id"), ("dim_location", "location_name"), ("dim_vehicle", "vehicle_id"), ("dim_vehicle", "vehicle_type"),
         ("dim_weather", "weather_id"), ("dim_weather", "weather_condition"), ("dim_date", "date_id"), ("dim_date", "full_datetime"),
-        ("fact_accident", "accident_id"),
+        ("fact_traffic", "traffic_pk"), ("fact_accident", "accident_pk"), ("fact_accident", "accident_id"),
     ]
     rows += [
         row(t, "unique", c, f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {own(t)} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))")
@@ -469,6 +469,33 @@ ORACLES: dict[str, str] = {
     FROM accident""",
     "snk2_idempotent_append": _with(_SENSOR_RAW)
     + "SELECT traffic_pk, Sensor_ID, Location, Congestion_Level FROM sensor_raw",
+    "snk2_rerun_safe_load": _STAR
+    + """, twice AS (SELECT accident_pk FROM fact_accident WHERE accident_pk % 14 = 7),
+    known AS (SELECT accident_pk FROM fact_accident WHERE accident_pk % 10 = 0)
+    SELECT 'fact_traffic' AS table_name, count(*) + count(*) FILTER (congestion_level = 'Low') AS row_count,
+      count(*) + count(*) FILTER (congestion_level = 'Low') AS keys FROM fact_traffic
+    UNION ALL SELECT 'fact_accident', count(*) - (SELECT count(*) FROM twice), count(*) - (SELECT count(*) FROM twice) FROM fact_accident
+    UNION ALL SELECT 'reject_traffic', 0, 0
+    UNION ALL SELECT 'reject_accident', n, n FROM (SELECT (SELECT count(*) FROM known) + 2 * (SELECT count(*) FROM twice) AS n)
+    UNION ALL SELECT 'dim_date', count(*), count(*) FROM dim_date
+    UNION ALL SELECT 'dim_weather', count(*), count(*) FROM dim_weather""",
+    "snk4_load_audit": _STAR
+    + """, n AS (
+      SELECT (SELECT count(*) + count(*) FILTER (congestion_level = 'Low') FROM fact_traffic) AS readings,
+        (SELECT count(*) FROM fact_accident) AS accidents, (SELECT count(*) FROM fact_accident WHERE accident_pk % 14 = 7) AS twice,
+        (SELECT count(*) FROM fact_accident WHERE accident_pk % 10 = 0) AS known)
+    SELECT table_name, measure, CAST(batches AS BIGINT) AS batches, row_count FROM (
+      SELECT 'fact_traffic' AS table_name, 'rows read' AS measure, 2 AS batches, readings AS row_count FROM n
+      UNION ALL SELECT 'fact_traffic', 'rows stored', 2, readings FROM n
+      UNION ALL SELECT 'fact_accident', 'rows read', 2, accidents + known + twice FROM n
+      UNION ALL SELECT 'fact_accident', 'rows stored', 2, accidents - twice FROM n
+      UNION ALL SELECT 'fact_accident', 'rows rejected', 1, known + 2 * twice FROM n
+      UNION ALL SELECT 'fact_accident', 'stored accident_id', 1, known FROM n
+      UNION ALL SELECT 'fact_accident', 'repeated accident_id', 1, 2 * twice FROM n) WHERE row_count > 0""",
+    "adh7_month_of_trend": _STAR
+    + """ SELECT d.year, d.month, count(*) AS total_accidents, CAST(sum(casualties) AS BIGINT) AS total_casualties
+    FROM fact_accident a JOIN dim_date d USING (date_id)
+    WHERE a.accident_pk % 14 <> 7 AND d.year = 2024 AND d.month <= 3 GROUP BY ALL""",
     "snk3_replace_table": _AR + "SELECT * FROM risk",
     "snk4_row_audit": _with(_SENSOR_RAW, _ACCIDENT_RAW)
     + """SELECT 'sensor' AS table_name, count(*) AS row_count FROM sensor_raw

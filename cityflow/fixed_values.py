@@ -46,6 +46,24 @@ VEHICLE_CLASSES = {
 }
 OTHER_VEHICLE_CLASS = "Other"
 
+# Warehouse names of the raw columns.
+TRAFFIC_NAMES = {
+    "Sensor_ID": "sensor_id",
+    "Vehicle_Count": "vehicle_count",
+    "Average_Speed": "average_speed",
+    "Congestion_Level": "congestion_level",
+}
+ACCIDENT_NAMES = {
+    "Accident_ID": "accident_id",
+    "Vehicle_Type": "vehicle_type",
+    "Weather_Condition": "weather_condition",
+    "Road_Condition": "road_condition",
+    "Accident_Severity": "accident_severity",
+    "Number_of_Vehicles": "number_of_vehicles",
+    "Casualties": "casualties",
+    "Traffic_Density": "traffic_density",
+}
+
 # City zones.
 ZONE_TYPES = {
     "Downtown": "Urban Core",

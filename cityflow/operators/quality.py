@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from cityflow.functions.text import columns as expressions
 from cityflow.functions.text import one_of
+from cityflow.session import scratch_path
+from cityflow.sources.files import stored
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -42,6 +44,20 @@ def bad_values(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
     return strange.groupBy("value").agg(F.expr("count(*) AS row_count"))
 
 
+def key_counts(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """table_name, column_name, value (as text) and the rows that have it, of several columns per table.
+
+    A table is read once for all of its columns. Partial counts come before the shuffle, so a value held
+    by a third of the rows reaches it as a row per task.
+    """
+    found = []
+    for name, columns in keys.items():
+        pairs = ", ".join(f"struct('{c}' AS column_name, CAST({c} AS STRING) AS value)" for c in columns)
+        counts = tables[name].selectExpr(f"inline(array({pairs}))").groupBy("column_name", "value")
+        found.append(counts.agg(F.expr("count(*) AS n")).selectExpr(f"'{name}' AS table_name", "*"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def quality_report(
     tables: Mapping[str, DataFrame],
     required: Mapping[str, Sequence[str]],
@@ -51,23 +67,35 @@ def quality_report(
     """table_name, constraint_name, column_name and rows that break it, for every declared constraint.
 
     ``required`` and ``unique`` list columns by table; ``references`` maps (table, column) to the
-    (table, column) it must be found in.
+    (table, column) it must be found in. A table is read twice, for its nulls and for its keys; the counts of
+    the keys are stored, and uniqueness and references are told from them.
     """
-    found = []
-    for name, columns in required.items():
-        counts = null_counts(tables[name], list(columns))
-        found.append(counts.selectExpr(f"'{name}' AS table_name", "'not null' AS constraint_name", "column_name", "null_count AS broken"))
-
-    def counted(rows: DataFrame, name: str, constraint: str, column: str) -> DataFrame:
-        return rows.agg(F.expr("coalesce(sum(row_count), 0L) AS broken")).selectExpr(
-            f"'{name}' AS table_name", f"'{constraint}' AS constraint_name", f"'{column}' AS column_name", "broken"
-        )
-
-    for name, columns in unique.items():
-        found += [counted(duplicates(tables[name], c), name, "unique", c) for c in columns]
-    for (name, column), (parent, key) in references.items():
-        found.append(counted(orphans(tables[name], tables[parent], {column: key}), name, "reference", column))
-    return reduce(DataFrame.unionByName, found)
+    spark = next(iter(tables.values())).sparkSession
+    names = ["table_name", "constraint_name", "column_name"]
+    nulls = reduce(
+        DataFrame.unionByName,
+        [
+            null_counts(tables[name], list(columns)).selectExpr(
+                f"'{name}' AS table_name", "'not null' AS constraint_name", "column_name", "null_count AS broken"
+            )
+            for name, columns in required.items()
+        ],
+    )
+    keys: dict[str, list[str]] = {}
+    for name, column in [(n, c) for n, cs in unique.items() for c in cs] + [*references, *references.values()]:
+        if column not in keys.setdefault(name, []):
+            keys[name].append(column)
+    counts = stored(key_counts(tables, keys), scratch_path(spark, "key-counts")).filter("value IS NOT NULL")
+    declared = [(n, "unique", c, None, None) for n, cs in unique.items() for c in cs]
+    declared += [(*child, *parent) for child, parent in (((n, "reference", c), p) for (n, c), p in references.items())]
+    listed = spark.createDataFrame(declared, "table_name string, constraint_name string, column_name string, parent string, parent_key string")
+    of_keys = F.broadcast(listed).join(counts, ["table_name", "column_name"])  # a row per declared constraint
+    repeated = of_keys.filter("constraint_name = 'unique' AND n > 1")
+    parents = counts.selectExpr("table_name AS parent", "column_name AS parent_key", "value")
+    orphaned = of_keys.filter("constraint_name = 'reference'").join(parents, ["parent", "parent_key", "value"], "left_anti")
+    broken = repeated.select(*names, "n").unionByName(orphaned.select(*names, "n")).groupBy(*names).agg(F.expr("sum(n) AS broken"))
+    told = listed.select(*names).join(F.broadcast(broken), names, "left").fillna(0, ["broken"])
+    return nulls.unionByName(told)
 
 
 def domain_report(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:

@@ -14,24 +14,9 @@ from cityflow.functions.temporal import calendar
 from cityflow.operators.prefix import with_running_total
 from cityflow.schemas import CORRUPT, FACT_ACCIDENT, FACT_TRAFFIC
 
-CORRUPT_ROW, REPEATED = "malformed row", "repeated"
-
-TRAFFIC_NAMES = {
-    "Sensor_ID": "sensor_id",
-    "Vehicle_Count": "vehicle_count",
-    "Average_Speed": "average_speed",
-    "Congestion_Level": "congestion_level",
-}
-ACCIDENT_NAMES = {
-    "Accident_ID": "accident_id",
-    "Vehicle_Type": "vehicle_type",
-    "Weather_Condition": "weather_condition",
-    "Road_Condition": "road_condition",
-    "Accident_Severity": "accident_severity",
-    "Number_of_Vehicles": "number_of_vehicles",
-    "Casualties": "casualties",
-    "Traffic_Density": "traffic_density",
-}
+CORRUPT_ROW, REPEATED, STORED = "malformed row", "repeated", "stored"
+
+TRAFFIC_NAMES, ACCIDENT_NAMES = V.TRAFFIC_NAMES, V.ACCIDENT_NAMES
 
 
 def conform(df: DataFrame, renames: Mapping[str, str], columns: Sequence[str]) -> DataFrame:
@@ -175,23 +160,44 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def checked(
-    keyed: DataFrame, renames: Mapping[str, str], required: Sequence[str], repeated: DataFrame | None = None
+    keyed: DataFrame,
+    renames: Mapping[str, str],
+    required: Sequence[str],
+    repeated: DataFrame | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with ``failed``: the constraints they break. Empty for rows that may be stored.
 
     The columns of a table that must not be null, by the table's names; rows that came malformed from
-    their file; and values of a column that must be unique but, as ``repeated`` lists, are not. None of
-    the rows with such a value is known to be the right one.
+    their file; and values of a column that must be unique but, as ``repeated`` lists, are not, or as
+    ``stored`` lists, are in the table already. None of the rows with a repeated value is known to be the
+    right one; of a stored value the stored row is.
     """
     raw_names = {target: raw for raw, target in renames.items()}
     marks = [f"IF({raw_names.get(c, c)} IS NULL, '{c}', NULL)" for c in required]
     if CORRUPT in keyed.columns:
         marks.append(f"IF({CORRUPT} IS NOT NULL, '{CORRUPT_ROW}', NULL)")
-    if repeated is not None:
-        (name,) = repeated.columns
-        keyed = keyed.join(repeated.selectExpr(name, "true AS __repeated"), name, "left")
-        marks.append(f"IF(__repeated, '{REPEATED} {renames.get(name, name)}', NULL)")
-    return keyed.selectExpr("*", f"array_compact(array({', '.join(marks)})) AS failed").drop("__repeated")
+    for listed, word in ((repeated, REPEATED), (stored, STORED)):
+        if listed is not None:
+            (name,) = listed.columns
+            keyed = keyed.join(listed.selectExpr(name, f"true AS __{word}"), name, "left")
+            marks.append(f"IF(__{word}, '{word} {renames.get(name, name)}', NULL)")
+    return keyed.selectExpr("*", f"array_compact(array({', '.join(marks)})) AS failed").drop(f"__{REPEATED}", f"__{STORED}")
+
+
+def constraints(renames: Mapping[str, str], required: Sequence[str], unique: str | None = None) -> list[str]:
+    """The names that :func:`checked` may give."""
+    return [*required, CORRUPT_ROW, *([f"{word} {renames.get(unique, unique)}" for word in (REPEATED, STORED)] if unique else [])]
+
+
+def complete(keyed: DataFrame, renames: Mapping[str, str], required: Sequence[str]) -> DataFrame:
+    """The rows that break none of the constraints on single rows. A plain condition, so that a reader
+    of few columns leaves the others unread."""
+    raw_names = {target: raw for raw, target in renames.items()}
+    conditions = [f"{raw_names.get(c, c)} IS NOT NULL" for c in required]
+    if CORRUPT in keyed.columns:
+        conditions.append(f"{CORRUPT} IS NULL")
+    return keyed.filter(" AND ".join(conditions))
 
 
 TRAFFIC_REQUIRED = tuple(c for c in FACT_TRAFFIC.fieldNames() if c != "traffic_pk")
@@ -218,10 +224,16 @@ def checked_traffic(features: DataFrame, location: DataFrame) -> DataFrame:
 
 
 def checked_accidents(
-    features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame, repeated: DataFrame | None = None
+    features: DataFrame,
+    location: DataFrame,
+    vehicle: DataFrame,
+    weather: DataFrame,
+    repeated: DataFrame | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """``repeated``: accident ids that occur more than once, stored first, see :func:`repeated_values`."""
-    return checked(_keyed_accidents(features, location, vehicle, weather), ACCIDENT_NAMES, ACCIDENT_REQUIRED, repeated)
+    """``repeated``: accident ids that occur more than once, see :func:`repeated_values`; ``stored``: ids
+    that the table has already. Both are written to files first."""
+    return checked(_keyed_accidents(features, location, vehicle, weather), ACCIDENT_NAMES, ACCIDENT_REQUIRED, repeated, stored)
 
 
 def rejects_of(marked: DataFrame) -> DataFrame:
@@ -229,17 +241,25 @@ def rejects_of(marked: DataFrame) -> DataFrame:
     return marked.filter("size(failed) > 0")
 
 
+def _traffic(rows: DataFrame, pk: str) -> DataFrame:
+    return rows.selectExpr(*_typed({**TRAFFIC_NAMES, pk: "traffic_pk"}, FACT_TRAFFIC))
+
+
+def _accidents(rows: DataFrame, pk: str) -> DataFrame:
+    return rows.selectExpr(*_typed({**ACCIDENT_NAMES, pk: "accident_pk"}, FACT_ACCIDENT))
+
+
 def traffic_of(marked: DataFrame, pk: str = "traffic_pk") -> DataFrame:
-    return marked.filter("size(failed) = 0").selectExpr(*_typed({**TRAFFIC_NAMES, pk: "traffic_pk"}, FACT_TRAFFIC))
+    return _traffic(marked.filter("size(failed) = 0"), pk)
 
 
 def accidents_of(marked: DataFrame, pk: str = "accident_pk") -> DataFrame:
-    return marked.filter("size(failed) = 0").selectExpr(*_typed({**ACCIDENT_NAMES, pk: "accident_pk"}, FACT_ACCIDENT))
+    return _accidents(marked.filter("size(failed) = 0"), pk)
 
 
 def fact_traffic(features: DataFrame, location: DataFrame, pk: str = "traffic_pk") -> DataFrame:
     """Traffic facts: the readings that keep every constraint."""
-    return traffic_of(checked_traffic(features, location), pk)
+    return _traffic(complete(_keyed_traffic(features, location), TRAFFIC_NAMES, TRAFFIC_REQUIRED), pk)
 
 
 def traffic_rejects(features: DataFrame, location: DataFrame) -> DataFrame:
@@ -248,12 +268,28 @@ def traffic_rejects(features: DataFrame, location: DataFrame) -> DataFrame:
 
 
 def fact_accident(
-    features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame, pk: str = "accident_pk"
+    features: DataFrame,
+    location: DataFrame,
+    vehicle: DataFrame,
+    weather: DataFrame,
+    pk: str = "accident_pk",
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Accident facts: the accidents that keep every constraint."""
-    return accidents_of(checked_accidents(features, location, vehicle, weather), pk)
+    keyed = _keyed_accidents(features, location, vehicle, weather)
+    if repeated is not None:
+        keyed = keyed.join(repeated, repeated.columns, "left_anti")
+    return _accidents(complete(keyed, ACCIDENT_NAMES, ACCIDENT_REQUIRED), pk)
 
 
 def accident_rejects(features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame) -> DataFrame:
     """The other accidents, with the constraints they break."""
     return rejects_of(checked_accidents(features, location, vehicle, weather))
+
+
+MONTH = "month_start"
+
+
+def with_month(fact: DataFrame) -> DataFrame:
+    """A fact's rows with the first day of their month, by which facts are partitioned."""
+    return fact.selectExpr("*", f"CAST(trunc({key_time()}, 'month') AS DATE) AS {MONTH}")

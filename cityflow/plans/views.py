@@ -31,8 +31,8 @@ from cityflow.functions.numeric import (
     wide_ratio,
 )
 from cityflow.functions.temporal import is_peak, time_of_day
-from cityflow.functions.text import columns, literal
-from cityflow.operators.star import key_time
+from cityflow.functions.text import columns, literal, one_of
+from cityflow.operators.star import MONTH, key_time
 
 _HOUR = f"hour({key_time('date_id')})"
 _WIDE = "DECIMAL(38,0)"
@@ -250,7 +250,9 @@ def monthly_trend(accidents: DataFrame) -> DataFrame:
         *_CONDITION_PCTS,
         _PEAK_PCT,
     ]
-    dated = accidents.selectExpr("*", f"trunc({key_time('date_id')}, 'month') AS m")
+    # the month that stored facts are partitioned by lets a filter on it leave other months unread
+    month = MONTH if MONTH in accidents.columns else f"trunc({key_time('date_id')}, 'month')"
+    dated = accidents.selectExpr("*", f"{month} AS m")
     return (
         dated.groupBy("m")
         .agg(*columns(measures))
@@ -359,13 +361,67 @@ def ml_location_risk(risk: DataFrame, dangerous_from: float = V.DANGEROUS_FROM)
 # ---------------------------------------------------------------- all views together
 
 
-def row_counts(views: Mapping[str, DataFrame]) -> DataFrame:
-    """Name and row count of each view."""
-    counts = [
-        view.agg(F.expr("count(*) AS row_count")).selectExpr(f"'{name}' AS view_name", "row_count")
-        for name, view in views.items()
+def _keys(rows: DataFrame, views: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Distinct grouping keys of several views over one frame, which is read once: view_name and up to three
+    parts as text."""
+    parts = []
+    for name, keys in views.items():
+        padded = [*keys, "NULL", "NULL", "NULL"][:3]
+        listed = ", ".join(f"CAST({k} AS STRING) AS {c}" for k, c in zip(padded, "abc"))
+        parts.append(f"struct('{name}' AS view_name, {listed})")
+    return rows.selectExpr(f"inline(array({', '.join(parts)}))").distinct()
+
+
+_ZONED = ("vw_location_summary", "vw_congestion_hotspots", "vw_severity_by_location")
+
+
+def all_row_counts(
+    accidents: DataFrame,
+    traffic: DataFrame,
+    location: DataFrame,
+    weather: DataFrame,
+    risk: DataFrame,
+    dates: DataFrame | None = None,
+) -> DataFrame:
+    """Name and row count of each of :func:`all_views`.
+
+    A view has a row per grouping key, so the keys of all views over a fact are found in one pass and
+    counted; nothing else is computed.
+    """
+    month = MONTH if MONTH in accidents.columns else f"trunc({key_time('date_id')}, 'month')"
+    found = [
+        _keys(
+            accidents,
+            {
+                "vw_location_summary": ["location_id"], "vw_hourly_profile": [_HOUR], "vw_monthly_trend": [month],
+                "vw_weather_risk": ["weather_id", "road_condition", "hazardous_road"],
+                "vw_severity_by_location": ["location_id", "accident_severity"], "vw_road_condition_risk": ["road_condition"],
+            },
+        ),
+        _keys(
+            traffic,
+            {
+                "vw_hourly_profile": [_HOUR],
+                "vw_congestion_hotspots": ["location_id", time_of_day(_HOUR), is_peak(_HOUR)],
+            },
+        ),
+        _keys(risk, {"vw_ml_location_risk": ["location_name"]}),
     ]
-    return reduce(DataFrame.unionByName, counts)
+    if dates is not None:
+        found.append(_keys(dates, {"vw_hourly_profile": [_HOUR]}))
+    keys = reduce(DataFrame.unionByName, found).distinct()
+    zones = location.selectExpr("CAST(location_id AS STRING) AS a", "true AS zone")
+    kinds = weather.selectExpr("CAST(weather_id AS STRING) AS a", "true AS kind")
+    named = keys.join(zones, "a", "left").join(kinds, "a", "left")
+    counts = (
+        named.filter(f"({one_of('view_name', _ZONED)}) <= coalesce(zone, false)")
+        .filter("(view_name = 'vw_weather_risk') <= coalesce(kind, false)")
+        .groupBy("view_name")
+        .agg(F.expr("count(*) AS row_count"))
+    )
+    names = ", ".join(f"'{name}'" for name in ("vw_hourly_profile", "vw_monthly_trend", "vw_weather_risk", "vw_road_condition_risk", "vw_ml_location_risk", *_ZONED))
+    listed = keys.sparkSession.sql(f"SELECT explode(array({names})) AS view_name")
+    return listed.join(counts, "view_name", "left").fillna(0, ["row_count"])
 
 
 _PRESENTATION = {

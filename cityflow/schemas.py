@@ -42,6 +42,8 @@ ACCIDENT_RISK = _struct(
     accident_id=_S, location_name=_S, predicted_risk_prob=_D, predicted_class=_I,
     actual_fatal_severe=_I, risk_tier=_S,
 )
+LOADS = _struct(version=_L, load_id=_S, source=_S, batch_id=_S, whole=T.BooleanType(), last_key=_L)
+LOAD_AUDIT = _struct(load_id=_S, batch_id=_S, table_name=_S, measure=_S, row_count=_L)
 MODEL_RUNS = _struct(
     run_name=_S, model_type=_S, n_features=_I, train_size=_L, test_accuracy=_D, test_f1=_D,
     roc_auc=_D, cv_f1_mean=_D,

@@ -53,10 +53,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _located(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The files and folders in a folder, none if it does not exist."""
+    system, folder = _located(spark, path)
+    return [status.getPath().toString() for status in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def found(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a path; it may be a pattern."""
+    system, wanted = _located(spark, path)
+    return bool(system.globStatus(wanted))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, unwanted = _located(spark, path)
+    system.delete(unwanted, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this process has written under its scratch paths, once its results are stored."""
-    jvm = spark.sparkContext._jvm
-    settings = spark.sparkContext._jsc.hadoopConfiguration()
     while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(settings).delete(path, True)
+        delete(spark, _made.pop())

@@ -1,13 +1,13 @@
 """Reading and writing files and tables."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cityflow.schemas import CORRUPT
+from cityflow.session import found
 
 
 def csv_schema(schema: T.StructType) -> T.StructType:
@@ -48,13 +48,9 @@ def read_parquet(
 
     ``recursive`` takes files at any depth, as a key prefix does, instead of partition folders.
     """
-    reader = spark.read.schema(schema).option("recursiveFileLookup", recursive)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not found(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", recursive).parquet(path)
 
 
 def read_table(spark: SparkSession, text: str) -> DataFrame:
@@ -109,7 +105,9 @@ def without_key(batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return batch.filter(" OR ".join(f"{k} IS NULL" for k in keys))
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows on the way through, without a further job; read it after an action."""
+def observed(df: DataFrame, name: str, measures: Mapping[str, str] | None = None) -> tuple[DataFrame, Observation]:
+    """Count rows on the way through, and further aggregates given as SQL text, without a further job;
+    read them after an action."""
     observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("row_count")), observation
+    counted = [F.expr(f"{text} AS `{alias}`") for alias, text in (measures or {}).items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("row_count"), *counted), observation
