@@ -3,8 +3,9 @@
 sensor RAW OUT                       raw sensor CSV to features
 accident RAW OUT                     raw accident CSV to features
 load SENSOR ACCIDENT WAREHOUSE       features to the star schema
-append SENSOR ACCIDENT WAREHOUSE     further features into a stored star schema
+append SENSOR ACCIDENT WAREHOUSE [BATCH]    further features into a stored star schema; a batch again replaces itself
 severity WAREHOUSE MODEL RUNS        train, compare, score
+score WAREHOUSE MODEL                score accidents loaded since with the stored model
 ingest RAW OUT CHECKPOINT MAX_VOLUME MAX_SPEED    new files, routed by name
 sql WAREHOUSE TEXT                   query over the tables and views
 """
@@ -29,9 +30,11 @@ def main(arguments: list[str]) -> None:
     elif job == "load":
         jobs.load_job(spark, *paths)
     elif job == "append":
-        jobs.append_job(spark, *paths)
+        jobs.append_job(spark, *paths[:3], batch=paths[3] if len(paths) > 3 else None)
     elif job == "severity":
         jobs.severity_job(spark, *paths).show()
+    elif job == "score":
+        print(f"rows scored: {jobs.score_job(spark, *paths)}")
     elif job == "ingest":
         raw, out, checkpoint, volume, speed = paths
         for query in ingest_all(spark, raw, out, checkpoint, (float(volume), float(speed))):

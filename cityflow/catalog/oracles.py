@@ -624,6 +624,21 @@ ORACLES: dict[str, str] = {
         for c in ("location_name", "weather_condition", "road_condition", "vehicle_type")
     )
     + " FROM features",
+    "mlp9_score_later_rows": _STAR
+    + ","
+    + _FEATURES
+    + ", known AS (SELECT * FROM features WHERE weather_condition <> 'Clear'), "
+    + ", ".join(
+        f"{c}_codes AS (SELECT {c}, CAST(row_number() OVER (ORDER BY {c}) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT {c} FROM known))"
+        for c in ("weather_condition", "road_condition", "vehicle_type")
+    )
+    + " SELECT accident_id, "
+    + ", ".join(
+        f"coalesce({c}_codes.code, (SELECT CAST(count(*) AS INTEGER) FROM {c}_codes)) AS {c}"
+        for c in ("weather_condition", "road_condition", "vehicle_type")
+    )
+    + ", location_name, 1 AS probability_ok, 1 AS tier_ok FROM features "
+    + " ".join(f"LEFT JOIN {c}_codes ON features.{c} = {c}_codes.{c}" for c in ("weather_condition", "road_condition", "vehicle_type")),
     "mlp3_class_balance": _A + "SELECT is_fatal_or_severe, count(*) AS row_count FROM accident GROUP BY is_fatal_or_severe",
     "mlp4_hash_split": _A
     + f"""SELECT Accident_ID, is_fatal_or_severe,

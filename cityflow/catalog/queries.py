@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import lru_cache, reduce
 from types import SimpleNamespace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -830,7 +831,10 @@ def mlp13_run_log(spark, sf_dir):
     run = training.Trained("Random Forest", None, scores, 0.5)
     for _ in range(2):
         training.log_run(spark, run, accident(spark, sf_dir).count(), path)
-    return files.read_parquet(spark, path, schemas.MODEL_RUNS)
+    runs = files.read_parquet(spark, path, schemas.MODEL_RUNS)
+    if runs.select("run_id").distinct().count() != 2:
+        raise ValueError("two runs must be told apart")
+    return runs.drop("run_id", "logged_at")
 
 
 @query
@@ -844,6 +848,32 @@ def mlp14_saved_model(spark, sf_dir):
     return both.agg(*columns(["count(*) AS n", "count_if(p <> predicted_risk_prob OR t <> risk_tier) AS differing"]))
 
 
+@lru_cache(maxsize=4)
+def stored_model(spark: SparkSession, sf_dir: str) -> str:
+    """A model and its encoder, fitted to the accidents in weather other than clear, and saved."""
+    rows = model_features(spark, sf_dir).filter("weather_condition <> 'Clear'")
+    encoder = model_data.fit_encoder(rows)
+    encoded = training.materialise(encoder.transform(rows), "later-encoded")
+    candidate = training.candidates(encoded.count())["Logistic Regression"]
+    path = scratch_path(spark, "later-model")
+    training.save(training.with_encoder(encoder, training.fit(candidate, encoded)), path)
+    return path
+
+
+@query
+def mlp9_score_later_rows(spark, sf_dir):
+    """All accidents scored with the stored model, those in a weather it has not seen among them: the codes
+    that it gives, and whether tier and class follow from the probability."""
+    rows = model_features(spark, sf_dir).selectExpr("*", "location_name AS zone")
+    model = training.load(stored_model(spark, sf_dir))
+    codes = PipelineModel(model.stages[:2]).transform(rows).select("accident_id", *V.CATEGORICAL_FEATURES[1:])
+    scored = training.score(model, rows).selectExpr(
+        "accident_id", "location_name", "CAST(predicted_risk_prob BETWEEN 0 AND 1 AS INT) AS probability_ok",
+        f"CAST(risk_tier = {kpi.risk_tier('predicted_risk_prob')} AS INT) AS tier_ok",
+    )
+    return codes.join(scored, "accident_id")
+
+
 # ---------------------------------------------------------------- streaming
 
 

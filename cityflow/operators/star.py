@@ -275,11 +275,15 @@ def fact_accident(
     pk: str = "accident_pk",
     repeated: DataFrame | None = None,
 ) -> DataFrame:
-    """Accident facts: the accidents that keep every constraint."""
+    """Accident facts: the accidents that keep every constraint.
+
+    A risk score is null only where the number of vehicles is, which is asked for; a condition on the
+    score itself would be computed a second time, below the columns.
+    """
     keyed = _keyed_accidents(features, location, vehicle, weather)
     if repeated is not None:
         keyed = keyed.join(repeated, repeated.columns, "left_anti")
-    return _accidents(complete(keyed, ACCIDENT_NAMES, ACCIDENT_REQUIRED), pk)
+    return _accidents(complete(keyed, ACCIDENT_NAMES, [c for c in ACCIDENT_REQUIRED if c != "risk_score"]), pk)
 
 
 def accident_rejects(features: DataFrame, location: DataFrame, vehicle: DataFrame, weather: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from cityflow.plans.features import accident_features, sensor_features
 from cityflow.plans.warehouse import FACTS, SCHEMAS, open_tables, report, store
 from cityflow.schemas import DIM_DATE, RAW_ACCIDENT, RAW_SENSOR
 from cityflow.session import delete, scratch_path
-from cityflow.sources.files import append_new, observed, read_csv, stored, write_replace
+from cityflow.sources.files import append_new, observed, read_csv, stored, write_append, write_replace
 
 
 def sensor_job(spark: SparkSession, raw: str, out: str, partition_by: Sequence[str] = ()) -> int:
@@ -214,18 +214,17 @@ def severity_job(
 ) -> DataFrame:
     """Train and compare the models, keep the best and score every accident with it.
 
-    Replaces the scored table and the published outputs in the warehouse (comparison, importances,
-    tiers, class balance), appends to the table of runs, and returns the comparison.
+    The kept model has its encoder in it, so it scores rows that come later, see :func:`score_job`. Replaces
+    the scored table and the published outputs in the warehouse (comparison, importances, tiers, class
+    balance), appends to the table of runs, and returns the comparison.
     """
-    tables = open_tables(spark, warehouse)
-    rows = model_data.features(
-        tables["fact_accident"], tables["dim_location"], tables["dim_vehicle"], tables["dim_weather"]
-    ).selectExpr("*", "location_name AS zone")
-    encoded = training.materialise(training.with_parts(model_data.label_encode(rows), "accident_id"), "encoded")
+    rows = _model_rows(open_tables(spark, warehouse))
+    encoder = model_data.fit_encoder(rows)
+    encoded = training.materialise(training.with_parts(encoder.transform(rows), "accident_id"), "encoded")
     train, test = encoded.filter("NOT is_test"), encoded.filter("is_test")
     trained = training.cross_validate(training.train_all(train, test, chosen), train, chosen=chosen)
     best = training.best_of(trained)
-    training.save(best.model, model_path)
+    training.save(training.with_encoder(encoder, best.model), model_path)
     write_replace(training.score(best.model, encoded), f"{warehouse}/ml_accident_risk")
     training.log_run(spark, best, train.count(), runs_path)
     scored = open_tables(spark, warehouse)["ml_accident_risk"]
@@ -238,3 +237,28 @@ def severity_job(
     for name, rows in outputs.items():
         write_replace(rows.coalesce(1), f"{warehouse}/{name}")
     return spark.read.parquet(f"{warehouse}/ml_model_comparison")
+
+
+def _model_rows(tables: Mapping[str, DataFrame], accidents: DataFrame | None = None) -> DataFrame:
+    facts = tables["fact_accident"] if accidents is None else accidents
+    rows = model_data.features(facts, tables["dim_location"], tables["dim_vehicle"], tables["dim_weather"])
+    return rows.selectExpr("*", "location_name AS zone")
+
+
+def score_job(spark: SparkSession, warehouse: str, model_path: str, again: bool = False) -> int:
+    """Score the accidents that were loaded after training with the stored model; returns their number.
+
+    Accidents without a score are appended to the scored table, so a repeat adds nothing; ``again`` scores all
+    and replaces it. Codes are those of the training rows: a category that is new, wherever it sorts, counts as
+    unknown and shifts no other.
+    """
+    tables = open_tables(spark, warehouse)
+    accidents, scored = tables["fact_accident"], tables["ml_accident_risk"]
+    if not again:
+        accidents = accidents.join(scored.select("accident_id"), "accident_id", "left_anti")
+    rows = training.score(training.load(model_path), _model_rows(tables, accidents))
+    rows, counted = observed(stored(rows, scratch_path(spark, "scored")), "scored rows")
+    (write_replace if again else write_append)(rows, f"{warehouse}/ml_accident_risk")
+    found = open_tables(spark, warehouse)["ml_accident_risk"]
+    write_replace(evaluation.tier_distribution(found).coalesce(1), f"{warehouse}/ml_risk_tiers")
+    return counted.get["row_count"]
