@@ -382,8 +382,7 @@ def _model_row(name: str, multiplier: int) -> str:
 
 _ALARMS = """
 failures AS (
-  SELECT ts, CASE user_id % 3 WHEN 0 THEN 'CityFlow-SensorJob-Failed' WHEN 1 THEN 'CityFlow-AccidentJob-Failed'
-    ELSE 'Trigger-Errors' END AS alarm_name, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS failed FROM events),
+  SELECT ts, event_type AS alarm_name, CASE WHEN user_id % 4 = 0 THEN 1 ELSE 0 END AS failed FROM events),
 states AS (
   SELECT alarm_name, time_bucket(INTERVAL '5 minutes', ts) AS period_start,
     time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' AS period_end, CAST(sum(failed) AS BIGINT) AS total,
@@ -690,10 +689,24 @@ ORACLES: dict[str, str] = {
     "str3_alarm": _with(_ALARMS) + "SELECT * FROM states",
     "str3_alarm_stream": _with(_ALARMS)
     + "SELECT * FROM states WHERE period_end <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events)",
+    "str4_alarm_changes": _with(_ALARMS)
+    + """, calendar AS (
+      SELECT alarm_name, unnest(generate_series(min(period_start), (SELECT max(period_start) FROM states) + INTERVAL '5 minutes',
+        INTERVAL '5 minutes')) AS period_start FROM states GROUP BY alarm_name),
+    filled AS (SELECT alarm_name, period_start, coalesce(total, 0) AS total, coalesce(state, 'OK') AS state
+      FROM calendar LEFT JOIN states USING (alarm_name, period_start))
+    SELECT alarm_name, period_start AS changed_at, state, total FROM filled
+    QUALIFY state IS DISTINCT FROM lag(state) OVER (PARTITION BY alarm_name ORDER BY period_start)""",
+    "str1_quarantine": _with(_SENSOR_RAW)
+    + """ SELECT 'row' AS what, Congestion_Level AS kind, count(*) AS n FROM sensor_raw GROUP BY Congestion_Level
+    UNION ALL SELECT 'file', 'lacks Location', 1 UNION ALL SELECT 'file', 'no header', 1""",
+    "str2_calibrated_kpi": _S
+    + f"""SELECT Location, hour, count(*) AS readings, {_sum(_units("congestion_index"))} AS total_index,
+      max(congestion_index) AS max_index FROM sensor GROUP BY Location, hour""",
     "str4_alarm_filled": _filled(1),
     "str4_alarm_two_periods": _filled(2),
     "str5_alarm_status": _with(_ALARMS)
     + """SELECT alarm_name, CASE WHEN count(*) FILTER (WHERE state = 'ALARM' AND
       period_start = (SELECT max(period_start) FROM states)) = 1 THEN 'ALARM' ELSE 'OK' END AS state
-    FROM states WHERE alarm_name LIKE 'CityFlow%' GROUP BY alarm_name""",
+    FROM states WHERE alarm_name LIKE 'c%' GROUP BY alarm_name""",
 }

@@ -22,7 +22,7 @@ from cityflow.plans import features, jobs, lake, views, warehouse
 from cityflow.session import configure, scratch_path
 from cityflow.sources import driver_tables as source
 from cityflow.sources import files
-from cityflow.streaming import alarms, ingest
+from cityflow.streaming import alarms, dead_letters, ingest, transitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -916,6 +916,44 @@ def str1_ingest(spark, sf_dir):
     return sensors.unionByName(crashes).groupBy("job", "Location").agg(*columns(totals))
 
 
+@lru_cache(maxsize=4)
+def ingested_files(spark: SparkSession, sf_dir: str) -> str:
+    """Sensor files in three column orders, one that lacks a column and one that is empty, ingested in
+    batches of two files; the second run finds nothing new."""
+    root, out, checkpoint = (scratch_path(spark, name) for name in ("drop", "ingested", "ingest-checkpoint"))
+    rows = _as_csv(sensor_raw(spark, sf_dir), schemas.RAW_SENSOR)
+    names = rows.columns
+    orders = {"High": names, "Moderate": names[::-1], "Low": [*names[2:], *names[:2]]}
+    for level, order in orders.items():
+        part = rows.filter(F.col("Congestion_Level") == level).select(order)
+        part.coalesce(1).write.option("header", True).csv(f"{root}/sensor-{level}")
+    rows.drop("Location").limit(5).coalesce(1).write.option("header", True).csv(f"{root}/sensor-lacking")
+    rows.select(F.lit("")).limit(1).coalesce(1).write.text(f"{root}/sensor-empty")
+    for _ in range(2):
+        dead_letters.ingest_sensor(spark, root, out, checkpoint, 2).awaitTermination()
+    return out
+
+
+@query
+def str1_quarantine(spark, sf_dir):
+    """Good rows per congestion level, and the files set aside by reason."""
+    out = ingested_files(spark, sf_dir)
+    good = dead_letters.read_sensor(spark, out).groupBy("Congestion_Level").agg(F.expr("count(*) AS n"))
+    bad = dead_letters.read_quarantine(spark, f"{out}/quarantine-sensor").groupBy("reason").agg(F.expr("count(*) AS n"))
+    return good.selectExpr("'row' AS what", "Congestion_Level AS kind", "n").unionByName(
+        bad.selectExpr("'file' AS what", "reason AS kind", "n")
+    )
+
+
+@query
+def str2_calibrated_kpi(spark, sf_dir):
+    """The index of readings that came in several batches, with the maxima that the batches left."""
+    rows = dead_letters.read_sensor(spark, ingested_files(spark, sf_dir))
+    return rows.groupBy("Location", "hour").agg(
+        *columns(["count(*) AS readings", f"sum({units('congestion_index')}) AS total_index", "max(congestion_index) AS max_index"])
+    )
+
+
 def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     (
@@ -940,13 +978,9 @@ def str2_incremental_kpi(spark, sf_dir):
     return _drain(spark, rows.select(*wanted), "kpis")
 
 
-# Names of the stand-in alarms.
-_ALARMS = ("CityFlow-SensorJob-Failed", "CityFlow-AccidentJob-Failed", "Trigger-Errors")
-
-
 def _failures(events: DataFrame) -> DataFrame:
-    name = case("user_id % 3", dict(enumerate(_ALARMS[:-1])), _ALARMS[-1])
-    return events.selectExpr("ts", f"{name} AS name", "IF(event_type = 'error', 1, 0) AS failed")
+    """An alarm per event type, which every fourth user's events breach."""
+    return events.selectExpr("ts", "event_type AS name", "IF(user_id % 4 = 0, 1, 0) AS failed")
 
 
 def _alarm_states(spark, sf_dir):
@@ -965,6 +999,22 @@ def str3_alarm_stream(spark, sf_dir):
     return _drain(spark, alarms.alarm_stream(failures, "ts", "name", "failed"), "alarms")
 
 
+@query
+def str4_alarm_changes(spark, sf_dir):
+    """Every change of an alarm, by a stream with keyed state and timers. A clock's heartbeat closes the period
+    after the last one, so alarms that have fallen silent by then change as well."""
+    events = source.table(spark, sf_dir, "events")
+    clock = scratch_path(spark, "clock")
+    period = f"floor(unix_seconds(max(ts)) / {V.ALARM_PERIOD_SECONDS}) * {V.ALARM_PERIOD_SECONDS}"
+    upto = f"timestamp_seconds({period} + {2 * V.ALARM_PERIOD_SECONDS} + 601) AS ts"
+    files.write_replace(events.selectExpr(upto).selectExpr("ts", "CAST(NULL AS STRING) AS name", "0 AS failed"), clock)
+    ticks = spark.readStream.schema("ts timestamp, name string, failed int").parquet(clock)
+    rows = _failures(source.event_stream(spark, sf_dir)).unionByName(ticks)
+    return _drain(spark, transitions.alarm_changes(rows, "ts", "name", "failed"), "alarm-changes").selectExpr(
+        "alarm_name", "changed_at", "state", "CAST(coalesce(total, 0) AS BIGINT) AS total"
+    )
+
+
 @query
 def str4_alarm_filled(spark, sf_dir):
     return alarms.alarm_filled(_alarm_states(spark, sf_dir)).fillna(0, ["total"])
@@ -977,4 +1027,4 @@ def str4_alarm_two_periods(spark, sf_dir):
 
 @query
 def str5_alarm_status(spark, sf_dir):
-    return alarms.alarm_status(_alarm_states(spark, sf_dir), prefix="CityFlow")
+    return alarms.alarm_status(_alarm_states(spark, sf_dir), prefix="c")

@@ -15,6 +15,18 @@ def _dated(raw: DataFrame) -> DataFrame:
     return with_temporal(raw.selectExpr("*", f"{ts} AS DateTime"))
 
 
+def sensor_measures(raw: DataFrame) -> DataFrame:
+    """What a reading says by itself: time features, bands and status, without the congestion index, which
+    refers to the maxima of all readings."""
+    return _dated(raw).selectExpr(
+        "*",
+        f"{kpi.speed_category('Average_Speed')} AS speed_category",
+        f"{kpi.volume_band('Vehicle_Count')} AS volume_band",
+        f"{time_of_day('hour')} AS time_of_day",
+        f"{literal(V.SENSOR_STATUS)} AS sensor_status",
+    )
+
+
 def sensor_features(raw: DataFrame, maxima: DataFrame | tuple[float, float] | None = None) -> DataFrame:
     """KPI columns of sensor readings; ``maxima`` as in :func:`kpi.with_congestion_index`."""
     if maxima is None:

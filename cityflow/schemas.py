@@ -44,6 +44,7 @@ ACCIDENT_RISK = _struct(
 )
 LOADS = _struct(version=_L, load_id=_S, source=_S, batch_id=_S, whole=T.BooleanType(), last_key=_L)
 LOAD_AUDIT = _struct(load_id=_S, batch_id=_S, table_name=_S, measure=_S, row_count=_L)
+QUARANTINE = _struct(path=_S, reason=_S, header=_S, batch_id=_L)
 MODEL_RUNS = _struct(
     run_name=_S, model_type=_S, n_features=_I, train_size=_L, test_accuracy=_D, test_f1=_D,
     roc_auc=_D, cv_f1_mean=_D, run_id=_S, logged_at=T.TimestampType(),

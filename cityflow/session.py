@@ -70,6 +70,19 @@ def found(spark: SparkSession, path: str) -> bool:
     return bool(system.globStatus(wanted))
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, decompressed as its name says."""
+    jvm = spark.sparkContext._jvm
+    system, location = _located(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(location)
+    stream = system.open(location)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, unwanted = _located(spark, path)
     system.delete(unwanted, True)

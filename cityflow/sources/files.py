@@ -15,7 +15,7 @@ def csv_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """Header CSV as typed columns, found by their names in the header, in whatever order.
 
     The header is the first file's; a file with another one fails rather than being read wrongly. A
