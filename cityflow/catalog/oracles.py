@@ -452,6 +452,15 @@ def _constraints() -> str:
     return " UNION ALL ".join(rows)
 
 
+# The facts after the batches of the load queries: readings of a level twice, accidents of ambiguous ids not at all.
+_LOADED = """, loaded_traffic AS (SELECT * FROM fact_traffic UNION ALL SELECT * FROM fact_traffic WHERE congestion_level = 'Low'),
+loaded_accident AS (SELECT * FROM fact_accident WHERE accident_pk % 14 <> 7),"""
+
+
+def _loaded(view: str) -> str:
+    return view.replace("fact_traffic", "loaded_traffic").replace("fact_accident", "loaded_accident")
+
+
 ORACLES: dict[str, str] = {
     "dq5_quality_report": _STAR + _SPOILT + _constraints(),
     "src1_csv_sensor": _with(_SENSOR_RAW)
@@ -567,6 +576,8 @@ ORACLES: dict[str, str] = {
     + """SELECT 'time_of_day' AS column_name, time_of_day AS value, count(*) AS row_count FROM dim_date
     WHERE time_of_day NOT IN ('Morning Peak', 'Midday', 'Evening Peak', 'Off-Peak') GROUP BY time_of_day""",
     "vw1_location_summary": _STAR + "," + _VIEW_1 + " SELECT * FROM vw_location_summary",
+    "vw1_merged_location_summary": _STAR + _LOADED + _loaded(_VIEW_1) + " SELECT * FROM vw_location_summary",
+    "vw2_merged_hourly_profile": _STAR + _LOADED + _loaded(_VIEW_2) + " SELECT * FROM vw_hourly_profile",
     "vw1f_location_summary_fanout": _STAR + _VIEW_1F,
     "vw2_hourly_profile": _STAR + "," + _VIEW_2 + " SELECT * FROM vw_hourly_profile",
     "vw2f_hourly_profile_fanout": _STAR + _VIEW_2F,

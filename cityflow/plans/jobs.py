@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cityflow import fixed_values as V
 from cityflow.functions import kpi
-from cityflow.operators import evaluation, model_data, star, training
+from cityflow.operators import evaluation, measures, model_data, star, training
 from cityflow.plans import loads
 from cityflow.plans.features import accident_features, sensor_features
 from cityflow.plans.warehouse import FACTS, SCHEMAS, open_tables, report, store
@@ -67,8 +67,9 @@ class _Loading:
 
     def write(self, load: loads.Load, tables: dict[str, DataFrame]) -> None:
         for name, rows in tables.items():
-            by = [star.MONTH] if name in FACTS else []
-            write_replace(star.with_month(rows) if by else rows, loads.folder(self.warehouse, name, load), by)
+            dated = star.with_month(rows) if name in FACTS else rows
+            by = [star.MONTH] if star.MONTH in dated.columns else []
+            write_replace(dated, loads.folder(self.warehouse, name, load), by)
 
     def keyed(self, rows: DataFrame, source: str, unique: list[str], pk: str) -> DataFrame:
         """Rows with a key that no other row of the table has: behind the largest one of the other loads,
@@ -81,14 +82,20 @@ class _Loading:
         return rows.selectExpr("*", f"monotonically_increasing_id() + {last + 1}L AS {pk}")
 
     def finish(self, load: loads.Load, source: str, marked: DataFrame, constraints: list[str], pk: str, facts) -> None:
-        """Write facts and rejects, and what was counted of them on the way; the rows are checked once."""
-        measures = {c: f"count_if(array_contains(failed, '{c}'))" for c in constraints}
-        measures |= {"rows stored": "count_if(size(failed) = 0)", "rows rejected": "count_if(size(failed) > 0)"}
-        counted, seen = observed(marked, f"load {load.load_id}", measures | {"last_key": f"coalesce(max({pk}), 0L)"})
+        """Write facts, rejects, the cells that views merge, and what was counted on the way; the rows are
+        checked once, and no other load's rows are read."""
+        counts = {c: f"count_if(array_contains(failed, '{c}'))" for c in constraints}
+        counts |= {"rows stored": "count_if(size(failed) = 0)", "rows rejected": "count_if(size(failed) > 0)"}
+        counted, seen = observed(marked, f"load {load.load_id}", counts | {"last_key": f"coalesce(max({pk}), 0L)"})
         rows = stored(counted, scratch_path(self.spark, f"checked-{source}"))
         found = seen.get
-        self.write(load, {f"fact_{source}": facts(rows), f"reject_{source}": star.rejects_of(rows)})
-        audit = [(load.batch_id, f"fact_{source}", measure, found[measure]) for measure in measures]
+        cells = {"traffic": measures.traffic_cells, "accident": measures.accident_cells}[source]
+        stored_facts = facts(rows)
+        self.write(
+            load,
+            {f"fact_{source}": stored_facts, f"reject_{source}": star.rejects_of(rows), f"cells_{source}": cells(stored_facts)},
+        )
+        audit = [(load.batch_id, f"fact_{source}", measure, found[measure]) for measure in counts]
         audit.append((load.batch_id, f"fact_{source}", "rows read", found["row_count"]))
         schema = "batch_id string, table_name string, measure string, row_count bigint"
         self.write(load, {"load_audit": self.spark.createDataFrame(audit, schema).coalesce(1)})

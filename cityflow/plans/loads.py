@@ -17,7 +17,10 @@ from cityflow.session import children, delete
 from cityflow.sources.files import read_parquet, write_append
 
 LOAD = "load_id"
-VERSIONED = ("dim_weather", "dim_date", "fact_traffic", "fact_accident", "reject_traffic", "reject_accident", "load_audit")
+VERSIONED = (
+    "dim_weather", "dim_date", "fact_traffic", "fact_accident", "reject_traffic", "reject_accident", "load_audit",
+    "cells_traffic", "cells_accident",
+)
 
 
 @dataclass(frozen=True)

@@ -32,9 +32,9 @@ from cityflow.functions.numeric import (
 )
 from cityflow.functions.temporal import is_peak, time_of_day
 from cityflow.functions.text import columns, literal, one_of
+from cityflow.operators.measures import HOUR, ROWS, Cells, Rows
 from cityflow.operators.star import MONTH, key_time
 
-_HOUR = f"hour({key_time('date_id')})"
 _WIDE = "DECIMAL(38,0)"
 
 
@@ -43,12 +43,14 @@ def _named_zones(totals: DataFrame, location: DataFrame) -> DataFrame:
     return zones.join(totals, "location_id").drop("location_id")
 
 
-def _severity_counts(suffix: str, severities: Sequence[str] = V.SEVERITY_ORDER) -> list[str]:
-    return [f"{hits(f'accident_severity = {literal(s)}')} AS {s.lower()}_{suffix}" for s in severities]
+def _severity_counts(m: Rows, suffix: str, severities: Sequence[str] = V.SEVERITY_ORDER) -> list[str]:
+    return [f"{m.hits(f'accident_severity = {literal(s)}')} AS {s.lower()}_{suffix}" for s in severities]
 
 
 def _stack(accidents: DataFrame, traffic: DataFrame) -> DataFrame:
-    """Both facts in one frame; a row is null in the columns only the other fact has."""
+    """Both facts, or their cells, in one frame; a row is null in the columns only the other one has."""
+    if "n_accidents" in accidents.columns:
+        return accidents.unionByName(traffic, allowMissingColumns=True)
     left = accidents.select(
         "accident_pk", "location_id", "date_id", "accident_severity", "casualties", "severity_score",
         "risk_score", "adverse_weather", "hazardous_road", "is_fatal_or_severe",
@@ -63,24 +65,24 @@ def _stack(accidents: DataFrame, traffic: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- location summary
 
 
-def location_summary(accidents: DataFrame, traffic: DataFrame, location: DataFrame) -> DataFrame:
+def location_summary(accidents: DataFrame, traffic: DataFrame, location: DataFrame, m: Rows = ROWS) -> DataFrame:
     """One row per zone with accidents: accident KPIs, traffic volume and the accident rate."""
-    n, vehicles = "count(accident_pk)", f"coalesce({total('vehicle_count')}, 0)"
+    n, vehicles = m.count("accident_pk"), f"coalesce({m.total('vehicle_count')}, 0)"
     measures = [
         f"{n} AS total_accidents",
-        f"{total('casualties')} AS total_casualties",
-        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
-        f"{sum_fixed('risk_score', 2)} AS total_risk_score",
-        "max(risk_score) AS max_risk_score",
-        f"{avg_of('severity_score', 3)} AS avg_severity_score",
-        *_severity_counts("count"),
-        f"{total('is_fatal_or_severe')} AS fatal_severe_count",
-        f"{percent(total('is_fatal_or_severe'), n)} AS fatal_severe_pct",
-        f"{percent(total('adverse_weather'), n)} AS adverse_weather_pct",
-        f"{percent(total('hazardous_road'), n)} AS hazardous_road_pct",
+        f"{m.total('casualties')} AS total_casualties",
+        f"{m.avg_fixed('risk_score', 3)} AS avg_risk_score",
+        f"{m.sum_fixed('risk_score', 2)} AS total_risk_score",
+        f"{m.top('risk_score')} AS max_risk_score",
+        f"{m.avg_of('severity_score', 3)} AS avg_severity_score",
+        *_severity_counts(m, "count"),
+        f"{m.total('is_fatal_or_severe')} AS fatal_severe_count",
+        f"{percent(m.total('is_fatal_or_severe'), n)} AS fatal_severe_pct",
+        f"{percent(m.total('adverse_weather'), n)} AS adverse_weather_pct",
+        f"{percent(m.total('hazardous_road'), n)} AS hazardous_road_pct",
         f"{vehicles} AS total_vehicles",
-        f"{avg_of('vehicle_count', 1)} AS avg_vehicles_per_reading",
-        f"{avg_fixed('congestion_index', 4)} AS avg_congestion_index",
+        f"{m.avg_of('vehicle_count', 1)} AS avg_vehicles_per_reading",
+        f"{m.avg_fixed('congestion_index', 4)} AS avg_congestion_index",
         f"{ratio(f'{n} * 1000', vehicles, 4)} AS accident_rate_per_1000_vehicles",
     ]
     zones = _stack(accidents, traffic).groupBy("location_id").agg(*columns(measures))
@@ -153,16 +155,21 @@ def location_summary_fanout(accidents: DataFrame, traffic: DataFrame, location:
 # ---------------------------------------------------------------- hourly profile
 
 
+def _with_hour(rows: DataFrame) -> DataFrame:
+    """Cells have the hour; facts have the key of their time."""
+    return rows if "hour" in rows.columns else rows.selectExpr("*", f"{HOUR} AS hour")
+
+
 def _by_hour(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Group by hour of day; the names of the hours are written for the result rows only."""
-    hours = df.selectExpr("*", f"{_HOUR} AS hour").groupBy("hour").agg(*columns(measures))
+    hours = _with_hour(df).groupBy("hour").agg(*columns(measures))
     return hours.selectExpr(
         "hour", f"{time_of_day('hour')} AS time_of_day", f"{is_peak('hour')} AS is_peak_hour",
         "* EXCEPT (hour)",
     )
 
 
-def hourly_profile(accidents: DataFrame, traffic: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+def hourly_profile(accidents: DataFrame, traffic: DataFrame, dates: DataFrame | None = None, m: Rows = ROWS) -> DataFrame:
     """One row per hour of day: traffic and accident measures side by side.
 
     The date dimension also holds the timestamps of rejected rows. With ``dates`` their hours are
@@ -170,25 +177,26 @@ def hourly_profile(accidents: DataFrame, traffic: DataFrame, dates: DataFrame |
     """
     stacked = _stack(accidents, traffic)
     if dates is not None:
-        stacked = stacked.unionByName(dates.select("date_id"), allowMissingColumns=True)
-    readings, n = "count(traffic_pk)", "count(accident_pk)"
+        listed = dates.select("date_id") if m is ROWS else dates.selectExpr(f"{HOUR} AS hour")
+        stacked = stacked.unionByName(listed, allowMissingColumns=True)
+    readings, n = m.count("traffic_pk"), m.count("accident_pk")
     return _by_hour(
         stacked,
         [
             f"{readings} AS sensor_reading_count",
-            f"{avg_of('vehicle_count', 1)} AS avg_vehicles",
-            "max(vehicle_count) AS peak_vehicles",
-            f"{avg_of('average_speed', 1)} AS avg_speed_kmh",
-            "min(average_speed) AS min_speed_kmh",
-            f"{avg_fixed('congestion_index', 4)} AS avg_congestion_index",
-            "max(congestion_index) AS max_congestion_index",
-            percent(hits("congestion_level = 'High'"), readings) + " AS high_congestion_pct",
+            f"{m.avg_of('vehicle_count', 1)} AS avg_vehicles",
+            f"{m.top('vehicle_count')} AS peak_vehicles",
+            f"{m.avg_of('average_speed', 1)} AS avg_speed_kmh",
+            f"{m.low('average_speed')} AS min_speed_kmh",
+            f"{m.avg_fixed('congestion_index', 4)} AS avg_congestion_index",
+            f"{m.top('congestion_index')} AS max_congestion_index",
+            percent(m.hits("congestion_level = 'High'"), readings) + " AS high_congestion_pct",
             f"{n} AS accident_count",
-            f"{total('casualties')} AS total_casualties",
-            f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
-            "max(risk_score) AS max_risk_score",
-            f"{total('is_fatal_or_severe')} AS fatal_severe_count",
-            f"{percent(total('is_fatal_or_severe'), n)} AS fatal_severe_pct",
+            f"{m.total('casualties')} AS total_casualties",
+            f"{m.avg_fixed('risk_score', 3)} AS avg_risk_score",
+            f"{m.top('risk_score')} AS max_risk_score",
+            f"{m.total('is_fatal_or_severe')} AS fatal_severe_count",
+            f"{percent(m.total('is_fatal_or_severe'), n)} AS fatal_severe_pct",
         ],
     )
 
@@ -227,28 +235,34 @@ def hourly_profile_fanout(accidents: DataFrame, traffic: DataFrame) -> DataFrame
 
 # ---------------------------------------------------------------- single-fact views
 
-_N = "count(*)"
-_SEVERE_PCT = f"{percent(total('is_fatal_or_severe'), _N)} AS fatal_severe_pct"
-_CONDITION_PCTS = [
-    f"{percent(total('adverse_weather'), _N)} AS adverse_weather_pct",
-    f"{percent(total('hazardous_road'), _N)} AS hazardous_road_pct",
-]
-_PEAK_PCT = f"{percent(total('is_peak_hour'), _N)} AS peak_hour_pct"
+def _severe_pct(m: Rows) -> str:
+    return f"{percent(m.total('is_fatal_or_severe'), m.n)} AS fatal_severe_pct"
+
+
+def _condition_pcts(m: Rows) -> list[str]:
+    return [
+        f"{percent(m.total('adverse_weather'), m.n)} AS adverse_weather_pct",
+        f"{percent(m.total('hazardous_road'), m.n)} AS hazardous_road_pct",
+    ]
+
 
+def _peak_pct(m: Rows) -> str:
+    return f"{percent(m.total('is_peak_hour'), m.n)} AS peak_hour_pct"
 
-def monthly_trend(accidents: DataFrame) -> DataFrame:
+
+def monthly_trend(accidents: DataFrame, m: Rows = ROWS) -> DataFrame:
     """One row per calendar month. Month names are written for the result rows only."""
     measures = [
-        f"{_N} AS total_accidents",
-        f"{total('casualties')} AS total_casualties",
-        f"{avg_of('casualties', 2)} AS avg_casualties_per_accident",
-        *_severity_counts("accidents"),
-        f"{total('is_fatal_or_severe')} AS fatal_severe_count",
-        _SEVERE_PCT,
-        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
-        f"{sum_fixed('risk_score', 2)} AS total_risk_score",
-        *_CONDITION_PCTS,
-        _PEAK_PCT,
+        f"{m.n} AS total_accidents",
+        f"{m.total('casualties')} AS total_casualties",
+        f"{m.avg_of('casualties', 2)} AS avg_casualties_per_accident",
+        *_severity_counts(m, "accidents"),
+        f"{m.total('is_fatal_or_severe')} AS fatal_severe_count",
+        _severe_pct(m),
+        f"{m.avg_fixed('risk_score', 3)} AS avg_risk_score",
+        f"{m.sum_fixed('risk_score', 2)} AS total_risk_score",
+        *_condition_pcts(m),
+        _peak_pct(m),
     ]
     # the month that stored facts are partitioned by lets a filter on it leave other months unread
     month = MONTH if MONTH in accidents.columns else f"trunc({key_time('date_id')}, 'month')"
@@ -263,76 +277,76 @@ def monthly_trend(accidents: DataFrame) -> DataFrame:
     )
 
 
-def congestion_hotspots(traffic: DataFrame, location: DataFrame) -> DataFrame:
+def congestion_hotspots(traffic: DataFrame, location: DataFrame, m: Rows = ROWS) -> DataFrame:
     """One row per zone and day period."""
     measures = [
-        f"{_N} AS sensor_readings",
-        f"{avg_of('vehicle_count', 1)} AS avg_vehicles",
-        "max(vehicle_count) AS peak_vehicles",
-        f"{avg_of('average_speed', 1)} AS avg_speed_kmh",
-        "min(average_speed) AS min_speed_kmh",
-        f"{avg_fixed('congestion_index', 4)} AS avg_congestion_index",
-        "max(congestion_index) AS max_congestion_index",
+        f"{m.n} AS sensor_readings",
+        f"{m.avg_of('vehicle_count', 1)} AS avg_vehicles",
+        f"{m.top('vehicle_count')} AS peak_vehicles",
+        f"{m.avg_of('average_speed', 1)} AS avg_speed_kmh",
+        f"{m.low('average_speed')} AS min_speed_kmh",
+        f"{m.avg_fixed('congestion_index', 4)} AS avg_congestion_index",
+        f"{m.top('congestion_index')} AS max_congestion_index",
         *[
-            percent(hits(f"congestion_level = '{level}'"), _N) + f" AS {level.lower()}_congestion_pct"
+            percent(m.hits(f"congestion_level = '{level}'"), m.n) + f" AS {level.lower()}_congestion_pct"
             for level in ("High", "Moderate", "Low")
         ],
     ]
-    timed = traffic.selectExpr("*", f"{_HOUR} AS hour").selectExpr(
+    timed = _with_hour(traffic).selectExpr(
         "*", f"{time_of_day('hour')} AS time_of_day", f"{is_peak('hour')} AS is_peak_hour"
     )
     cells = timed.groupBy("location_id", "time_of_day", "is_peak_hour").agg(*columns(measures))
     return _named_zones(cells, location)
 
 
-def weather_risk(accidents: DataFrame, weather: DataFrame) -> DataFrame:
+def weather_risk(accidents: DataFrame, weather: DataFrame, m: Rows = ROWS) -> DataFrame:
     """One row per weather and road condition."""
     measures = [
-        f"{_N} AS accidents",
-        f"{total('casualties')} AS total_casualties",
-        f"{avg_of('casualties', 2)} AS avg_casualties",
-        f"{avg_of('severity_score', 3)} AS avg_severity_score",
-        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
-        "max(risk_score) AS max_risk_score",
-        *_severity_counts("count", V.FATAL_OR_SEVERE),
-        f"{total('is_fatal_or_severe')} AS fatal_severe_count",
-        _SEVERE_PCT,
+        f"{m.n} AS accidents",
+        f"{m.total('casualties')} AS total_casualties",
+        f"{m.avg_of('casualties', 2)} AS avg_casualties",
+        f"{m.avg_of('severity_score', 3)} AS avg_severity_score",
+        f"{m.avg_fixed('risk_score', 3)} AS avg_risk_score",
+        f"{m.top('risk_score')} AS max_risk_score",
+        *_severity_counts(m, "count", V.FATAL_OR_SEVERE),
+        f"{m.total('is_fatal_or_severe')} AS fatal_severe_count",
+        _severe_pct(m),
     ]
     cells = accidents.groupBy("weather_id", "road_condition", "hazardous_road").agg(*columns(measures))
     named = weather.selectExpr("weather_id", "weather_condition", "is_adverse AS is_adverse_weather")
     return named.join(cells, "weather_id").drop("weather_id").withColumnRenamed("hazardous_road", "is_hazardous_road")
 
 
-def severity_by_location(accidents: DataFrame, location: DataFrame) -> DataFrame:
+def severity_by_location(accidents: DataFrame, location: DataFrame, m: Rows = ROWS) -> DataFrame:
     """One row per zone and severity, with its share of the zone's accidents."""
     measures = [
-        f"{_N} AS accident_count",
-        f"{total('casualties')} AS total_casualties",
-        f"{avg_of('casualties', 2)} AS avg_casualties",
-        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
-        f"{sum_fixed('risk_score', 2)} AS total_risk_score",
-        *_CONDITION_PCTS,
+        f"{m.n} AS accident_count",
+        f"{m.total('casualties')} AS total_casualties",
+        f"{m.avg_of('casualties', 2)} AS avg_casualties",
+        f"{m.avg_fixed('risk_score', 3)} AS avg_risk_score",
+        f"{m.sum_fixed('risk_score', 2)} AS total_risk_score",
+        *_condition_pcts(m),
     ]
     cells = accidents.groupBy("location_id", "accident_severity").agg(*columns(measures))
     share = percent("accident_count", "sum(accident_count) OVER (PARTITION BY location_name)")
     return _named_zones(cells, location).selectExpr("*", f"{share} AS pct_of_location_total")
 
 
-def road_condition_risk(accidents: DataFrame) -> DataFrame:
+def road_condition_risk(accidents: DataFrame, m: Rows = ROWS) -> DataFrame:
     """One row per road condition."""
     measures = [
-        "max(hazardous_road) AS is_hazardous",
-        f"{_N} AS total_accidents",
-        f"{total('casualties')} AS total_casualties",
-        f"{avg_of('casualties', 2)} AS avg_casualties",
-        f"{avg_fixed('risk_score', 3)} AS avg_risk_score",
-        "max(risk_score) AS max_risk_score",
-        f"{avg_of('severity_score', 3)} AS avg_severity_score",
-        *_severity_counts("count", V.FATAL_OR_SEVERE),
-        f"{total('is_fatal_or_severe')} AS fatal_severe_count",
-        _SEVERE_PCT,
-        f"{avg_of('traffic_density_num', 3)} AS avg_traffic_density_num",
-        _PEAK_PCT,
+        f"{m.top('hazardous_road')} AS is_hazardous",
+        f"{m.n} AS total_accidents",
+        f"{m.total('casualties')} AS total_casualties",
+        f"{m.avg_of('casualties', 2)} AS avg_casualties",
+        f"{m.avg_fixed('risk_score', 3)} AS avg_risk_score",
+        f"{m.top('risk_score')} AS max_risk_score",
+        f"{m.avg_of('severity_score', 3)} AS avg_severity_score",
+        *_severity_counts(m, "count", V.FATAL_OR_SEVERE),
+        f"{m.total('is_fatal_or_severe')} AS fatal_severe_count",
+        _severe_pct(m),
+        f"{m.avg_of('traffic_density_num', 3)} AS avg_traffic_density_num",
+        _peak_pct(m),
     ]
     return accidents.groupBy("road_condition").agg(*columns(measures))
 
@@ -351,8 +365,8 @@ def ml_location_risk(risk: DataFrame, dangerous_from: float = V.DANGEROUS_FROM)
         ],
         f"{total('predicted_class')} AS predicted_fatal_severe",
         f"{total('actual_fatal_severe')} AS actual_fatal_severe",
-        f"{percent(total('actual_fatal_severe'), _N, 2)} AS actual_fatal_severe_pct",
-        f"{_N} AS total_accidents",
+        f"{percent(total('actual_fatal_severe'), "count(*)", 2)} AS actual_fatal_severe_pct",
+        "count(*) AS total_accidents",
         f"IF(sum({units('predicted_risk_prob')}) >= {limit}, 'Dangerous', 'Caution') AS safety_rating",
     ]
     return risk.groupBy("location_name").agg(*columns(measures))
@@ -391,24 +405,24 @@ def all_row_counts(
     month = MONTH if MONTH in accidents.columns else f"trunc({key_time('date_id')}, 'month')"
     found = [
         _keys(
-            accidents,
+            _with_hour(accidents),
             {
-                "vw_location_summary": ["location_id"], "vw_hourly_profile": [_HOUR], "vw_monthly_trend": [month],
+                "vw_location_summary": ["location_id"], "vw_hourly_profile": ["hour"], "vw_monthly_trend": [month],
                 "vw_weather_risk": ["weather_id", "road_condition", "hazardous_road"],
                 "vw_severity_by_location": ["location_id", "accident_severity"], "vw_road_condition_risk": ["road_condition"],
             },
         ),
         _keys(
-            traffic,
+            _with_hour(traffic),
             {
-                "vw_hourly_profile": [_HOUR],
-                "vw_congestion_hotspots": ["location_id", time_of_day(_HOUR), is_peak(_HOUR)],
+                "vw_hourly_profile": ["hour"],
+                "vw_congestion_hotspots": ["location_id", time_of_day("hour"), is_peak("hour")],
             },
         ),
         _keys(risk, {"vw_ml_location_risk": ["location_name"]}),
     ]
     if dates is not None:
-        found.append(_keys(dates, {"vw_hourly_profile": [_HOUR]}))
+        found.append(_keys(dates, {"vw_hourly_profile": [HOUR]}))
     keys = reduce(DataFrame.unionByName, found).distinct()
     zones = location.selectExpr("CAST(location_id AS STRING) AS a", "true AS zone")
     kinds = weather.selectExpr("CAST(weather_id AS STRING) AS a", "true AS kind")
@@ -450,14 +464,17 @@ def all_views(
     risk: DataFrame,
     dates: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
+    """The eight views, over facts or over their cells (see ``measures``)."""
+    over_cells = "n_accidents" in accidents.columns
+    m, of_traffic = (Cells("n_accidents"), Cells("n_readings")) if over_cells else (ROWS, ROWS)
     return {
-        "vw_location_summary": location_summary(accidents, traffic, location),
-        "vw_hourly_profile": hourly_profile(accidents, traffic, dates),
-        "vw_monthly_trend": monthly_trend(accidents),
-        "vw_congestion_hotspots": congestion_hotspots(traffic, location),
-        "vw_weather_risk": weather_risk(accidents, weather),
-        "vw_severity_by_location": severity_by_location(accidents, location),
-        "vw_road_condition_risk": road_condition_risk(accidents),
+        "vw_location_summary": location_summary(accidents, traffic, location, m),
+        "vw_hourly_profile": hourly_profile(accidents, traffic, dates, m),
+        "vw_monthly_trend": monthly_trend(accidents, m),
+        "vw_congestion_hotspots": congestion_hotspots(traffic, location, of_traffic),
+        "vw_weather_risk": weather_risk(accidents, weather, m),
+        "vw_severity_by_location": severity_by_location(accidents, location, m),
+        "vw_road_condition_risk": road_condition_risk(accidents, m),
         "vw_ml_location_risk": ml_location_risk(risk),
     }
 

@@ -166,19 +166,28 @@ def open_audit(spark: SparkSession, path: str) -> DataFrame:
     return loads.of_loads(read_parquet(spark, f"{path}/load_audit", LOAD_AUDIT), loads.visible(spark, path))
 
 
+def open_cells(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
+    """Cells of accidents and readings of the visible loads, written with each of them; none if there are no loads."""
+    seen = loads.visible(spark, path)
+    if not seen:
+        return None
+    accidents, traffic = (loads.of_loads(spark.read.parquet(f"{path}/cells_{name}"), seen) for name in ("accident", "traffic"))
+    return accidents.drop(loads.LOAD), traffic.drop(loads.LOAD)
+
+
 def open_views(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Register the stored tables, the eight views and the two as-written ones over them, in their
-    presentation order, and the audit of the views' row counts, for ``spark.sql``."""
+    presentation order, and the audit of the views' row counts, for ``spark.sql``.
+
+    Where the warehouse was loaded in batches, views merge the cells that every load left, so their cost
+    follows the number of cells and not of facts; the as-written ones need the facts.
+    """
     tables = open_tables(spark, path)
     accidents, traffic, location = tables["fact_accident"], tables["fact_traffic"], tables["dim_location"]
-    over = views.all_views(
-        accidents, traffic, location, tables["dim_weather"], tables["ml_accident_risk"], tables["dim_date"]
-    )
-    counts = {
-        "vw_row_counts": views.all_row_counts(
-            accidents, traffic, location, tables["dim_weather"], tables["ml_accident_risk"], tables["dim_date"]
-        )
-    }
+    basis = open_cells(spark, path) or (accidents, traffic)
+    others = location, tables["dim_weather"], tables["ml_accident_risk"], tables["dim_date"]
+    over = views.all_views(*basis, *others)
+    counts = {"vw_row_counts": views.all_row_counts(*basis, *others)}
     literal = {
         "vw_location_summary_fanout": views.location_summary_fanout(accidents, traffic, location),
         "vw_hourly_profile_fanout": views.hourly_profile_fanout(accidents, traffic),

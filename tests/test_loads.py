@@ -6,7 +6,7 @@ import pytest
 
 from cityflow.catalog import queries as Q
 from cityflow.operators import star
-from cityflow.plans import jobs, loads
+from cityflow.plans import jobs, loads, views
 from cityflow.plans.warehouse import open_audit, open_rejects, open_tables, open_views
 from test_jobs import HEADER, SENSOR
 
@@ -91,6 +91,20 @@ def test_a_month_is_all_that_is_read(spark, warehouse):
     assert joined.first()[0] == tables["fact_accident"].filter("month(month_start) = 3").count() == 1
 
 
+def test_views_of_cells_equal_views_of_facts(spark, warehouse):
+    tables = open_tables(spark, warehouse)
+    others = [tables[name] for name in ("dim_location", "dim_weather", "ml_accident_risk", "dim_date")]
+    facts = views.all_views(tables["fact_accident"], tables["fact_traffic"], *others)
+    merged = open_views(spark, warehouse)
+    for name, view in facts.items():
+        assert merged[name].dtypes == view.dtypes, name
+        assert sorted(map(str, merged[name].collect())) == sorted(map(str, view.collect())), name
+    plan = merged["vw_monthly_trend"]._jdf.queryExecution().executedPlan().toString()
+    assert "cells_accident" in plan and "fact_accident" not in plan
+    counts = {name: view.count() for name, view in facts.items()}
+    assert {r.view_name: r.row_count for r in spark.sql("SELECT * FROM vw_row_counts").collect()} == counts
+
+
 def test_a_batch_again_or_a_load_that_fails_changes_nothing(spark, batches, warehouse, monkeypatch):
     once = state(spark, warehouse)
     jobs.append_job(spark, *batches["two"], warehouse, check=False)
