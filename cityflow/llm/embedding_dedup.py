@@ -44,12 +44,18 @@ LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
 LEAST_RECALL = 0.99
 TRIED, TRIAL_PAIRS, AROUND = 1024, 2048, 32
 BLOCK = 384
+LONG = 4 * BLOCK
 
-_GROUP = ("label", "dim", "pivot", "i", "j")
+_GROUP = ("label", "dim", "pivot", "second", "i", "j")
+_LIST = ["label", "dim", "pivot"]
 _FOUND = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
 
 
 def units(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one. They are first scaled by a power of two, which rounds nothing, so that squares of
+    very large or small components stay in range."""
+    largest = np.abs(rows).max(axis=1, initial=0)
+    rows = np.ldexp(rows, -np.frexp(largest)[1][:, None])
     return rows / np.linalg.norm(rows, axis=1)[:, None]
 
 
@@ -152,13 +158,14 @@ def spanning(near: np.ndarray) -> np.ndarray:
         root = low
 
 
-def links_of_group(nodes, sizes, nearest, vectors, blocks, pivot: int, i: int, j: int, cosine: float):
-    """node, root, links for the members of a pair of blocks of one pivot's list that link."""
+def links_of_group(nodes, sizes, nearest, vectors, blocks, pivot: int, second: int, i: int, j: int, cosine: float):
+    """node, root, links for the members of a pair of blocks of a list that link: one pivot's, or that of two."""
     needed = SHARED if len(nearest[0]) >= NEAREST else 1
     columns, place = np.unique(nearest, return_inverse=True)
     has = np.zeros((len(nodes), len(columns)), np.float32)
     np.put_along_axis(has, place.reshape(nearest.shape), 1, axis=1)
-    lower = has[:, columns < pivot]
+    # the list of a pair's first common pivot has it, or that of its first two
+    lower = has[:, (columns < pivot) | (columns > pivot) & (columns < second)]
     near = (vectors @ vectors.T >= cosine) & (has @ has.T >= needed) & (lower @ lower.T == 0)
     near &= (blocks[:, None] != blocks[None, :]) if i != j else True
     np.fill_diagonal(near, False)
@@ -174,14 +181,21 @@ def links(posted: DataFrame, cosine: float) -> DataFrame:
     entries = posted.selectExpr(
         "*", f"explode(IF(size(nearest) < {NEAREST}, nearest, slice(array_sort(nearest), 1, {NEAREST - SHARED + 1}))) AS pivot"
     )
-    lists = entries.groupBy("label", "dim", "pivot").agg(F.count("*").alias("n")).filter("n > 1")
-    blocks = saved(lists.selectExpr("label", "dim", "pivot", f"CAST(ceil(n / {BLOCK}) AS int) AS blocks"), "pivot-lists")
+    lists = saved(entries.groupBy(*_LIST).agg(F.count("*").alias("n")).filter("n > 1"), "pivot-lists")
+    # an overlong list is dealt by a second common pivot, where vectors have to share two
+    seconds = f"IF(n > {LONG} AND size(nearest) >= {NEAREST}, filter(nearest, x -> x > pivot), array(-1))"
+    listed = entries.join(lists, _LIST).selectExpr("*", f"explode({seconds}) AS second").drop("n")
+    both = [*_LIST, "second"]
+    blocks = saved(
+        listed.groupBy(*both).agg(F.count("*").alias("n")).filter("n > 1").selectExpr(*both, f"CAST(ceil(n / {BLOCK}) AS int) AS blocks"),
+        "pivot-blocks",
+    )
     dealt = (
-        entries.join(blocks, ["label", "dim", "pivot"])
+        listed.join(blocks, both)
         .withColumn("block", F.expr("CAST(pmod(xxhash64(node, pivot), blocks) AS int)"))
         .selectExpr("*", "explode(sequence(0, blocks - 1)) AS other")
         .selectExpr(
-            "label", "dim", "pivot", "least(block, other) AS i", "greatest(block, other) AS j",
+            *both, "least(block, other) AS i", "greatest(block, other) AS j",
             "node", "size", "nearest", "block", "v",
         )
         .repartition(*_GROUP)
@@ -192,10 +206,10 @@ def links(posted: DataFrame, cosine: float) -> DataFrame:
         def result(group: pa.Table):
             if len(group) < 2:
                 return
-            _, _, pivot, i, j = (group[name][0].as_py() for name in _GROUP)
+            pivot, second, i, j = (group[name][0].as_py() for name in _GROUP[2:])
             found = links_of_group(
                 group["node"].to_numpy(), group["size"].to_numpy(), matrix(group["nearest"].combine_chunks()),
-                units(matrix(group["v"].combine_chunks())), group["block"].to_numpy(), pivot, i, j, cosine,
+                units(matrix(group["v"].combine_chunks())), group["block"].to_numpy(), pivot, second, i, j, cosine,
             )
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=_FOUND)
@@ -227,15 +241,13 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
         .select("label", F.expr("size(v)").alias("dim"), "v", "low", "size", F.monotonically_increasing_id().alias("node")),
         "vectors",
     )
-    # at most SAMPLE vectors come to the driver
-    number = distinct.count()
-    sample: dict[int, list] = {}
-    for row in distinct.orderBy(F.xxhash64("v"), "label").limit(SAMPLE).select("v").collect():
-        sample.setdefault(len(row["v"]), []).append(row["v"])
-    wanted = int(np.clip(4 * np.sqrt(number), LEAST_PIVOTS, MOST_PIVOTS))
-    pivots = {
-        dim: reliable(pivots_of(np.array(vs), wanted), np.array(vs), cosine) for dim, vs in sample.items() if len(vs) > NEAREST
-    }
+    # at most SAMPLE vectors of a length come to the driver
+    pivots = {}
+    for dim, number in distinct.groupBy("dim").agg(F.count("*").alias("n")).filter(f"n > {NEAREST}").collect():
+        sample = distinct.filter(F.col("dim") == dim).orderBy(F.xxhash64("v"), "label").limit(SAMPLE).select("v").collect()
+        vectors = np.array([row["v"] for row in sample])
+        wanted = int(np.clip(4 * np.sqrt(number), LEAST_PIVOTS, MOST_PIVOTS))
+        pivots[dim] = reliable(pivots_of(vectors, wanted), vectors, cosine)
     found = saved(links(postings(distinct, pivots), cosine), "vector-links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     member = saved(components(found.select("node", "root")), "vector-members")

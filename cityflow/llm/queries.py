@@ -153,6 +153,21 @@ ORACLES = {
                    + CASE WHEN {_CONFLICT.format("text")} THEN length({_ESCAPED.format("text")}) ELSE length(text) END)
                    AS BIGINT) AS formatted_chars
         FROM r GROUP BY conv_id""",
+    "op1_embedding_near_dedup": f"""
+        WITH RECURSIVE v AS (
+            SELECT row_number() OVER () AS id, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        valid AS (
+            SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.id AS a, b.id AS b FROM valid a JOIN valid b ON a.label = b.label AND len(a.e) = len(b.e) AND a.id <> b.id
+            WHERE list_cosine_similarity(a.e, b.e) >= {embedding_dedup.COSINE}),
+        reached AS (
+            SELECT id AS start, id AS node FROM v
+            UNION SELECT r.start, l.b FROM reached r JOIN links l ON l.a = r.node)
+        SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.id) AS n_links, c.component_id,
+               v.vec_id = c.component_id AS kept
+        FROM v JOIN (SELECT start, min(m.vec_id) AS component_id FROM reached JOIN v m ON m.id = node GROUP BY start) c ON c.start = v.id""",
     "op9_line_dedup": f"""
         WITH l AS (
             SELECT d.rowid AS id, d.source AS site, u.line, u.pos

@@ -106,3 +106,37 @@ def test_pivots_are_spread():
 def test_registered_query_equals_all_pairs(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert result(QUERIES["op1_embedding_near_dedup"](spark, sf_dir)) == expected(rows)
+
+
+def test_overlong_lists_are_dealt_by_a_second_pivot(spark, monkeypatch):
+    """The same links, whether lists are split by blocks alone or by a second pivot first."""
+    rng = np.random.default_rng(8)
+    centres = e.units(rng.normal(size=(150, 24)))
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(np.concatenate([around(rng, c, 6, 0.975) for c in centres]))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(4)
+    whole = result(e.near_duplicates(frame))
+    monkeypatch.setattr(e, "LONG", 8)
+    monkeypatch.setattr(e, "BLOCK", 16)
+    assert result(e.near_duplicates(frame)) == whole
+    assert sum(r[1] for r in whole) > 1000
+
+
+def test_large_and_small_components(spark):
+    rng = np.random.default_rng(9)
+    one = e.units(rng.normal(size=(20, 8)))
+    rows = []
+    for k, v in enumerate(one):
+        rows += [(2 * k, (v * 10.0 ** rng.integers(-300, 300)).tolist(), k), (2 * k + 1, (around(rng, v, 1, 0.95)[0] * 1e200).tolist(), k)]
+    found = e.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()
+    assert all(r["n_links"] == 1 and r["component_id"] == r["vec_id"] // 2 * 2 for r in found)
+
+
+def test_every_length_has_pivots_of_its_own(spark, monkeypatch):
+    """Also a length that a common sample would hardly hold."""
+    made = []
+    monkeypatch.setattr(e, "SAMPLE", 64)
+    monkeypatch.setattr(e, "pivots_of", lambda sample, number, f=e.pivots_of: made.append(sample.shape) or f(sample, number))
+    rng = np.random.default_rng(10)
+    rows = [(k, rng.normal(size=6 if k % 40 == 0 else 12).tolist(), 1) for k in range(1600)]
+    found = result(e.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")))
+    assert sorted(made) == [(40, 6), (64, 12)] and len(found) == 1600
