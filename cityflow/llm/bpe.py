@@ -5,7 +5,8 @@ computes that number: what comes later can change a token boundary only through
 that reaches back to it. Each link of the chain is a rule of higher rank whose right part is the
 left part or the product of the link before, so the longest such chain, measured in symbols, bounds
 the influence. A boundary further back than that is final, everything before it is emitted, and the
-buffer starts anew there. Memory does not depend on the text's length. Most words are shorter than
+buffer starts anew there. Texts are taken in blocks cut at white space, so beside the text and its tokens
+memory grows with the longest stretch without white space alone. Most words are shorter than
 the lookahead and end, as the word's end is a boundary in any case; their tokens are remembered.
 
 The decoder is a state machine over token bytes: it keeps an unfinished UTF-8 character (and whether

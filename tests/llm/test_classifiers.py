@@ -169,7 +169,7 @@ def test_sparse_sites_shrink_more():
 
 
 def test_registered_classifiers_agree_with_the_labels(spark):
-    """On the benchmark tables: held-out labels are those beyond the sample of the fit."""
+    """On the benchmark tables, whose labels are all in the sample of the fit: accuracy in training."""
     sf_dir = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     toxic = QUERIES["op2_toxicity_chain"](spark, sf_dir).join(labels, "doc_id")
