@@ -5,6 +5,7 @@ import contextlib
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from cityflow.session import scratch_path
 
-AT = "__at"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -25,29 +25,33 @@ def ascii_lower(text):
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage is cut and a lost executor
     costs no recomputation, as the files outlive it."""
-    path = scratch_path(df.sparkSession, name)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with the file and row number of each row in the column ``AT``.
+def located(docs: DataFrame, landing: str | None = None, **expressions: str) -> DataFrame:
+    """``doc`` (all columns of ``docs``, whatever their names), ``at`` (file and row number) and SQL
+    expressions over ``docs`` of every row.
 
-    A frame that does not come straight from Parquet files is written to the shared folder first,
-    so that a retried task finds every row at the same place.
+    A frame that does not come straight from Parquet files is written to the shared folder first, or to
+    ``landing``, so that a retried task finds every row at the same place.
     """
-    if AT in docs.columns:
-        return docs
-    at = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    further = [F.expr(text).alias(name) for name, text in expressions.items()]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        file = rows.metadataColumn("_metadata")  # also beside a column of that name
+        at = F.struct(file.getField("file_path").alias("file"), file.getField("row_index").alias("row"))
+        return rows.select(whole, at.alias("at"), *further)
+
     try:
-        return docs.withColumn(AT, at)
+        return placed(docs)
     except AnalysisException:
-        return saved(docs, "landed").withColumn(AT, at)
+        return placed(saved(docs, "landed", landing))
 
 
 @contextlib.contextmanager

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import AT, ascii_lower, columns_of, located, per_batch, saved, settings
-from cityflow.session import scratch_path
+from cityflow.llm.common import ascii_lower, columns_of, located, per_batch, saved, settings
+from cityflow.session import children, scratch_path
 
 FILES_PER_BATCH = 1000
 _STATE = "spark.sql.streaming.stateStore."
@@ -30,6 +30,7 @@ _SETTINGS = {
     f"{_STATE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{_STATE}rocksdb.allowFAllocate": "false",
 }
+_SHARES = 16
 _AT = "struct<file: string, row: bigint>"
 
 
@@ -48,19 +49,18 @@ def digested(rows: DataFrame, digest: Callable[[bytes], bytes]) -> DataFrame:
             "digest": [digest((t or b"").lower()) for t in texts]
         }
 
-    bare = rows.selectExpr("CAST(doc_id AS bigint) doc_id", "CAST(text AS binary) text", f"{AT}.file file", f"{AT}.row row")
+    bare = rows.selectExpr("CAST(doc.doc_id AS bigint) doc_id", "CAST(doc.text AS binary) text", "at.file file", "at.row row")
     return bare.mapInArrow(per_batch(columns, schema), "doc_id bigint, digest binary, file string, row bigint").selectExpr(
         "doc_id", "digest", "struct(file, row) at"
     )
 
 
-def retained(spark: SparkSession, intake: str, files_per_batch: int) -> DataFrame:
+def retained(spark: SparkSession, intake: str, checkpoint: str, files_per_batch: int) -> DataFrame:
     """digest, keep (doc_id and locator of the row that stays) and rows seen, read from the state.
 
-    The stream takes the intake files in batches of ``files_per_batch`` and commits each one, so a
-    restart goes on behind the last batch. Its sink discards: the state is the result.
+    The stream takes the intake files in batches of ``files_per_batch`` and commits each one in
+    ``checkpoint``, where it goes on behind the last batch. Its sink discards: the state is the result.
     """
-    checkpoint = scratch_path(spark, "exact-dedup-state")
     with settings(spark, _SETTINGS):
         query = (
             spark.readStream.schema(f"doc_id bigint, digest binary, at {_AT}")
@@ -75,45 +75,79 @@ def retained(spark: SparkSession, intake: str, files_per_batch: int) -> DataFram
             .start()
         )
         query.awaitTermination()
-    if query.lastProgress is None:
+    if not children(spark, f"{checkpoint}/state"):
         return spark.createDataFrame([], f"digest binary, keep struct<doc_id: bigint, at: {_AT}>, seen bigint")
     state = spark.read.format("statestore").load(checkpoint)
     keep, seen = state.schema["value"].dataType.names
     return state.select("key.digest", F.col(f"value.`{keep}`").alias("keep"), F.col(f"value.`{seen}`").alias("seen"))
 
 
+def _texts(rows: DataFrame) -> DataFrame:
+    """Locator and normalised text, of which it takes part in comparisons as bytes."""
+    return rows.select("at", ascii_lower(F.coalesce("doc.text", F.lit(""))).alias("text"))
+
+
 def collided(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Digests under which not all rows have the same bytes: the hits' texts are fetched by locator,
-    and the smallest and the largest text of a digest, combined before the shuffle, must be one."""
+    and the smallest and the largest text of a digest must be one.
+
+    They are combined within a task, then among a share of the tasks, then altogether, so a digest that all
+    tasks have seen sends a few texts to each of several tasks.
+    """
     hits = members.filter("seen > 1").select("digest", "at")
+    extremes = [F.min("first").alias("first"), F.max("last").alias("last")]
     return (
-        hits.join(rows.select(F.col(AT).alias("at"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text")), "at")
+        hits.join(_texts(rows), "at")
+        .selectExpr("digest", "text AS first", "text AS last", f"spark_partition_id() % {_SHARES} AS share")
+        .groupBy("digest", "share")
+        .agg(*extremes)
         .groupBy("digest")
-        .agg(F.min("text").alias("first"), F.max("text").alias("last"))
+        .agg(*extremes)
         .filter("first <> last")
         .select("digest")
     )
 
 
+def _arrive(rows: DataFrame, digest: Callable[[bytes], bytes], intake: str) -> DataFrame:
+    """Add rows of files that have not arrived before; returns all that have."""
+    spark, schema = rows.sparkSession, f"doc_id bigint, digest binary, at {_AT}"
+    if children(spark, intake):
+        before = spark.read.schema(schema).parquet(intake).select(F.col("at.file").alias("file")).distinct()
+        rows = rows.join(before, F.col("at.file") == F.col("file"), "left_anti")
+    digested(rows, digest).write.mode("append").parquet(intake)
+    return spark.read.schema(schema).parquet(intake)
+
+
 def deduplicate(
     docs: DataFrame,
     digest: Callable[[bytes], bytes] = sha256,
     files_per_batch: int = FILES_PER_BATCH,
+    folder: str | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, at, keep_id, group_size, kept, digest."""
-    spark = docs.sparkSession
-    rows = located(docs)
-    intake = scratch_path(spark, "exact-dedup-intake")
-    digested(rows, digest).write.parquet(intake)
-    arrived = spark.read.schema(f"doc_id bigint, digest binary, at {_AT}").parquet(intake)
-    members = arrived.join(retained(spark, intake, files_per_batch), "digest")
+    """One row per row of ``docs`` (doc_id, text): doc_id, at, keep_id, group_size, kept, digest.
+
+    ``folder`` (in the store that the cluster shares) keeps digests and state. Given again with further
+    documents, the stream goes on from there and the result covers the documents of all calls; files
+    that arrived before are not taken twice. Without it every call starts anew.
+    """
+    return _deduplicated(located(docs, folder and f"{folder}/landed"), digest, files_per_batch, folder)
+
+
+def _deduplicated(rows: DataFrame, digest: Callable[[bytes], bytes], files_per_batch: int, folder: str | None) -> DataFrame:
+    spark = rows.sparkSession
+    home = folder or scratch_path(spark, "exact-dedup")
+    arrived = _arrive(rows, digest, f"{home}/intake")
+    if folder:
+        files = [r["file"] for r in arrived.select("at.file").distinct().collect()]  # names, as a reader lists them
+        if files:
+            rows = located(spark.read.parquet(*files))
+    state = retained(spark, f"{home}/intake", f"{home}/checkpoint", files_per_batch)
+    members = saved(arrived.join(state, "digest"), "exact-dedup-members")
     clash = saved(collided(rows, members), "exact-dedup-clash")
     result = ["doc_id", "at", "keep.doc_id AS keep_id", "seen AS group_size", "at <=> keep.at AS kept", "digest"]
     if clash.isEmpty():
         return members.selectExpr(*result)
-    unlike = arrived.join(clash, "digest", "left_semi").join(
-        rows.select(F.col(AT).alias("at"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text")), "at"
-    )
+    unlike = arrived.join(clash, "digest", "left_semi").join(_texts(rows), "at")
     groups = unlike.groupBy("digest", "text").agg(
         F.max(F.struct("doc_id", "at")).alias("keep"), F.count(F.lit(1)).alias("seen")
     )
@@ -127,5 +161,5 @@ def deduplicate(
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns."""
     rows = located(docs)
-    kept = deduplicate(rows).filter("kept").select(F.col("at").alias("__kept_at"))
-    return rows.join(kept, F.col(AT) == F.col("__kept_at"), "left_semi").select(*docs.columns)
+    kept = _deduplicated(rows, sha256, FILES_PER_BATCH, None).filter("kept").select("at")
+    return rows.join(kept, "at", "left_semi").select("doc.*")

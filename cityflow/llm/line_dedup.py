@@ -16,22 +16,22 @@ are ignored.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import AT, located, saved
+from cityflow.llm.common import located, saved
 
 SITES = 10
 MARGIN = 0.3
 SKETCH_BITS = 10
 
 
-def lines_of(rows: DataFrame, site: str) -> DataFrame:
-    """at, pos, line key and site of every line of rows with ``AT``; the key of a blank line is null.
+def lines_of(rows: DataFrame) -> DataFrame:
+    """at, pos, line key and site of every line of located rows; the key of a blank line is null.
 
     The key is 96 bits of two unrelated hashes.
     """
     return (
-        rows.selectExpr(AT, f"CAST({site} AS string) AS site", "posexplode(split(text, '\\n', -1)) AS (pos, whole)")
+        rows.selectExpr("at", "CAST(site AS string) AS site", "posexplode(split(doc.text, '\\n', -1)) AS (pos, whole)")
         .selectExpr("*", "trim(whole) AS line")
-        .selectExpr(f"{AT} AS at", "pos", "site", "IF(line = '', NULL, struct(xxhash64(line) AS h, crc32(line) AS c)) AS key")
+        .selectExpr("at", "pos", "site", "IF(line = '', NULL, struct(xxhash64(line) AS h, crc32(line) AS c)) AS key")
     )
 
 
@@ -57,26 +57,28 @@ def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
 
 
 def clean(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
-    """doc_id, text without boilerplate lines, lines before and lines removed, of every row."""
-    rows = located(docs)
-    lines = saved(lines_of(rows, site), "lines")
-    gone = boilerplate(lines, sites).withColumn("gone", F.lit(True))
-    marked = lines.selectExpr("at", "pos", "key.h", "key.c").join(gone, ["h", "c"], "left")
+    """doc_id, text without boilerplate lines, lines before and lines removed, of every row.
+
+    The lines to go are joined with the lines of the documents; of documents that lose none nothing is listed.
+    """
+    rows = located(docs, site=site)
+    lines = saved(lines_of(rows), "lines")
+    gone = boilerplate(lines, sites)
     marks = (
-        marked.groupBy("at")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("pos", F.coalesce("gone", F.lit(False)).alias("gone")))).getField("gone").alias("marks"),
-            F.count_if("gone").alias("n_removed"),
-        )
-        .filter("n_removed > 0")
+        lines.selectExpr("at", "pos", "key.h", "key.c")
+        .join(gone, ["h", "c"])
+        .groupBy("at")
+        .agg(F.collect_list("pos").alias("gone"))
+        .withColumnRenamed("at", "of")
     )
     return (
-        rows.selectExpr("CAST(doc_id AS bigint) doc_id", "text", AT)
-        .join(marks, F.col(AT) == F.col("at"), "left")
+        rows.selectExpr("CAST(doc.doc_id AS bigint) doc_id", "doc.text", "at")
+        .join(marks, F.col("at") == F.col("of"), "left")
+        .selectExpr("doc_id", "text", "gone", "split(text, '\\n', -1) AS parts")
         .selectExpr(
             "doc_id",
-            "IF(marks IS NULL, text, array_join(filter(split(text, '\\n', -1), (x, i) -> NOT marks[i]), '\\n')) AS text",
-            "CAST(coalesce(size(split(text, '\\n', -1)), 0) AS bigint) AS n_lines",
-            "coalesce(n_removed, 0L) AS n_removed",
+            "IF(gone IS NULL, text, array_join(transform(array_except(sequence(0, size(parts) - 1), gone), i -> parts[i]), '\\n')) AS text",
+            "CAST(coalesce(size(parts), 0) AS bigint) AS n_lines",
+            "CAST(coalesce(size(gone), 0) AS bigint) AS n_removed",
         )
     )

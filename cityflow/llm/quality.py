@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import AT, columns_of, located, per_batch, saved
+from cityflow.llm.common import columns_of, located, per_batch, saved
 from cityflow.llm.logistic import Sparse, fit, sigmoid
 from cityflow.llm.toxicity import sample_of
 
@@ -168,8 +168,8 @@ def score(
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = HOST, path: str = PATH) -> DataFrame:
     """The rows of ``docs`` that are kept, with its columns."""
-    rows = located(docs).withColumns({"__host": F.expr(host), "__path": F.expr(path)})
-    plain = rows.selectExpr("doc_id", "text", "__host", "__path", f"{AT}.file", f"{AT}.row")
-    scored = score(plain, learn(docs, labels), "__host", "__path", ("file", "row"))
-    gone = scored.filter("NOT kept").select(F.struct("file", "row").alias("__gone"))
-    return rows.join(gone, F.col(AT) == F.col("__gone"), "left_anti").select(*docs.columns)
+    rows = located(docs, host=host, path=path)
+    plain = rows.selectExpr("doc.doc_id", "doc.text", "host", "path", "at.file", "at.row")
+    scored = score(plain, learn(docs, labels), "host", "path", ("file", "row"))
+    gone = scored.filter("NOT kept").select(F.struct("file", "row").alias("at"))
+    return rows.join(gone, "at", "left_anti").select("doc.*")

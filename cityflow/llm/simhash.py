@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import AT, columns_of, located, per_batch, saved
+from cityflow.llm.common import columns_of, located, per_batch, saved
 from cityflow.llm.components import components
 
 WORDS = 3
@@ -236,11 +236,11 @@ def grouped(docs: DataFrame, words: int = WORDS, keep: tuple[str, ...] = ()) ->
 def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """One row of each component of ``docs``, with its columns: the smallest doc_id, its first row."""
     rows = located(docs)
-    placed = grouped(rows.selectExpr("doc_id", "text", f"{AT}.file", f"{AT}.row"), words, ("file", "row"))
+    placed = grouped(rows.selectExpr("doc.doc_id", "doc.text", "at.file", "at.row"), words, ("file", "row"))
     kept = (
         placed.filter("doc_id <=> component_id")
         .groupBy("component_id")
-        .agg(F.min(F.struct("file", "row")).alias("__kept_at"))
-        .select("__kept_at")
+        .agg(F.min(F.struct("file", "row")).alias("at"))
+        .select("at")
     )
-    return rows.join(kept, F.col(AT) == F.col("__kept_at"), "left_semi").select(*docs.columns)
+    return rows.join(kept, "at", "left_semi").select("doc.*")

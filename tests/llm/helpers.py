@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # names that operators use inside, as further columns
-CLASHING = DOCUMENTS + ", fp bigint, at string, file string, `row` bigint, key string, digest string, host string, component_id bigint, gone boolean"
+CLASHING = DOCUMENTS + ", fp bigint, at string, file string, `row` bigint, key string, digest string, host string, component_id bigint, gone boolean, __at string, _metadata string, __kept_at int, __gone int, __host string, doc string, site string, `of` int"
 
 LONG = " ".join(f"word{i % 977} plain{i % 13}" for i in range(60_000))
 EDGES = [
@@ -30,4 +30,4 @@ def stored(spark, tmp_path, rows, schema=DOCUMENTS, parts=3):
 
 
 def clashing(rows):
-    return [(*row, 1, "x", "y", 2, "k", "d", "h", 3, True) for row in rows]
+    return [(*row, 1, "x", "y", 2, "k", "d", "h", 3, True, "a", "m", 1, 2, "h", "d", "s", 3) for row in rows]

@@ -52,6 +52,27 @@ def test_a_frame_that_is_not_of_files(spark):
     assert sorted((r["doc_id"] for r in found.collect()), key=str) == sorted({k for _, k, _ in wanted} | {None}, key=str)
 
 
+def test_further_documents_meet_the_state(spark, tmp_path):
+    """A second call goes on from the first: files that arrived before are not taken again."""
+    folder = str(tmp_path / "state")
+    first, second = ROWS[::2], [*ROWS[1::2], (99, "one", "en", "z", 3)]
+    one, two = stored(spark, tmp_path, first, parts=2), stored(spark, tmp_path, second, parts=2)
+    assert exact_dedup.deduplicate(one, folder=folder).count() == len(first)
+    assert exact_dedup.deduplicate(one, folder=folder).count() == len(first)
+    found = exact_dedup.deduplicate(two, folder=folder).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in found), key=str) == expected([*first, *second])[0]
+    assert exact_dedup.deduplicate(one.limit(0), folder=folder).count() == len(first) + len(second)
+
+
+def test_unlike_texts_of_one_digest_meet_across_calls(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    rows = [(1, "a", "en", "x", 1), (2, "A", "en", "x", 1)], [(3, "b", "en", "x", 1), (4, "a", "en", "x", 1)]
+    same = lambda text: b"0"
+    for part in rows:
+        found = exact_dedup.deduplicate(stored(spark, tmp_path, part, parts=1), same, folder=folder).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in found) == [(1, 4, 3), (2, 4, 3), (3, 3, 1), (4, 4, 3)]
+
+
 def test_no_rows(spark, tmp_path):
     empty = stored(spark, tmp_path, [])
     assert exact_dedup.deduplicate(empty).collect() == []

@@ -78,7 +78,7 @@ def test_everything_is_registered():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     wanted = con.execute(ORACLES[name])
     columns = [c[0] for c in wanted.description]
