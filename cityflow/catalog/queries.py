@@ -765,7 +765,7 @@ def trained_models(spark: SparkSession, sf_dir: str) -> dict[str, training.Train
 @lru_cache(maxsize=4)
 def validated_models(spark: SparkSession, sf_dir: str) -> dict[str, training.Trained]:
     """The same with their cross-validation."""
-    return training.cross_validate(trained_models(spark, sf_dir), train_rows(spark, sf_dir))
+    return training.cross_validate(lambda: trained_models(spark, sf_dir), train_rows(spark, sf_dir))
 
 
 def _within(*values: float) -> int:
